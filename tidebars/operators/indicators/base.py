@@ -13,6 +13,7 @@ with ``_`` and are dropped from the result.  Bars are taken to be free of NULLs
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -84,6 +85,7 @@ def apply_recipes(series: Series, recipes: Iterable[Recipe], cut_scans: bool = F
     """Run recipes together.  ``cut_scans`` checkpoints after each scan, for
     plans with so many columns that repeating a level costs more than a write."""
     waiting = [list(recipe(series)) for recipe in recipes]
+    depth = 0
     while any(waiting):
         while any(steps and isinstance(steps[0], dict) for steps in waiting):
             columns: dict[str, Column] = {}
@@ -96,9 +98,8 @@ def apply_recipes(series: Series, recipes: Iterable[Recipe], cut_scans: bool = F
             if steps:
                 scans.update({item.name: item for item in steps.pop(0)})
         if scans:
-            series = affine_scan(series, list(scans.values()))
+            depth += 1
+            series = affine_scan(series, list(scans.values()), depth)
             if cut_scans:
-                series = type(series)(
-                    cut(series.df), series.symbol, series.ts, series.chunk_rows, series.longest
-                )
+                series = replace(series, df=cut(series.df))
     return series

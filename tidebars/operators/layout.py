@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tidebars.session import only_row, stage
 
 POS, CHUNK, BLOCK, HALO_FLAG = "_pos", "_chunk", "_block", "_halo"
+FIRST, STATE = "_first", "_state"  # of a resumed series
 BLOCK_ROWS = 128  # rows per block of the affine scan
 HALO = 256  # copied rows: two whole blocks
 CHUNK_ROWS = 8192
@@ -66,6 +67,7 @@ class Series:
     ts: str
     chunk_rows: int
     longest: int  # rows of the longest symbol
+    scans: tuple[tuple[str, int], ...] = ()  # columns made by scans, with their depth
 
     def window(self, n: int) -> WindowSpec:
         """The current row and the ``n - 1`` rows before it."""
@@ -107,14 +109,24 @@ def lay_out(
     bar_seconds: int = 3600,
     chunk_rows: int | None = None,
     stored: bool = False,
+    resume: DataFrame | None = None,
 ) -> Series:
-    """Put bars into the chunked layout (one shuffle on ``(symbol, chunk)``)."""
+    """Put bars into the chunked layout (one shuffle on ``(symbol, chunk)``).
+
+    ``resume`` has one row per symbol whose bars do not start at its first bar:
+    the position of the first bar at hand, and the saved states of the scans.
+    """
     if chunk_rows is None:
         chunk_rows = int(bars.sparkSession.conf.get("tidebars.chunk.rows", str(CHUNK_ROWS)))
     if chunk_rows % BLOCK_ROWS or chunk_rows < HALO:
         raise ValueError(f"chunk_rows must be a multiple of {BLOCK_ROWS} and at least {HALO}")
     numbered, offsets = number_rows(bars, symbol, ts, bar_seconds, chunk_rows, stored)
     longest = only_row(offsets.agg(F.max(F.col("_offset") + F.col("_rows"))))[0] or 0
+    if resume is not None:
+        saved = resume.select(symbol, F.col("position").alias(FIRST), F.col("state").alias(STATE))
+        numbered = numbered.join(saved, symbol, "left").withColumn(
+            POS, F.col(POS) + F.coalesce(F.col(FIRST), F.lit(0))
+        )
     home = F.expr(f"{POS} div {chunk_rows}")
     copied = F.col(POS) % chunk_rows >= chunk_rows - HALO
     chunks = F.when(copied, F.array(home, home + 1)).otherwise(F.array(home))

@@ -22,9 +22,10 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidebars.operators.layout import BLOCK, BLOCK_ROWS, CHUNK, HALO, HALO_FLAG, POS, Series
+from tidebars.operators.layout import BLOCK, BLOCK_ROWS, CHUNK, FIRST, HALO, HALO_FLAG, POS, STATE, Series
 
 _GROUP = 64  # affine maps combined per group and level
+RESUME_STEP = 64  # bars between the resume points of successive scan depths
 
 
 @dataclass(frozen=True)
@@ -63,17 +64,35 @@ def first_value(name: str, x: Column) -> Recurrence:
     return Recurrence(name, 1.0, here, here)
 
 
-def affine_scan(series: Series, items: list[Recurrence]) -> Series:
-    """Add one column per recurrence."""
+def _resumed(item: Recurrence, depth: int) -> tuple[Column, Column]:
+    """``b`` and ``seed`` of a series that continues from saved states.
+
+    The state of a scan of this depth is put in at a fixed bar of the context;
+    the bars before it only serve the windows that feed the scan.
+    """
+    at = F.col(FIRST) + F.lit(RESUME_STEP * depth)
+    known = F.col(FIRST).isNotNull()
+    saved = F.try_element_at(STATE, F.lit(item.name))
+    b = F.when(known & (F.col(POS) < at), None).when(known & (F.col(POS) == at), F.coalesce(item.b, F.lit(0.0)))
+    seed = F.when(known & (F.col(POS) == at), saved)
+    return b.otherwise(item.b), seed.otherwise(item.seed)
+
+
+def affine_scan(series: Series, items: list[Recurrence], depth: int = 1) -> Series:
+    """Add one column per recurrence.
+
+    ``depth`` counts the scans that the inputs have already been through.
+    """
     kept = series.df.columns
     block = Window.partitionBy(series.symbol, CHUNK, BLOCK).orderBy(POS)
     running = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     inputs = {}
     for i, item in enumerate(items):
-        valid = item.b.isNotNull() & item.seed.isNotNull()
-        inputs[f"_b{i}"] = F.when(valid, item.b)
-        inputs[f"_d{i}"] = F.when(valid, item.seed - item.b)
+        b, seed = _resumed(item, depth) if FIRST in kept else (item.b, item.seed)
+        valid = b.isNotNull() & seed.isNotNull()
+        inputs[f"_b{i}"] = F.when(valid, b)
+        inputs[f"_d{i}"] = F.when(valid, seed - b)
         if isinstance(item.a, Column):
             inputs[f"_a{i}"] = F.when(valid, F.ln(item.a))
     df = series.df.withColumns(inputs)
@@ -107,12 +126,13 @@ def affine_scan(series: Series, items: list[Recurrence]) -> Series:
         if carries is not None:
             start = F.coalesce(F.get("_c", F.lit(i)), start)
         out.append((F.exp(F.col(f"_p{i}")) * (start + F.col(f"_s{i}"))).alias(item.name))
-    return replace(series, df=df.select(*kept, *out))
+    done = tuple((item.name, depth) for item in items)
+    return replace(series, df=df.select(*kept, *out), scans=series.scans + done)
 
 
 def _carries(series: Series, df: DataFrame, n_items: int) -> DataFrame | None:
     """Per (symbol, chunk): a map from block number to the carries into it."""
-    n_blocks = series.longest // BLOCK_ROWS
+    n_blocks = series.longest // BLOCK_ROWS + (FIRST in df.columns)
     if n_blocks == 0:
         return None
     maps = F.array(
@@ -194,7 +214,7 @@ def _prefix(units: DataFrame, symbol: str, n_units: int, n_items: int) -> DataFr
         F.col("_group").alias("_unit"),
         F.aggregate("_units", identity, lambda acc, u: _compose(acc, u["_maps"])).alias("_maps"),
     )
-    above = _prefix(totals, symbol, -(-n_units // _GROUP), n_items)
+    above = _prefix(totals, symbol, -(-n_units // _GROUP) + 1, n_items)
     above = above.withColumnsRenamed({"_unit": "_group", "_carry": "_start"})
     joined = groups.join(above, [symbol, "_group"], "left")
     return joined.select(symbol, run(F.coalesce(F.col("_start"), unseen))).select(symbol, "_e.*")
