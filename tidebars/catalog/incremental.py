@@ -7,9 +7,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidebars.catalog.common import BARS, FINANCIAL, bars, financial, predictions, r, roll, rounded, table
+from tidebars.catalog.common import BARS, FINANCIAL, bars, financial, over, predictions, r, roll, rounded, table
 from tidebars.catalog.indicators_recursive import ORACLES as RECURSIVE
-from tidebars.catalog.indicators_recursive import _ema, _join, _pick
+from tidebars.catalog.indicators_recursive import _avg, _ema, _join, _pick
+from tidebars.catalog.indicators_window import _TR
 from tidebars.operators.relational import high_water_mark
 from tidebars.plans import hourly
 from tidebars.plans import models as P
@@ -68,7 +69,8 @@ def _stream_indicators(spark, sf_dir):
     B.run_batches(indicator_stream(stream), state, B.append_sink(out)).awaitTermination()
     done = spark.read.parquet(out)
     return rounded(done.select(
-        "symbol", "date_time", "hist_close", "trend_ema_fast", "trend_ema_slow", "volume_obv", "others_cr", "volatility_atr"))
+        "symbol", "date_time", "hist_close", "trend_ema_fast", "trend_ema_slow", "volume_obv", "others_cr",
+        F.ln("volatility_atr").alias("ln_atr")))
 
 
 def _stream_score(spark, sf_dir):
@@ -134,6 +136,9 @@ QUERIES = {
 }
 
 _KAMA = RECURSIVE["kama"]
+_ATR = _pick(
+    f", t AS (SELECT *, {_TR} AS tr FROM num), t0 AS (SELECT *, avg(tr) {over(10)} AS tr0 FROM t)"
+    + _avg("g", "t0", "tr", 0.1, 9, 9, "tr0"), {"ln_atr": "ln(g.y)"}, _join("g"))
 _ADDED = (
     _ema("f", "num", "close", 12) + _ema("s", "num", "close", 26)
     + ", m AS (SELECT s.symbol, s.date_time, s.pos, f.y - s.y AS x FROM f JOIN s ON f.symbol = s.symbol AND f.pos = s.pos)"
@@ -154,10 +159,10 @@ ORACLES = {
     # closed bars: their end is not after the newest event less the delay
     "stream_bars": f"""WITH {BARS} SELECT symbol, date_time, open, high, low, close, tick_vol FROM bars
         WHERE date_time + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
-    "stream_indicators": f"""WITH a AS ({RECURSIVE['atr']}), o AS ({_pick(_ADDED, {
+    "stream_indicators": f"""WITH a AS ({_ATR}), o AS ({_pick(_ADDED, {
         'hist_close': 'coalesce(n.c1, 0)', 'trend_ema_fast': 'f.y', 'trend_ema_slow': 's.y', 'volume_obv': 'sm.obv',
         'others_cr': _CR}, _join('f', 's', 'sm'))})
-        SELECT o.*, a.volatility_atr FROM o JOIN a ON a.symbol = o.symbol AND a.date_time = o.date_time""",
+        SELECT o.*, a.ln_atr FROM o JOIN a ON a.symbol = o.symbol AND a.date_time = o.date_time""",
     "stream_score": f"WITH {_MODEL} {_SCORES}",
     "score_new": f"WITH {_MODEL} {_SCORES} WHERE date_time >= TIMESTAMP '2024-01-29'",
     "high_water_mark": f"""WITH {BARS} SELECT symbol, date_time, close FROM bars

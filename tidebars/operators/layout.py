@@ -127,7 +127,8 @@ def lay_out(
         numbered = numbered.join(saved, symbol, "left").withColumn(
             POS, F.col(POS) + F.coalesce(F.col(FIRST), F.lit(0))
         )
-    home = F.expr(f"{POS} div {chunk_rows}")
+    # never NULL, and known to be so: a filter on it would keep scans from sharing the shuffle
+    home = F.coalesce(F.expr(f"{POS} div {chunk_rows}"), F.lit(0))
     copied = F.col(POS) % chunk_rows >= chunk_rows - HALO
     chunks = F.when(copied, F.array(home, home + 1)).otherwise(F.array(home))
     df = (

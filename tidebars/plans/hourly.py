@@ -10,6 +10,8 @@ as loading it at once.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from tidebars.operators.layout import HALO, POS, Series, lay_out
 from tidebars.operators.relational import union_context
 from tidebars.operators.scan import RESUME_STEP
 from tidebars.operators.windows import lag_fill
-from tidebars.session import only_row
+from tidebars.session import only_row, stage
 
 CONTEXT = HALO
 _BARS = ["symbol", "date_time", "open", "high", "low", "close", "tick_vol"]
@@ -64,6 +66,8 @@ def load_step(
         series = lay_out(with_context(new, stored, carry), resume=known, **layout)
     series = lag_fill(series, "close", "hist_close", 0.0)
     series = add_indicators(series, recipes)
+    # the rows to append and the next states both come from this table
+    series = replace(series, df=stage(series.df))
     rows = series.result()
     if stored is not None:
         marks = stored.groupBy("symbol").agg(F.max("date_time").alias("_mark"))
@@ -79,9 +83,12 @@ def next_carry(series: Series) -> DataFrame:
     Symbols with no more than ``CONTEXT`` bars start over from their first bar.
     """
     rows = series.body()
-    last = rows.groupBy(series.symbol).agg(F.max(POS).alias("_last"))
-    start = F.col("_last") - (CONTEXT - 1)
-    placed = rows.join(last, series.symbol).withColumn("_start", start)
+    last = rows.groupBy(series.symbol).agg((F.max(POS) - (CONTEXT - 1)).alias("_start"))
+    points = [RESUME_STEP * depth for depth in {0, *(depth for _, depth in series.scans)}]
+    # a handful of rows per symbol, and every symbol, also those that have none of them
+    placed = last.join(rows, series.symbol).filter(
+        (F.col(POS) - F.col("_start")).isin(points) | (F.col("_start") <= 0) & (F.col(POS) == 0)
+    )
     states = [
         F.struct(
             F.lit(name).alias("key"),

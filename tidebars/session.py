@@ -19,6 +19,7 @@ def build_session(app: str = "tidebars", cores: str = "*") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")  # wide window plans compile many small classes
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )

@@ -46,12 +46,21 @@ def new_rows(df: DataFrame, stored: DataFrame, keys: tuple[str, ...] = ("symbol"
     return df.join(stored.select(*keys), list(keys), "left_anti")
 
 
+def stored_rows(spark: SparkSession, path: str, like: T.StructType) -> DataFrame | None:
+    """The bar table at ``path`` under the columns of ``like``; None if there is none.
+
+    The schema is given, so a table without a single file reads as empty.
+    """
+    if not _exists(spark, path):
+        return None
+    schema = like if "ym" in like.fieldNames() else T.StructType([*like.fields, T.StructField("ym", T.StringType())])
+    return spark.read.schema(schema).parquet(path)
+
+
 def append_new(df: DataFrame, path: str) -> None:
     """Append only what is not there: running it twice adds nothing."""
-    spark = df.sparkSession
-    if _exists(spark, path):
-        df = new_rows(df, spark.read.parquet(path))
-    append_rows(df, path)
+    stored = stored_rows(df.sparkSession, path, df.schema)
+    append_rows(df if stored is None else new_rows(df, stored), path)
 
 
 def add_column(df: DataFrame, name: str, kind: str) -> DataFrame:
