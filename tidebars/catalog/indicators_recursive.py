@@ -152,18 +152,18 @@ ORACLES = {
         SELECT n.symbol, n.date_time, {r('k.y')} AS momentum_kama FROM num n LEFT JOIN k ON k.symbol = n.symbol AND k.pos = n.pos""",
     "psar": f"""WITH RECURSIVE {NUM},
         p AS (
-          SELECT symbol, pos, TRUE AS rising, low AS stop, high AS ep, CAST(0.02 AS DOUBLE) AS af, FALSE AS turned, low AS pl, high AS ph
+          SELECT symbol, pos, TRUE AS rising, low AS stop, high AS ep, CAST(0.02 AS DOUBLE) AS af, FALSE AS turned, low AS pl, low AS pl2, high AS ph, high AS ph2
           FROM num WHERE pos = 0
           UNION ALL
           SELECT symbol, pos, CASE WHEN hit THEN NOT rising ELSE rising END,
                  CASE WHEN hit THEN ep ELSE s END,
                  CASE WHEN hit THEN CASE WHEN rising THEN low ELSE high END WHEN rising THEN greatest(ep, high) ELSE least(ep, low) END,
                  CASE WHEN hit THEN CAST(0.02 AS DOUBLE) WHEN (rising AND high > ep) OR (NOT rising AND low < ep) THEN least(af + 0.02, 0.2) ELSE af END,
-                 hit, low, high
+                 hit, low, pl, high, ph
           FROM (SELECT *, CASE WHEN rising THEN low < s ELSE high > s END AS hit
-                FROM (SELECT n.symbol, n.pos, n.high, n.low, p.rising, p.ep, p.af,
-                             CASE WHEN p.rising THEN least(p.stop + p.af * (p.ep - p.stop), p.pl)
-                                  ELSE greatest(p.stop + p.af * (p.ep - p.stop), p.ph) END AS s
+                FROM (SELECT n.symbol, n.pos, n.high, n.low, p.rising, p.ep, p.af, p.pl, p.ph,
+                             CASE WHEN p.rising THEN least(p.stop + p.af * (p.ep - p.stop), p.pl, p.pl2)
+                                  ELSE greatest(p.stop + p.af * (p.ep - p.stop), p.ph, p.ph2) END AS s
                       FROM p JOIN num n ON n.symbol = p.symbol AND n.pos = p.pos + 1) x) y)
         SELECT n.symbol, n.date_time,
                {r('CASE WHEN p.rising AND p.pos > 0 THEN p.stop END')} AS trend_psar_up,

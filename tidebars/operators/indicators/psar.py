@@ -23,30 +23,32 @@ from tidebars.operators.layout import CHUNK, HALO_FLAG, POS, Series
 from tidebars.session import cut
 
 COLUMNS = ["trend_psar_up", "trend_psar_down", "trend_psar_up_indicator", "trend_psar_down_indicator"]
-# rising (1/0), stop, extreme point, acceleration, and the bar before: low, high
-STATE = ["_rising", "_stop", "_extreme", "_accel", "_prev_low", "_prev_high"]
 
 
 def psar_step(state, high, low, step, cap):
-    """One bar.  Returns the new state and whether the trend turned on this bar."""
+    """One bar.  Returns the new state and whether the trend turned on this bar.
+
+    The state: rising (1 or 0), stop, extreme point, acceleration, and the lows
+    and highs of the last two bars, which the stop may not cross.
+    """
     if state is None:
-        return (1.0, low, high, step, low, high), False
-    rising, stop, extreme, accel, prev_low, prev_high = state
+        return (1.0, low, high, step, low, low, high, high), False
+    rising, stop, extreme, accel, low1, low2, high1, high2 = state
     stop = stop + accel * (extreme - stop)
     turned = False
     if rising:
-        stop = min(stop, prev_low)
+        stop = min(stop, low1, low2)
         if low < stop:
             turned, rising, stop, extreme, accel = True, 0.0, extreme, low, step
         elif high > extreme:
             extreme, accel = high, min(accel + step, cap)
     else:
-        stop = max(stop, prev_high)
+        stop = max(stop, high1, high2)
         if high > stop:
             turned, rising, stop, extreme, accel = True, 1.0, extreme, high, step
         elif low < extreme:
             extreme, accel = low, min(accel + step, cap)
-    return (rising, stop, extreme, accel, low, high), turned
+    return (rising, stop, extreme, accel, low, low1, high, high1), turned
 
 
 def _run_chunk(pdf: pd.DataFrame, step: float, cap: float, given: tuple | None) -> pd.DataFrame:
@@ -101,7 +103,6 @@ def psar(series: Series, step: float = 0.02, cap: float = 0.2) -> Series:
             break
         again = (
             slim.join(wrong, [symbol, CHUNK])
-            .withColumn("_given", F.col("_given"))
             .groupBy(symbol, CHUNK)
             .applyInPandas(_rerun(step, cap), schema)
         )

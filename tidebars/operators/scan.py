@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidebars.operators.layout import BLOCK, BLOCK_ROWS, CHUNK, FIRST, HALO, HALO_FLAG, POS, STATE, Series
+from tidebars.session import stage
 
 _GROUP = 64  # chunks (and groups of them) combined per group and level
 RESUME_STEP = 64  # bars between the resume points of successive scan depths
@@ -145,6 +146,8 @@ def _carries(series: Series, df: DataFrame, n_items: int) -> DataFrame | None:
     if series.longest <= series.chunk_rows and FIRST not in df.columns:
         return chunks.select(symbol, CHUNK, F.map_from_entries(_run(_unseen(n_items))).alias("_in"))
 
+    # a small table that several branches read: written once, the bars above it are not redone for each
+    chunks = stage(chunks)
     totals = chunks.select(symbol, F.col(CHUNK).alias("_unit"), _total(n_items).alias("_maps"))
     n_chunks = series.longest // series.chunk_rows + 2
     into = _prefix(totals, symbol, n_chunks, n_items).withColumnsRenamed({"_unit": CHUNK, "_carry": "_start"})
