@@ -11,6 +11,7 @@ from tidebars.catalog.common import BARS, FINANCIAL, bars, financial, over, pred
 from tidebars.catalog.indicators_recursive import ORACLES as RECURSIVE
 from tidebars.catalog.indicators_recursive import _avg, _ema, _join, _pick
 from tidebars.catalog.indicators_window import _TR
+from tidebars.catalog.profiling import _DOANE, _POOL, _psi_sql
 from tidebars.operators.relational import high_water_mark
 from tidebars.plans import hourly
 from tidebars.plans import models as P
@@ -146,6 +147,7 @@ _ADDED = (
     + f", sm AS (SELECT symbol, date_time, pos, {roll('avg', 'close', 12)} AS y, sum(CASE WHEN close < c1 THEN -tick_vol ELSE tick_vol END)"
     " OVER (PARTITION BY symbol ORDER BY pos) AS obv, first_value(close) OVER (PARTITION BY symbol ORDER BY pos) AS c0 FROM num)"
 )
+_RANGE = "p.date_time BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20'"
 _CR = "100 * (n.close - sm.c0) / nullif(sm.c0, 0)"
 _MODEL = f"""{FINANCIAL}, t AS (SELECT *, row_number() OVER (ORDER BY date_time, symbol) AS k FROM financial WHERE pos > 0),
   f AS (SELECT regr_slope(close, hist_close) AS b, regr_intercept(close, hist_close) AS a FROM t)"""
@@ -168,5 +170,9 @@ ORACLES = {
     "high_water_mark": f"""WITH {BARS} SELECT symbol, date_time, close FROM bars
         WHERE date_time > (SELECT max(date_time) FROM bars WHERE date_time < TIMESTAMP '2024-01-20')""",
     "late_data": "SELECT event_type AS symbol, event_id FROM events WHERE ts < TIMESTAMP '2024-01-05'",
+    "monitor_range": _psi_sql(
+        _POOL.replace("f.date_time = p.date_time)", f"f.date_time = p.date_time WHERE {_RANGE})"), _DOANE,
+        f", CASE WHEN psi > 0.25 THEN 'red' ELSE 'green' END AS status, "
+        f"(SELECT {r('sqrt(avg(power(close - predictions, 2)))')} FROM scored) AS rmse"),
     "run_metrics": f"WITH {BARS} SELECT count(*) AS n, min(date_time) AS first, max(date_time) AS last FROM bars",
 }

@@ -3,19 +3,29 @@ sum over all earlier bars; the others are recursive queries."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tidebars.catalog.common import NUM, over, r, rounded, series
-from tidebars.catalog.indicators_window import _TR, _full, _recipe
+from tidebars.catalog.indicators_window import ORACLES as WINDOWED
+from tidebars.catalog.indicators_window import _TR, _W, _full, _recipe, _sql
 from tidebars.operators.indicators import ALL_COLUMNS, add_all_indicators
 from tidebars.operators.indicators.psar import COLUMNS as PSAR_COLUMNS
 from tidebars.operators.indicators.psar import psar
 
 
+_SIGNED = ["volume_em", "volume_sma_em", "volume_vpt"]
+
+
 def _psar(spark, sf_dir):
     return rounded(psar(series(spark, sf_dir)).result(*PSAR_COLUMNS))
 
 
 def _all(spark, sf_dir):
-    return add_all_indicators(series(spark, sf_dir)).result(*ALL_COLUMNS)
+    """All 86 columns; those that span many magnitudes as logarithms."""
+    wide = add_all_indicators(series(spark, sf_dir)).result(*ALL_COLUMNS)
+    signed = {c: F.signum(c) * F.log1p(F.abs(c)) for c in _SIGNED}
+    nvi = F.when(F.col("volume_nvi") > 0, F.ln("volume_nvi"))
+    return rounded(wide.withColumns({**signed, "volume_nvi": nvi}))
 
 
 QUERIES = {
@@ -172,3 +182,22 @@ ORACLES = {
                CASE WHEN p.turned AND NOT p.rising THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS trend_psar_down_indicator
         FROM num n JOIN p ON p.symbol = n.symbol AND p.pos = n.pos""",
 }
+
+
+def _signed(x: str) -> str:
+    return f"sign({x}) * ln(1 + abs({x}))"
+
+
+_VPT = f"sum(coalesce((close - c1) / nullif(c1, 0) * tick_vol, 0)) {_W}"
+_PARTS = {
+    **{k: v for k, v in WINDOWED.items() if k.split("_")[0] in ("volume", "volatility", "trend", "momentum", "others")},
+    **{k: v for k, v in ORACLES.items()},
+    "volume_em": _sql(
+        {"volume_em": _signed("em"), "volume_sma_em": _signed(f"({_full('em', 14)})")},
+        ", e AS (SELECT *, ((high - h1) + (low - l1)) * (high - low) / nullif(2.0 * tick_vol, 0) * 1e8 AS em FROM num)", "e"),
+    "volume_vpt": _sql({"volume_vpt": _signed(f"({_VPT})")}),
+    "volume_nvi": WINDOWED["volume_nvi"].replace("AS ln_nvi", "AS volume_nvi"),
+}
+ORACLES["indicators_all"] = "SELECT * FROM " + " JOIN ".join(
+    f"({sql}) p{i}" + (" USING (symbol, date_time)" if i else "") for i, sql in enumerate(_PARTS.values())
+)

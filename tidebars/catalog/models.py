@@ -15,8 +15,8 @@ from tidebars.session import shared_dir, stage
 
 
 def _features(spark, sf_dir):
-    """Model inputs of one symbol, complete rows in time order with ``row``."""
-    wide = feature_table(bars(spark, sf_dir)).filter(F.col("symbol") == "view")
+    """Model inputs, complete rows in time order with ``row``."""
+    wide = feature_table(bars(spark, sf_dir))
     complete = stage(wide.select("symbol", "date_time", "close", *MODEL_INPUT).na.drop())
     n = complete.count()
     return X.time_split(X.with_row(complete), n), X.split_sizes(n)[0]
@@ -87,8 +87,8 @@ def _tree(make, grid):
     def run(spark, sf_dir):
         df, n = _features(spark, sf_dir)
         train = df.filter(F.col("slice") == "train")
-        subset = X.train_subset(train, n, 0.5)
-        best = P.tree_grid_search(subset, make(MODEL_INPUT, "close"), grid, "close", len(MODEL_INPUT), X.cut_at(n, 0.5))
+        subset = X.train_subset(train, n)
+        best = P.tree_grid_search(subset, make(MODEL_INPUT, "close"), grid, "close", len(MODEL_INPUT), X.cut_at(n, 0.1))
         model = make(MODEL_INPUT, "close", **best["params"]).fit(train)
         return P.evaluate_slices(model, df, "close").withColumn("params", F.lit(str(best["params"])))
 

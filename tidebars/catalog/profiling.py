@@ -42,8 +42,9 @@ def _psi(bins):
 
 def _psi_sides(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    clicks, views = (events.filter(F.col("event_type") == t) for t in ("click", "view"))
-    return rounded(M.psi_status(M.psi(clicks, views, "value", bins=10)))
+    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    before, after = events.filter(F.col("ts") < middle), events.filter(F.col("ts") >= middle)
+    return rounded(M.psi_status(M.psi(before, after, "value", bins=10)))
 
 
 def _ranking(spark, sf_dir):
@@ -191,8 +192,7 @@ ORACLES = {
     "psi_fixed": _psi_sql(_POOL, "k AS (SELECT 10 AS bins)"),
     "psi_doane": _psi_sql(_POOL, _DOANE),
     "psi_status": _psi_sql(
-        """pool AS (SELECT 0 AS side, value AS v FROM events WHERE event_type = 'click'
-           UNION ALL SELECT 1, value FROM events WHERE event_type = 'view'),
+        """pool AS (SELECT CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END AS side, value AS v FROM events),
            m AS (SELECT min(v) AS lo, max(v) AS hi FROM pool)""", "k AS (SELECT 10 AS bins)",
         ", CASE WHEN psi > 0.25 THEN 'red' ELSE 'green' END AS status"),
     "rmse": f"WITH {_SCORED} SELECT {r('sqrt(avg(power(close - predictions, 2)))')} AS rmse FROM scored",

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidebars.session import only_row, stage
 
 POS, CHUNK, BLOCK, HALO_FLAG = "_pos", "_chunk", "_block", "_halo"
-FIRST, STATE = "_first", "_state"  # of a resumed series
+FIRST, STATE, ROW = "_first", "_state", "_row"  # of a resumed series
 BLOCK_ROWS = 128  # rows per block of the affine scan
 HALO = 256  # copied rows: two whole blocks
 CHUNK_ROWS = 8192
@@ -68,6 +68,7 @@ class Series:
     chunk_rows: int
     longest: int  # rows of the longest symbol
     scans: tuple[tuple[str, int], ...] = ()  # columns made by scans, with their depth
+    row: str = POS  # position among the rows at hand, which decides chunk and block
 
     def window(self, n: int) -> WindowSpec:
         """The current row and the ``n - 1`` rows before it."""
@@ -122,19 +123,21 @@ def lay_out(
         raise ValueError(f"chunk_rows must be a multiple of {BLOCK_ROWS} and at least {HALO}")
     numbered, offsets = number_rows(bars, symbol, ts, bar_seconds, chunk_rows, stored)
     longest = only_row(offsets.agg(F.max(F.col("_offset") + F.col("_rows"))))[0] or 0
+    row = POS
     if resume is not None:
+        row = ROW
         saved = resume.select(symbol, F.col("position").alias(FIRST), F.col("state").alias(STATE))
-        numbered = numbered.join(saved, symbol, "left").withColumn(
+        numbered = numbered.join(saved, symbol, "left").withColumn(ROW, F.col(POS)).withColumn(
             POS, F.col(POS) + F.coalesce(F.col(FIRST), F.lit(0))
         )
     # never NULL, and known to be so: a filter on it would keep scans from sharing the shuffle
-    home = F.coalesce(F.expr(f"{POS} div {chunk_rows}"), F.lit(0))
-    copied = F.col(POS) % chunk_rows >= chunk_rows - HALO
+    home = F.coalesce(F.expr(f"{row} div {chunk_rows}"), F.lit(0))
+    copied = F.col(row) % chunk_rows >= chunk_rows - HALO
     chunks = F.when(copied, F.array(home, home + 1)).otherwise(F.array(home))
     df = (
         numbered.withColumn(CHUNK, F.explode(chunks))
         .withColumn(HALO_FLAG, F.col(CHUNK) > home)
-        .withColumn(BLOCK, F.expr(f"{POS} div {BLOCK_ROWS}"))
+        .withColumn(BLOCK, F.expr(f"{row} div {BLOCK_ROWS}"))
         .repartition(symbol, CHUNK)
     )
-    return Series(df, symbol, ts, chunk_rows, longest)
+    return Series(df, symbol, ts, chunk_rows, longest, row=row)

@@ -133,17 +133,17 @@ def _resumed(df: DataFrame, kept: list[str], items: list[Recurrence], depth: int
 
 def _carries(series: Series, df: DataFrame, n_items: int) -> DataFrame | None:
     """Per (symbol, chunk): a map from block number to the carries into it."""
-    if series.longest < BLOCK_ROWS and FIRST not in df.columns:
+    if series.longest < BLOCK_ROWS:
         return None
     symbol = series.symbol
     maps = ", ".join(
         f"struct(exp(_p{i}) AS a, exp(_p{i}) * _s{i} AS b, exp(_p{i}) * (_f{i} + _s{i}) AS s)" for i in range(n_items)
     )
-    whole = df.where(f"NOT {HALO_FLAG} AND {POS} % {BLOCK_ROWS} = {BLOCK_ROWS - 1}")
+    whole = df.where(f"NOT {HALO_FLAG} AND {series.row} % {BLOCK_ROWS} = {BLOCK_ROWS - 1}")
     units = whole.selectExpr(f"`{symbol}`", CHUNK, f"{BLOCK} AS _unit", f"array({maps}) AS _maps")
     chunks = units.groupBy(symbol, CHUNK).agg(_gathered())  # at most one chunk of blocks, already together
 
-    if series.longest <= series.chunk_rows and FIRST not in df.columns:
+    if series.longest <= series.chunk_rows:
         return chunks.select(symbol, CHUNK, F.map_from_entries(_run(_unseen(n_items))).alias("_in"))
 
     # a small table that several branches read: written once, the bars above it are not redone for each

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -314,7 +315,7 @@ def ar_grid(
         shocks = lagged.df.join(fitted, series.symbol).withColumn(
             "_e", F.col("_y") - F.col("_start") - sum((F.col(f"_w{n}") * F.col(n) for n in long_names), F.lit(0.0))
         )
-        shocked = Series(shocks, series.symbol, series.ts, series.chunk_rows, series.longest)
+        shocked = replace(series, df=shocks)
         shocked = shocked.add(**{f"_e{k}": shocked.lag("_e", k) for k in range(1, q_max + 1)})
         names = [*[f"_y{k}" for k in range(1, p_max + 1)], *[f"_e{k}" for k in range(1, q_max + 1)]]
         second = M.moments(shocked.body(), [*names, "_y"], series.symbol)
