@@ -188,7 +188,7 @@ ORACLES = {
     # scaled predictor z = (x - mx) / sx
     "ridge": _ONE + "w AS (SELECT *, (n * cxy / sx) / (n * vx / (sx * sx) + 1000.0) / sx AS b FROM m) " + _LINE.format(
         c=r("my - b * mx", 3), b=r("b", 3), t="w"),
-    "lasso": _ONE + "w AS (SELECT *, greatest(cxy / sx - 100.0, 0) / (vx / (sx * sx)) / sx AS b FROM m) " + _LINE.format(
+    "lasso": _ONE + "w AS (SELECT *, sign(cxy) * greatest(abs(cxy) / sx - 100.0, 0) / (vx / (sx * sx)) / sx AS b FROM m) " + _LINE.format(
         c=r("my - b * mx", 3), b=r("b", 3), t="w"),
     "predict": f"""WITH {FINANCIAL}, t AS (SELECT symbol, close, c1 FROM num WHERE c1 IS NOT NULL),
         f AS (SELECT regr_slope(close, c1) AS b, regr_intercept(close, c1) AS a FROM t)

@@ -108,7 +108,7 @@ def _dense(spark, sf_dir):
     s = s.add(sma_12=s.rolling(F.avg, "close", 12), sma_300=s.rolling(F.avg, "close", 300), prev=s.lag("close"))
     wide = s.result()
     n = wide.count()
-    names = files.dense_columns(wide, ["sma_12", "sma_300", "prev"], int(n * 0.95))
+    names = files.dense_columns(wide, ["sma_12", "sma_300", "prev"], int(n * 0.8))
     return rounded(files.fill_zero(wide.select("symbol", "date_time", *names), *names))
 
 
