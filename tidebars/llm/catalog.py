@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidebars.llm.packing import pack_documents
 from tidebars.llm.simhash_gray import simhash_components
 from tidebars.llm.substring_dedup import dedup_substrings
+from tidebars.llm.token_files import token_files
+from tidebars.llm.tokens import default_tokenizer
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,15 +40,27 @@ FROM docs LEFT JOIN kept ON kept.doc_id = docs.doc_id
 """
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return pack_documents(docs, default_tokenizer(), size=4096, end=2).withColumnRenamed("id", "doc_id")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return simhash_components(docs, "doc_id", "text", shingle=3, bits=3).select(
         F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return token_files(docs, default_tokenizer(), end=1).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op4_packing": op4_packing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLES = {
