@@ -7,11 +7,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidebars.llm.decontamination import without_leaks
+from tidebars.llm.packing import pack_documents
 from tidebars.llm.simhash_gray import one_of_each
 from tidebars.llm.substring_dedup import without_repeats
+from tidebars.llm.tokens import default_tokenizer
+from tidebars.llm.toxicity import without_toxic
 from tidebars.session import stage
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on ``labels``, predicts toxic go."""
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id", "text", threshold=0.7)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays, that of the least id."""
     return one_of_each(docs, "doc_id", "text", shingle=3, bits=3)
@@ -22,9 +31,22 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return without_repeats(docs, "text", 35)
 
 
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of ``benchmark`` go."""
+    return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "doc_id", "text")
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 4096 ids."""
+    return pack_documents(docs, default_tokenizer(), "doc_id", "text", size=4096, end=2).withColumnRenamed("id", "doc_id")
+
+
 STAGES = [
+    ("toxicity", toxicity),
     ("simhash_near_dedup", near_duplicates),
     ("substring_dedup", repeated_passages),
+    ("benchmark_decontamination", benchmark_leaks),
+    ("packing", packing),
 ]
 
 #: SQL has neither the fingerprints nor the trained model nor the tokenizer; tests compare with brute force.

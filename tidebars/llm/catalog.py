@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidebars.llm.decontamination import leaked_items
 from tidebars.llm.packing import pack_documents
 from tidebars.llm.simhash_gray import simhash_components
 from tidebars.llm.substring_dedup import dedup_substrings
 from tidebars.llm.token_files import token_files
 from tidebars.llm.tokens import default_tokenizer
+from tidebars.llm.toxicity import score_toxicity
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +47,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, default_tokenizer(), size=4096, end=2).withColumnRenamed("id", "doc_id")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return score_toxicity(docs, labels, threshold=0.7).select(
+        F.col("id").alias("doc_id"), "held_out", "score", "predicted")
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return leaked_items(docs, benchmark).withColumnRenamed("id", "doc_id")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return simhash_components(docs, "doc_id", "text", shingle=3, bits=3).select(
@@ -59,6 +74,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_token_files": op10_token_files,
 }
