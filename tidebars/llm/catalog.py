@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebars.llm.decontamination import leaked_items
+from tidebars.llm.html_text import extract_text
 from tidebars.llm.packing import pack_documents
 from tidebars.llm.simhash_gray import simhash_components
 from tidebars.llm.substring_dedup import dedup_substrings
 from tidebars.llm.token_files import token_files
 from tidebars.llm.tokens import default_tokenizer
 from tidebars.llm.toxicity import score_toxicity
+from tidebars.llm.warc import read_warc, write_warc
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +44,11 @@ FROM docs LEFT JOIN kept ON kept.doc_id = docs.doc_id
 """
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return extract_text(pages).withColumnRenamed("id", "page_id")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return pack_documents(docs, default_tokenizer(), size=4096, end=2).withColumnRenamed("id", "doc_id")
@@ -66,6 +73,31 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return read_warc(write_warc(pages, min_bytes=0), payloads=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: Base32 digits from the hex digest: digit i has bits 5 i to 5 i + 4, which lie in two hex digits.
+_DIGITS = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((strpos('0123456789abcdef', substr(hex, {i * 5 // 4 + 1}, 1)) - 1) * 16"
+    f" + (strpos('0123456789abcdef', substr(hex, {i * 5 // 4 + 2}, 1)) - 1)) >> {3 - i * 5 % 4}) % 32, 1)"
+    for i in range(32)
+)
+OP9_SQL = f"""
+WITH digests AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), tops AS (
+  SELECT *, max(page_id) OVER (PARTITION BY hex) AS top FROM digests
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, {_DIGITS} AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM tops
+"""
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return token_files(docs, default_tokenizer(), end=1).withColumnRenamed("id", "doc_id")
@@ -73,13 +105,16 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_html_extraction": op3_html_extraction,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
     "op7_decontamination": op7_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_warc": op9_warc,
     "op10_token_files": op10_token_files,
 }
 
 ORACLES = {
     "op1_substring_dedup": OP1_SQL,
+    "op9_warc": OP9_SQL,
 }

@@ -55,6 +55,18 @@ def as_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [x or b"" for x in column.to_pylist()]
 
 
+def dealt_join(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows joined with an aggregate by ``keys`` (long or text), which may be hot in ``rows``.
+
+    Joined by the keys themselves, the aggregate would keep its partitions and the engine could not split those of
+    ``rows``. By their complements (texts: reversed) both sides are dealt out for the join alone, and large partitions are split.
+    """
+    turned = {k: F.reverse if rows.schema[k].dataType.simpleString() == "string" else F.bitwise_not for k in keys}
+    other = groups.select(*[turned[k](F.col(k)).alias(f"not_{k}") for k in keys], *[c for c in groups.columns if c not in keys])
+    on = [turned[k](rows[k]) == other[f"not_{k}"] for k in keys]
+    return rows.join(other, on).drop(*[f"not_{k}" for k in keys])
+
+
 def by_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable:
     """A function for ``mapInArrow`` from one that maps a single batch."""
 
