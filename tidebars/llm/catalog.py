@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidebars.llm.ann import nearest_neighbours
+from tidebars.llm.chat_windows import format_windows, read_back
 from tidebars.llm.decontamination import leaked_items
 from tidebars.llm.html_text import extract_text
 from tidebars.llm.packing import pack_documents
@@ -14,6 +16,7 @@ from tidebars.llm.token_files import token_files
 from tidebars.llm.tokens import default_tokenizer
 from tidebars.llm.toxicity import score_toxicity
 from tidebars.llm.warc import read_warc, write_warc
+from tidebars.session import stage
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +47,11 @@ FROM docs LEFT JOIN kept ON kept.doc_id = docs.doc_id
 """
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return nearest_neighbours(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     return extract_text(pages).withColumnRenamed("id", "page_id")
@@ -61,6 +69,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "held_out", "score", "predicted")
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    windows = stage(format_windows(turns.unionByName(extra), default_tokenizer()))
+    return read_back(windows).withColumnRenamed("id", "conv_id")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -105,9 +121,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_html_extraction": op3_html_extraction,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_decontamination": op7_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_warc": op9_warc,
