@@ -20,7 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebars.llm.common import Rolling, as_bytes, bounded_batches, by_batch, mixed, packed, unpacked, word_hashes
+from tidebars.llm.common import (
+    Rolling, as_bytes, bounded_batches, by_batch, dealt_join, mixed, packed, unpacked, word_hashes,
+)
 from tidebars.session import stage
 
 SEED_WORDS = 12
@@ -64,7 +66,8 @@ def _windows(min_words: int, seed: int):
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         parts = []
-        for rid, text, firsts in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist()):
+        columns = batch.column("rid").to_pylist(), as_bytes(batch.column("text")), batch.column("firsts").to_pylist()
+        for rid, text, firsts in zip(*columns):
             rolling, anchor, _, first, count = _owned(word_hashes(text.split()), min_words, seed)
             pick = np.isin(first, firsts)
             at, n = first[pick], count[pick]
@@ -112,18 +115,22 @@ def _cut(min_words: int):
 
 
 def repeated_runs(docs: DataFrame, min_words: int, seed: int = SEED_WORDS) -> DataFrame:
-    """``rid, first, n``: ``n`` repeated windows of the text from word ``first`` on. ``docs``: ``rid, text``."""
-    anchors = stage(docs.mapInArrow(
+    """``rid, first, n``: ``n`` repeated windows of the text from word ``first`` on. ``docs``: ``rid, row, text``.
+
+    The texts of open ends are taken with all columns, so that the engine deals ``docs`` out by ``rid`` once for this and
+    for the final cut.
+    """
+    anchors = stage(docs.select("rid", "text").mapInArrow(
         _anchors(min_words, seed), "rid bigint, first int, n int, anchor bigint, span bigint"))
     seen = anchors.groupBy("anchor").agg(
         F.count("*").alias("times"), F.min("span").alias("low"), F.max("span").alias("high"))
     seen = seen.where("times > 1").select("anchor", (F.col("low") != F.col("high")).alias("differ"))
-    found = stage(anchors.select("rid", "first", "n", "anchor").join(seen, "anchor").select("rid", "first", "n", "differ"))
+    found = stage(dealt_join(anchors.select("rid", "first", "n", "anchor"), seen, ["anchor"]).select("rid", "first", "n", "differ"))
     open_ends = found.where("differ").groupBy("rid").agg(F.collect_list("first").alias("firsts"))
-    windows = docs.join(open_ends, "rid").select("rid", "text", "firsts").mapInArrow(
+    windows = docs.join(open_ends, "rid").select("rid", "row", "text", "firsts").mapInArrow(
         _windows(min_words, seed), "rid bigint, first int, anchor bigint, window bigint")
     often = windows.groupBy("anchor", "window").agg(F.count("*").alias("times")).where("times > 1").drop("times")
-    ends = windows.join(often, ["anchor", "window"]).select("rid", "first", F.lit(1).alias("n"))
+    ends = dealt_join(windows, often, ["anchor", "window"]).select("rid", "first", F.lit(1).alias("n"))
     return found.where("not differ").select("rid", "first", "n").unionByName(ends)
 
 
@@ -141,7 +148,8 @@ def dedup_substrings(docs: DataFrame, text_col: str = "text", min_words: int = 3
         raise ValueError("seed must lie between 1 and min_words")
     bounded_batches(docs.sparkSession)
     rows = packed(docs, text_col).withColumnRenamed("c0", "text").withColumn("text", F.col("text").cast("string"))
-    runs = repeated_runs(rows.select("rid", "text"), min_words, seed)
+    rows = rows.select("rid", "row", "text")
+    runs = repeated_runs(rows, min_words, seed)
     runs = runs.groupBy("rid").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
     schema = rows.schema
     joined = rows.join(runs, "rid", "left").select("rid", "row", "text", "runs")
