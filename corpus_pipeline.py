@@ -6,6 +6,7 @@ Each stage is written as Parquet and reread before the next; all but the last re
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidebars.llm.decontamination import without_leaks
 from tidebars.llm.packing import pack_documents
@@ -27,8 +28,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 35 words or more that occur again are cut; every document stays."""
-    return without_repeats(docs, "text", 35)
+    """Passages of 35 words or more that occur again are cut and ``n_chars`` follows; every document stays."""
+    kind = docs.schema["n_chars"].dataType
+    return without_repeats(docs, "text", 35).withColumn("n_chars", F.length("text").cast(kind))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

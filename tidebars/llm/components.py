@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidebars.llm.common import dealt_join
 from tidebars.session import stage
 
 
@@ -21,10 +22,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = dealt_join(both, least, ["a"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = stage(large)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = dealt_join(large, least, ["a"]).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         star = stage(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         state = star.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == last:

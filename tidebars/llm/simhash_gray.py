@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebars.llm.common import as_bytes, bounded_batches, by_batch, packed, unpacked
+from tidebars.llm.common import as_bytes, bounded_batches, by_batch, dealt_join, packed, unpacked
 from tidebars.llm.components import components
 from tidebars.session import stage
 
@@ -219,7 +219,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     prints, classes = _classes(_rows(docs, id_col, text_col), shingle, bits)
     classes = stage(classes)
     least = classes.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_print = classes.join(least, "root").select("fp", "component_id")
+    by_print = dealt_join(classes, least, ["root"]).select("fp", "component_id")
     return prints.join(by_print, "fp").select(
         "id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
