@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from tidebars.operators import scan as scan_module
 from tidebars.operators.indicators.psar import COLUMNS, psar, psar_step
-from tidebars.operators.layout import CHUNK, HALO, HALO_FLAG, POS, lay_out
+from tidebars.operators.layout import CHUNK, HALO, HALO_FLAG, POS, keyless_rows, lay_out
 from tidebars.operators.scan import Recurrence, affine_scan, ema, first_value, running_sum
-from tidebars.operators.windows import lag_fill, rolling
+from tidebars.operators.windows import cumulative, lag_fill, rolling
 
 pytestmark = pytest.mark.usefixtures("small_chunks")
 
@@ -138,3 +138,41 @@ def test_a_wrong_guess_is_put_right(make_bars):
     for t, (high, low) in enumerate(by_time(bars, "high", "low")):
         state, _ = psar_step(state, high, low, 0.02, 0.2)
         assert got[t][0 if state[0] else 1] == (state[1] if t or not state[0] else None)
+
+
+@pytest.mark.parametrize("rows", [256, 512, 8192])
+def test_long_windows_are_whole_at_any_chunk_size(walk, rows):
+    bars = walk(1500)
+    s = lay_out(bars, chunk_rows=rows, lookback=400)
+    s = s.add(m=s.rolling(F.avg, "close", 300), back=s.lag("close", 400))
+    got = by_time(s.result("m", "back"), "m", "back")
+    close = np.array([r[0] for r in by_time(bars, "close")])
+    assert sum(m is not None for m, _ in got) == 1201 and sum(b is not None for _, b in got) == 1100
+    assert got[1400][0] == pytest.approx(close[1101:1401].mean()) and got[1400][1] == close[1000]
+
+
+def test_windows_beyond_the_copies_are_refused(walk):
+    s = lay_out(walk(50))
+    with pytest.raises(ValueError, match="lookback"):
+        s.lag("close", HALO + 1)
+    s = s.add(x=s.rolling(F.avg, "close", 200))
+    with pytest.raises(ValueError, match="lookback"):
+        s.add(y=s.rolling(F.avg, "x", 100))
+    s = affine_scan(s, [running_sum("r", F.col("x"))])
+    assert s.reach["r"] == 256
+    with pytest.raises(ValueError, match="lookback"):
+        s.add(z=s.lag("r"))
+    with pytest.raises(ValueError):
+        ema("e", F.col("close"), 1)
+
+
+def test_running_product_of_changing_sign(make_bars):
+    s = cumulative(lay_out(make_bars([("a", h, c, c, c, c, 1) for h, c in enumerate([10, -5, 20, 40, -40])])), "close")
+    assert [r[0] for r in by_time(s.result("cum_product"), "cum_product")] == pytest.approx([1.0, -0.5, 2.0, 4.0, -4.0])
+
+
+def test_rows_without_key_are_set_apart(make_bars):
+    bars = make_bars([(s, h, 1, 1, 1, 1, 1) for s in ("a", "b") for h in range(3)])
+    broken = bars.unionByName(bars.limit(1).withColumn("symbol", F.lit(None).cast("string"))).unionByName(
+        bars.limit(2).withColumn("date_time", F.lit(None).cast("timestamp_ntz")))
+    assert lay_out(broken).result().count() == 6 and keyless_rows(broken).count() == 3

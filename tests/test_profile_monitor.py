@@ -20,7 +20,6 @@ def numbers(spark, values, name="x"):
     ],
 )
 def test_narrowed_quantiles_equal_sorting(spark, monkeypatch, values):
-    monkeypatch.setattr(profile, "_SMALL", -1)
     monkeypatch.setattr(profile, "_BINS", 8)
     probs = (0.0, 0.25, 0.5, 0.75, 0.99, 1.0)
     got = profile.quantiles(numbers(spark, values), ["x"], probs)["x"]
@@ -31,8 +30,44 @@ def test_narrowed_quantiles_equal_sorting(spark, monkeypatch, values):
 def test_quantiles_of_nothing(spark, monkeypatch):
     empty = numbers(spark, [None, None])
     assert profile.quantiles(empty, ["x"], (0.5,))["x"] == [None]
-    monkeypatch.setattr(profile, "_SMALL", -1)
-    assert profile.quantiles(empty, ["x"], (0.5,))["x"] == [None]
+
+
+def test_quantiles_with_nan_and_infinities(spark):
+    rows = [(1.0, math.nan), (2.0, -math.inf), (3.0, 1.0), (math.nan, math.inf), (None, 5.0)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    got = profile.quantiles(df, ["x", "y"], (0.0, 0.25, 0.5, 1.0))
+    assert got["x"][:3] == [1.0, 1.75, 2.5] and math.isnan(got["x"][3])
+    assert got["y"][:3] == [-math.inf, 1.0, 5.0] and math.isnan(got["y"][3])
+    wide = spark.createDataFrame([(-1e308,), (1e308,), (0.0,)], "x double")
+    assert profile.quantiles(wide, ["x"], (0.5,))["x"] == [0.0]
+
+
+def test_constant_and_collinear_columns(spark):
+    rng = np.random.default_rng(2)
+    a, b = rng.normal(size=200), rng.normal(size=200)
+    df = spark.createDataFrame([(float(x), float(y), float(x + y), 7.0, float(x)) for x, y in zip(a, b)], "a double, b double, s double, c double, t double")
+    r = {(x["feature_x"], x["feature_y"]): x["r"] for x in profile.corr_matrix(df, ["a", "s", "c"]).collect()}
+    assert r["a", "s"] == pytest.approx(np.corrcoef(a, a + b)[0, 1]) and r["a", "a"] == pytest.approx(1.0) and r["a", "c"] is None
+    assert {x["feature"] for x in profile.corr_select(df, ["a", "b", "c", "s"], "t", 0.5).collect()} == {"a", "s"}
+    v = {x["feature"]: x["vif"] for x in profile.vif(df, ["a", "b", "s", "c"]).collect()}
+    assert v == {"a": math.inf, "b": math.inf, "s": math.inf, "c": None}
+    assert profile.collinearity_profile(df, ["a", "b", "c"]).count() == 3
+
+
+def test_windows_leave_out_rows_without_a_value(spark):
+    rows = [(f"2024-01-01 {h:02d}:00:00", float(h), float(h)) for h in range(20)]
+    lost = rows + [("2024-01-01 21:00:00", None, 3.0), ("2024-01-01 22:00:00", None, None)]
+    for data, n in ((rows, 20), (lost, 21)):
+        df = spark.createDataFrame(data, "t string, close double, p double").withColumn("date_time", F.to_timestamp_ntz("t"))
+        got = monitor.monitor_window(df, "close", "p").first()
+        assert got["n"] == n and got["psi"] == pytest.approx(0.0, abs=0.02) and got["status"] == "green"
+
+
+def test_kde_without_values(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (4.0, None)], "a double, b double")
+    rows = monitor.kde_grid(df, "a", "b", 50).collect()
+    assert len(rows) == 50 and all(r["density_b"] is None and r["density_a"] > 0 for r in rows)
+    assert monitor.kde_grid(df.select(F.col("b").alias("a"), "b"), "a", "b", 50).collect() == []
 
 
 def _psi(a, b, edges):

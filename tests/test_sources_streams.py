@@ -1,17 +1,20 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidebars.functions import schemas
 from tidebars.operators import relational as R
+from tidebars.operators.indicators import TECHNICAL_COLUMNS
 from tidebars.plans import models as P
 from tidebars.plans import scoring
+from tidebars.plans.history import technical_table
 from tidebars.sources import files, news
 from tidebars.sources import tables as T
 from tidebars.sources.ticks import bars_from_ticks
 from tidebars.streaming import bars as B
-from tidebars.streaming.stateful import indicator_stream
+from tidebars.streaming.stateful import indicator_sink, indicator_stream
 
 HEADER = "<DATE>\t<TIME>\t<OPEN>\t<HIGH>\t<LOW>\t<CLOSE>\t<TICKVOL>\t<VOL>\t<SPREAD>\n"
 
@@ -67,7 +70,7 @@ def test_tables(spark, make_bars, tmp_path):
     T.create_table(spark, path, schemas.FINANCIAL_DATA)
     T.create_table(spark, path, schemas.FINANCIAL_DATA)
     table = T.read_fixed(spark, path, schemas.FINANCIAL_DATA)
-    assert table.count() == 0 and T.truncate(table).columns == table.columns
+    assert table.count() == 0
     bars = make_bars([(s, h, 1, 1, 1, 1, 1) for h in range(30) for s in "ab"])
     keyed = T.surrogate_key(bars, "pred_key", schemas.FIRST_PREDICTION_KEY)
     first = keyed.filter(F.col("pred_key") < 100986 + 40)
@@ -132,8 +135,8 @@ def test_stateful_indicators_continue_over_batches(spark, walk, tmp_path):
         start = F.lit("2024-01-01").cast("timestamp_ntz")
         part = bars.filter((F.col("date_time") >= start + F.expr(f"INTERVAL {low} HOUR")) & (F.col("date_time") < start + F.expr(f"INTERVAL {high} HOUR")))
         part.coalesce(1).write.mode("append").parquet(src)
-        stream = indicator_stream(spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 1).parquet(src))
-        B.run_batches(stream, state, B.append_sink(out)).awaitTermination()
+        stream = indicator_stream(spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 1).parquet(src), "0 seconds")
+        B.run_batches(stream, state, indicator_sink(out, out + "-late")).awaitTermination()
     rows = spark.read.parquet(out).orderBy("date_time").collect()
     closes = [r["close"] for r in bars.orderBy("date_time").collect()]
     assert len(rows) == 60
@@ -141,3 +144,63 @@ def test_stateful_indicators_continue_over_batches(spark, walk, tmp_path):
     for t, (r, c) in enumerate(zip(rows, closes)):
         e = c if e is None else e + (c - e) * 2 / 13
         assert r["close"] == c and r["trend_ema_fast"] == (pytest.approx(e) if t >= 11 else None)
+
+
+@pytest.mark.parametrize("a_trigger", [1, 3, 100])
+def test_bars_in_any_file_order_are_applied_in_time_order(spark, walk, tmp_path, a_trigger):
+    src, out, late, state = (str(tmp_path / n) for n in ("src", "out", "late", "state"))
+    bars = walk(240, ("a", "b"))
+    for low in (20, 0, 40, 80, 60, 100, 140, 120, 160, 200, 180, 220):
+        start = F.lit("2024-01-01").cast("timestamp_ntz")
+        part = bars.filter((F.col("date_time") >= start + F.expr(f"INTERVAL {low} HOUR")) & (F.col("date_time") < start + F.expr(f"INTERVAL {low + 20} HOUR")))
+        part.coalesce(1).write.mode("append").parquet(src)
+    stream = indicator_stream(spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", a_trigger).parquet(src), "41 hours")
+    B.run_batches(stream, state, indicator_sink(out, late)).awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == 2 * (240 - 41) and spark.read.schema(bars.schema).parquet(late).count() == 0 if os.path.exists(late) else True
+    want = {(r["symbol"], r["date_time"]): r for r in technical_table(bars).collect()}
+    for r in got.collect():
+        other = want[r["symbol"], r["date_time"]]
+        for c in TECHNICAL_COLUMNS:
+            assert r[c] == (None if other[c] is None else pytest.approx(other[c], rel=1e-9, abs=1e-9)), c
+
+
+def test_bars_that_come_too_late_are_set_apart(spark, walk, tmp_path):
+    src, out, late, state = (str(tmp_path / n) for n in ("src", "out", "late", "state"))
+    bars = walk(60)
+    missing = F.col("date_time") == F.lit("2024-01-01 10:00:00").cast("timestamp_ntz")
+    for part in (bars.filter(~missing), bars.filter(missing)):
+        part.coalesce(1).write.mode("append").parquet(src)
+        stream = indicator_stream(spark.readStream.schema(bars.schema).parquet(src))
+        B.run_batches(stream, state, indicator_sink(out, late)).awaitTermination()
+    assert spark.read.parquet(out).count() == 57
+    assert [str(r["date_time"]) for r in spark.read.parquet(late).collect()] == ["2024-01-01 10:00:00"]
+
+
+def test_all_articles_of_a_page(spark):
+    html = '<article class="x"><h1>A</h1><p>one</p></article><div></div><article><h1>B</h1></article><article><p>cut'
+    pages = spark.createDataFrame([(1, "u", html), (2, "v", "no article"), (3, "w", None)], "page_id bigint, url string, html string")
+    got = [(r["page_id"], r["title"], r["summary"], r["link"]) for r in news.page_articles(pages).collect()]
+    assert got == [(1, "A", "one", "u"), (1, "B", None, "u"), (1, None, None, "u")]
+
+
+def test_keys_number_all_rows(spark, make_bars):
+    bars = make_bars([(s, 0, 1, 1, 1, 1, 1) for s in "abcdefgh"] + [("a", h, 1, 1, 1, 1, 1) for h in range(1, 30)])
+    broken = bars.unionByName(bars.limit(3).withColumn("date_time", F.lit(None).cast("timestamp_ntz")))
+    rows = T.surrogate_key(broken, "k", 5).orderBy("k").collect()
+    assert [r["k"] for r in rows] == list(range(5, 45))
+    assert [r["date_time"] is None for r in rows] == [True] * 3 + [False] * 37
+    times = [(r["date_time"], r["symbol"]) for r in rows[3:]]
+    assert times == sorted(times)
+
+
+def test_tables_are_rewritten(spark, make_bars, tmp_path):
+    path = str(tmp_path / "t")
+    bars = make_bars([(s, h, 1, 1, 1, 1, 1) for h in range(30) for s in "ab"])
+    T.append_new(bars.unionByName(bars), path)
+    assert spark.read.parquet(path).count() == 60
+    assert "tick_vol" not in T.drop_column(spark, path, "tick_vol").columns and spark.read.parquet(path).count() == 60
+    assert T.truncate_table(spark, path).count() == 0
+    T.append_rows(bars.drop("tick_vol"), path)
+    assert spark.read.parquet(path).count() == 60
+    assert T.drop_table(spark, path) and not T.drop_table(spark, path)

@@ -5,10 +5,12 @@ Ticks are the events: a symbol per event type, the value as price.
 
 from __future__ import annotations
 
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebars.operators.layout import POS, Series, lay_out
+from tidebars.operators.layout import HALO, POS, Series, lay_out
 from tidebars.operators.windows import lag_fill
 from tidebars.sources.ticks import bars_from_ticks, event_ticks
 
@@ -25,8 +27,30 @@ def bars(spark: SparkSession, sf_dir: str, width: str = "1 hour") -> DataFrame:
     return bars_from_ticks(ticks(spark, sf_dir), tie="event_id", width=width)
 
 
-def series(spark: SparkSession, sf_dir: str) -> Series:
-    return lay_out(bars(spark, sf_dir))
+#: Width of the bars and rows of a chunk of :func:`series`; None takes the default.
+_SHAPE: ContextVar[tuple[str, int | None]] = ContextVar("shape", default=("1 hour", None))
+
+
+def series(spark: SparkSession, sf_dir: str, lookback: int = HALO) -> Series:
+    width, rows = _SHAPE.get()
+    return lay_out(bars(spark, sf_dir, width), chunk_rows=rows, lookback=lookback)
+
+
+def across_chunks(run):
+    """The query over bars of a second in the smallest chunks: many chunks per symbol."""
+
+    def long(spark: SparkSession, sf_dir: str) -> DataFrame:
+        token = _SHAPE.set(("1 second", HALO))
+        try:
+            return run(spark, sf_dir)
+        finally:
+            _SHAPE.reset(token)
+
+    return long
+
+
+def across_chunks_sql(sql: str) -> str:
+    return sql.replace("time_bucket(INTERVAL '1 hour', ts)", "time_bucket(INTERVAL '1 second', ts)")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

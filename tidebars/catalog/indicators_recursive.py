@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidebars.catalog.common import NUM, over, r, rounded, series
+from tidebars.catalog.common import NUM, across_chunks, across_chunks_sql, over, r, rounded, series
 from tidebars.catalog.indicators_window import ORACLES as WINDOWED
 from tidebars.catalog.indicators_window import _TR, _W, _full, _recipe, _sql
 from tidebars.operators.indicators import ALL_COLUMNS, add_all_indicators
@@ -201,3 +201,7 @@ _PARTS = {
 ORACLES["indicators_all"] = "SELECT * FROM " + " JOIN ".join(
     f"({sql}) p{i}" + (" USING (symbol, date_time)" if i else "") for i, sql in enumerate(_PARTS.values())
 )
+
+for _name in ("ema", "kama", "adx", "psar"):
+    QUERIES[f"{_name}_long"] = across_chunks(QUERIES[_name])
+    ORACLES[f"{_name}_long"] = across_chunks_sql(ORACLES[_name])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidebars.catalog.common import NUM, over, r, roll, rounded, series
+from tidebars.catalog.common import across_chunks, across_chunks_sql, NUM, over, r, roll, rounded, series
 from tidebars.operators import windows as W
 from tidebars.operators.indicators import add_indicators, volume
 from tidebars.operators.indicators.base import apply_recipes
@@ -71,7 +71,15 @@ _BB = ["bbm", "bbh", "bbl", "bbw", "bbp", "bbhi", "bbli"]
 _KC = ["kcc", "kch", "kcl", "kcw", "kcp", "kchi", "kcli"]
 _DC = ["dcl", "dch", "dcm", "dcw", "dcp"]
 
+def _rolling_long(spark, sf_dir):
+    """Windows and lags beyond the usual copies of a chunk."""
+    s = series(spark, sf_dir, lookback=400)
+    s = s.add(sma_300=s.rolling(F.avg, "close", 300), lag_400=s.lag("close", 400))
+    return rounded(s.result("sma_300", "lag_400"))
+
+
 QUERIES = {
+    "rolling_long": across_chunks(_rolling_long),
     "hist_close": _hist_close,
     "lag_all": _lag_all,
     "rolling": _rolling,
@@ -138,6 +146,7 @@ ORACLES = {
     "hist_close": f"WITH {NUM} SELECT symbol, date_time, close, coalesce(c1, 0) AS hist_close FROM num",
     "lag_all": f"""WITH {NUM} SELECT symbol, date_time, lag(open) {_W} AS open, h1 AS high, l1 AS low, close, v1 AS tick_vol
         FROM num""",
+    "rolling_long": across_chunks_sql(_sql({"sma_300": roll("avg", "close", 300), "lag_400": "lag(close, 400) OVER (PARTITION BY symbol ORDER BY date_time)"})),
     "rolling": _sql({
         "mean_24": roll("avg", "close", 24), "sum_24": roll("sum", "close", 24), "min_24": roll("min", "close", 24),
         "max_24": roll("max", "close", 24), "std_24": roll("stddev_samp", "close", 24),
@@ -231,3 +240,6 @@ ORACLES = {
         "others_cr": f"100 * (close - first_value(close) {_W}) / nullif(first_value(close) {_W}, 0)",
     }),
 }
+
+QUERIES["cumulative_long"] = across_chunks(_cumulative)
+ORACLES["cumulative_long"] = across_chunks_sql(ORACLES["cumulative"])

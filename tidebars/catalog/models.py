@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidebars.catalog.common import FINANCIAL, bars, r, rounded, series, table
@@ -122,7 +124,7 @@ def _pvalue_select(spark, sf_dir):
     df, _ = _features(spark, sf_dir)
     train = df.filter(F.col("slice") == "train")
     kept = P.pvalue_select(train, MODEL_INPUT, "close") or MODEL_INPUT
-    path = f"{shared_dir(spark)}/model"
+    path = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
     P.save_model(P.linear_pipeline(kept, "close").fit(train), path)
     return P.evaluate_slices(P.load_model(path), df, "close").withColumn("kept", F.lit(",".join(kept)))
 
@@ -137,7 +139,7 @@ def _predict(spark, sf_dir):
 
 def _rfe(spark, sf_dir):
     df, _ = _features(spark, sf_dir)
-    return P.rfe(df, MODEL_INPUT, "close", 4)
+    return P.rfe(df.filter(F.col("slice") == "train"), MODEL_INPUT, "close", 4)
 
 
 def _ar(spark, sf_dir):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidebars.catalog.common import BARS, NUM, bars, financial, r, rounded, series, table
 from tidebars.functions import schemas
 from tidebars.functions.scalar import plus_hours, to_numeric, to_timestamp
+from tidebars.operators.layout import keyless_rows
 from tidebars.operators.windows import lag_fill
 from tidebars.session import shared_dir
 from tidebars.sources import files, news
@@ -104,7 +105,7 @@ def _dedup(spark, sf_dir):
 
 
 def _dense(spark, sf_dir):
-    s = series(spark, sf_dir)
+    s = series(spark, sf_dir, lookback=300)
     s = s.add(sma_12=s.rolling(F.avg, "close", 12), sma_300=s.rolling(F.avg, "close", 300), prev=s.lag("close"))
     wide = s.result()
     n = wide.count()
@@ -157,7 +158,35 @@ def _saved_csv(spark, sf_dir):
     return files.read_features_csv(spark, path, ["date_time", "close", "open", "hist_close"])
 
 
+def _keyless(spark, sf_dir):
+    """Bars whose time or symbol is missing, as exports may have them."""
+    b = bars(spark, sf_dir)
+    lost = b.withColumn("date_time", F.when(F.col("tick_vol") % 7 != 0, F.col("date_time"))).withColumn(
+        "symbol", F.when(F.col("tick_vol") % 5 != 0, F.col("symbol")))
+    return keyless_rows(lost).select("symbol", "date_time", "close")
+
+
+def _truncated(spark, sf_dir):
+    """A table emptied and filled again."""
+    path = _scratch(spark, "truncated")
+    b = bars(spark, sf_dir)
+    T.append_rows(b, path)
+    T.truncate_table(spark, path)
+    T.append_rows(files.filter_before(b, "2024-01-10 00:00:00"), path)
+    return files.read_table(spark, path).select("symbol", "date_time", "close")
+
+
+def _column_dropped(spark, sf_dir):
+    path = _scratch(spark, "narrower")
+    T.append_rows(bars(spark, sf_dir), path)
+    T.drop_column(spark, path, "tick_vol", "no_such_column")
+    return spark.read.parquet(path).select("*").drop("ym")
+
+
 QUERIES = {
+    "keyless_rows": _keyless,
+    "truncate_table": _truncated,
+    "drop_column": _column_dropped,
     "bars_hourly": bars,
     "bars_daily": lambda spark, sf_dir: bars(spark, sf_dir, "1 day"),
     "typed_bars": _typed_bars,
@@ -183,6 +212,11 @@ QUERIES = {
 
 _ALL = "symbol, date_time, open, high, low, close, tick_vol"
 ORACLES = {
+    "keyless_rows": f"""WITH {BARS}, lost AS (SELECT CASE WHEN tick_vol % 5 <> 0 THEN symbol END AS symbol,
+        CASE WHEN tick_vol % 7 <> 0 THEN date_time END AS date_time, close FROM bars)
+        SELECT * FROM lost WHERE symbol IS NULL OR date_time IS NULL""",
+    "truncate_table": f"WITH {BARS} SELECT symbol, date_time, close FROM bars WHERE date_time < TIMESTAMP '2024-01-10'",
+    "drop_column": f"WITH {BARS} SELECT symbol, date_time, open, high, low, close FROM bars",
     "bars_hourly": f"WITH {BARS} SELECT {_ALL} FROM bars",
     "bars_daily": f"WITH {BARS.replace('1 hour', '1 day')} SELECT {_ALL} FROM bars",
     "typed_bars": f"""WITH {BARS} SELECT symbol, date_time, open, high, low, close, CAST(tick_vol AS INTEGER) AS tick_vol,
@@ -194,7 +228,7 @@ ORACLES = {
     "json_path": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "articles": """SELECT page_id, nullif(regexp_extract(a, '(?s)<h1>(.*?)</h1>', 1), '') AS title, CAST(NULL AS VARCHAR) AS date,
         nullif(regexp_extract(a, '(?s)<p>(.*?)</?p>', 1), '') AS summary, url AS link
-        FROM (SELECT *, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS a FROM pages WHERE html LIKE '%<article>%') x""",
+        FROM (SELECT *, unnest(regexp_extract_all(html, '(?s)<article(?:\\s[^>]*)?>(.*?)(?:</article>|\\z)', 1)) AS a FROM pages) x""",
     "article_elements": """SELECT CAST(NULL AS VARCHAR) AS title, CAST(NULL AS VARCHAR) AS date, CAST(NULL AS VARCHAR) AS summary,
         nullif(regexp_extract(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<a href="([^"]*)"', 1), '') AS link
         FROM pages WHERE html LIKE '%<article>%'""",

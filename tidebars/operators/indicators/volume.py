@@ -92,10 +92,12 @@ def nvi(s: Series, start: float = 1000.0) -> list[Step]:
             ).otherwise(F.lit(1.0))
         },
         [
-            running_sum("_nvi_log", F.when(F.col("_nvi") > 0, F.ln("_nvi")).otherwise(0.0)),
+            running_sum("_nvi_log", F.when(F.col("_nvi") != 0, F.ln(F.abs("_nvi"))).otherwise(0.0)),
+            running_sum("_nvi_turns", F.when(F.col("_nvi") < 0, 1.0).otherwise(0.0)),
             running_sum("_nvi_zero", F.when(F.col("_nvi") == 0, 1.0).otherwise(0.0)),
         ],
-        {"volume_nvi": F.when(F.col("_nvi_zero") > 0, 0.0).otherwise(F.exp("_nvi_log") * F.lit(start))},
+        {"volume_nvi": F.when(F.col("_nvi_zero") > 0, 0.0).otherwise(
+            F.exp("_nvi_log") * F.when(F.col("_nvi_turns") % 2 == 1, -1.0).otherwise(1.0) * F.lit(start))},
     ]
 
 

@@ -2,18 +2,21 @@
 
 A window ordered by time and partitioned by symbol alone sends a whole symbol
 to one task.  Here every symbol is cut into chunks of ``chunk_rows``
-consecutive bars, and the last ``HALO`` bars of a chunk are copied to the next
-one, so that any window of up to ``HALO`` rows sees all of its rows inside one
+consecutive bars, and the last ``halo`` bars of a chunk are copied to the next
+one, so that any window of up to ``halo`` rows sees all of its rows inside one
 chunk.  Tasks are then of equal size however the rows are spread over symbols.
+The series knows how many earlier rows each of its columns rests on, windows over
+windows included, and refuses a column that reaches back beyond the copies.
 
-Row positions come from counts per (symbol, time bucket): a bucket spans as
-much time as ``chunk_rows`` bars take, so neither the counting nor the
-numbering ever gathers a whole symbol.
+Row positions come from counts per symbol in the partitions of one sort by
+(symbol, time): the partitions are of equal size whatever the width of the bars,
+so neither the counting nor the numbering ever gathers a whole symbol.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+import re
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -23,41 +26,50 @@ from tidebars.session import only_row, stage
 POS, CHUNK, BLOCK, HALO_FLAG = "_pos", "_chunk", "_block", "_halo"
 FIRST, STATE, ROW = "_first", "_state", "_row"  # of a resumed series
 BLOCK_ROWS = 128  # rows per block of the affine scan
-HALO = 256  # copied rows: two whole blocks
+HALO = 256  # copied rows unless more are asked for: two whole blocks
 CHUNK_ROWS = 8192
+RESUME_STEP = 64  # bars between the resume points of successive scan depths
+
+_FRAME = re.compile(r"ROWS BETWEEN -(\d+) AND")
+_LAG = re.compile(r"\blag\([^()]*(?:\([^()]*\)[^()]*)*, (\d+),")
+_NAME = re.compile(r"[A-Za-z_]\w*")
+
+
+def _lookback(text: str) -> int:
+    """Earlier rows that the windows of an expression take in."""
+    return max(map(int, [0, *_FRAME.findall(text), *_LAG.findall(text)]))
 
 
 def number_rows(
     bars: DataFrame,
     symbol: str = "symbol",
     ts: str = "date_time",
-    bar_seconds: int = 3600,
-    bucket_rows: int = CHUNK_ROWS,
-    stored: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Add the 0-based position of each bar within its symbol, in time order.
 
-    ``(symbol, ts)`` must be unique.  ``stored`` says that ``bars`` is already a
-    table that is cheap to scan twice.  Returns the numbered bars and the
-    per-bucket offsets (one row per ``bucket_rows`` bars).
+    ``(symbol, ts)`` must be unique.  Rows without symbol or time have no place in a
+    series and are left out; :func:`keyless_rows` has them.  Returns the numbered
+    bars and the offsets (one row per symbol and partition of the sort).
     """
-    source = bars if stored else stage(bars)
-    span = bar_seconds * bucket_rows
-    bucketed = source.withColumn(
-        "_bucket", F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(span))
-    )
-    before = Window.partitionBy(symbol).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = bucketed.groupBy(symbol, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    placed = bars.filter(F.col(symbol).isNotNull() & F.col(ts).isNotNull()).repartitionByRange(symbol, ts)
+    source = stage(placed.withColumn("_part", F.spark_partition_id()))
+    before = Window.partitionBy(symbol).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = source.groupBy(symbol, "_part").agg(F.count(F.lit(1)).alias("_rows"))
     offsets = counts.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    inside = Window.partitionBy(symbol, "_bucket").orderBy(ts)
+    inside = Window.partitionBy(symbol, "_part").orderBy(ts)
     numbered = (
-        bucketed.join(offsets.drop("_rows"), [symbol, "_bucket"])
+        source.join(offsets.drop("_rows"), [symbol, "_part"])
         .withColumn(POS, F.col("_offset") + F.row_number().over(inside) - 1)
-        .drop("_bucket", "_offset")
+        .drop("_part", "_offset")
     )
     return numbered, offsets
 
 
+def keyless_rows(bars: DataFrame, symbol: str = "symbol", ts: str = "date_time") -> DataFrame:
+    """The rows that a series leaves out: no symbol or no time."""
+    return bars.filter(F.col(symbol).isNull() | F.col(ts).isNull())
+
+
 @dataclass(frozen=True)
 class Series:
     """Bars in the chunked layout, with the window helpers that rely on it."""
@@ -69,17 +81,30 @@ class Series:
     longest: int  # rows of the longest symbol
     scans: tuple[tuple[str, int], ...] = ()  # columns made by scans, with their depth
     row: str = POS  # position among the rows at hand, which decides chunk and block
+    halo: int = HALO
+    reach: dict[str, int] = field(default_factory=dict)  # earlier rows that a column rests on
+    warm: dict[str, int] = field(default_factory=dict)  # rows of a resumed series before a column is right
 
     def window(self, n: int) -> WindowSpec:
         """The current row and the ``n - 1`` rows before it."""
+        self._allowed(n - 1)
         return self._ordered().rowsBetween(-(n - 1), 0)
 
+    def _allowed(self, rows: int, what: str = "a window") -> None:
+        if rows > self.halo:
+            raise ValueError(f"{what} reaches {rows} rows back; lay the series out with lookback={rows} or more")
+
+    def rests_on(self, text: str, known: dict[str, int]) -> int:
+        """Rows before the current one that an expression needs, its columns' own needs included."""
+        return _lookback(text) + max([0, *(known.get(n, 0) for n in set(_NAME.findall(text)))])
+
     def _ordered(self) -> WindowSpec:
         # The block number is implied by the position; naming it first gives
         # these windows and the scan's block windows one common sort.
         return Window.partitionBy(self.symbol, CHUNK).orderBy(BLOCK, POS)
 
     def lag(self, column: str | Column, k: int = 1) -> Column:
+        self._allowed(k, "a lag")
         return F.lag(column, k).over(self._ordered())
 
     def rolling(self, agg, column: str | Column, n: int) -> Column:
@@ -89,7 +114,14 @@ class Series:
         return F.when(F.count(column).over(w) == n, agg(column).over(w))
 
     def add(self, **columns: Column) -> "Series":
-        return replace(self, df=self.df.withColumns(columns))
+        reach, warm = dict(self.reach), dict(self.warm)
+        for name, column in columns.items():
+            text = str(column)
+            reach[name], warm[name] = self.rests_on(text, self.reach), self.rests_on(text, self.warm)
+            self._allowed(reach[name], name)
+            if FIRST in self.df.columns and warm[name] > HALO:
+                raise ValueError(f"{name} needs {warm[name]} rows of context, a resumed series has {HALO}")
+        return replace(self, df=self.df.withColumns(columns), reach=reach, warm=warm)
 
     def body(self) -> DataFrame:
         """The bars without the copies, with the helper columns still there."""
@@ -107,13 +139,15 @@ def lay_out(
     bars: DataFrame,
     symbol: str = "symbol",
     ts: str = "date_time",
-    bar_seconds: int = 3600,
     chunk_rows: int | None = None,
-    stored: bool = False,
     resume: DataFrame | None = None,
+    lookback: int = HALO,
 ) -> Series:
     """Put bars into the chunked layout (one shuffle on ``(symbol, chunk)``).
 
+    ``lookback`` is the number of earlier rows that the longest window, or chain of
+    windows, rests on; chunks are never shorter than that.
+
     ``resume`` has one row per symbol whose bars do not start at its first bar:
     the position of the first bar at hand, and the saved states of the scans.
     """
@@ -121,7 +155,9 @@ def lay_out(
         chunk_rows = int(bars.sparkSession.conf.get("tidebars.chunk.rows", str(CHUNK_ROWS)))
     if chunk_rows % BLOCK_ROWS or chunk_rows < HALO:
         raise ValueError(f"chunk_rows must be a multiple of {BLOCK_ROWS} and at least {HALO}")
-    numbered, offsets = number_rows(bars, symbol, ts, bar_seconds, chunk_rows, stored)
+    halo = max(HALO, -(-lookback // BLOCK_ROWS) * BLOCK_ROWS)
+    chunk_rows = max(chunk_rows, halo)
+    numbered, offsets = number_rows(bars, symbol, ts)
     longest = only_row(offsets.agg(F.max(F.col("_offset") + F.col("_rows"))))[0] or 0
     row = POS
     if resume is not None:
@@ -132,7 +168,7 @@ def lay_out(
         )
     # never NULL, and known to be so: a filter on it would keep scans from sharing the shuffle
     home = F.coalesce(F.expr(f"{row} div {chunk_rows}"), F.lit(0))
-    copied = F.col(row) % chunk_rows >= chunk_rows - HALO
+    copied = F.col(row) % chunk_rows >= chunk_rows - halo
     chunks = F.when(copied, F.array(home, home + 1)).otherwise(F.array(home))
     df = (
         numbered.withColumn(CHUNK, F.explode(chunks))
@@ -140,4 +176,4 @@ def lay_out(
         .withColumn(BLOCK, F.expr(f"{row} div {BLOCK_ROWS}"))
         .repartition(symbol, CHUNK)
     )
-    return Series(df, symbol, ts, chunk_rows, longest, row=row)
+    return Series(df, symbol, ts, chunk_rows, longest, row=row, halo=halo)

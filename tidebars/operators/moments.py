@@ -147,6 +147,19 @@ def solve_pca(gram: np.ndarray, features: list[int], components: int, solver: st
     return Fit(fit.weights, components)
 
 
+def independent(a: np.ndarray, spread: np.ndarray, exact: float = 1e-9) -> list[int]:
+    """Places of columns, in order, that are neither constant nor given by the kept ones before them."""
+    kept: list[int] = []
+    for j in range(len(a)):
+        if spread[j] <= 0:
+            continue
+        pull = a[kept, j]
+        share = float(pull @ np.linalg.lstsq(a[np.ix_(kept, kept)], pull, rcond=1e-12)[0]) if kept else 0.0
+        if a[j, j] - share > exact:
+            kept.append(j)
+    return kept
+
+
 def eliminate(gram: np.ndarray, features: list[int], keep: int) -> tuple[list[int], dict[int, int]]:
     """Drop the feature with the smallest scaled coefficient until ``keep`` are
     left.  Returns them and the ranks (1 for kept, 2 for the last one dropped)."""
@@ -166,8 +179,11 @@ def residual_squares(gram: np.ndarray, fit: Fit) -> float:
     return float(max(w @ gram @ w, 0.0))
 
 
-def bic_score(gram: np.ndarray, fit: Fit, n_columns: int) -> float:
-    """Negated n ln(RSS/n) + k ln n with k = columns + 1 (greater is better)."""
+def bic_score(gram: np.ndarray, fit: Fit, n_columns: int, unit: float = 1.0) -> float:
+    """Negated n ln(RSS/n) + k ln n with k = columns + 1 (greater is better).
+
+    ``unit`` is the size of the target's unit in the moments: the score is that of the data.
+    """
     n = gram[0, 0]
-    rss = max(residual_squares(gram, fit), 1e-300)
+    rss = max(residual_squares(gram, fit) * unit * unit, 1e-300)
     return -(n * np.log(rss / n) + (n_columns + 1) * np.log(n))

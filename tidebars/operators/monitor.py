@@ -86,6 +86,9 @@ def psi_status(df: DataFrame, limit: float = PSI_LIMIT) -> DataFrame:
     return df.withColumn("status", F.when(F.col("psi") > limit, "red").otherwise("green"))
 
 
+_REACH = 9.0
+
+
 def _kernel_sums(grid: np.ndarray, widths: dict[int, float]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = {side: np.zeros(len(grid)) for side in widths}
@@ -93,9 +96,14 @@ def _kernel_sums(grid: np.ndarray, widths: dict[int, float]):
             for side, width in widths.items():
                 part = batch[batch["side"] == side]
                 values, weights = part["value"].to_numpy(), part["n"].to_numpy(dtype=float)
+                order = np.argsort(values)
+                values, weights = values[order], weights[order]
                 for at in range(0, len(values), 512):
-                    u = (grid[:, None] - values[None, at : at + 512]) / width
-                    sums[side] += np.exp(-0.5 * u * u) @ weights[at : at + 512]
+                    own = values[at : at + 512]
+                    # beyond _REACH widths the kernel is under half a unit in the last place of its top
+                    near = slice(*np.searchsorted(grid, (own[0] - _REACH * width, own[-1] + _REACH * width)))
+                    u = (grid[near, None] - own[None, :]) / width
+                    sums[side][near] += np.exp(-0.5 * u * u) @ weights[at : at + 512]
         index = np.arange(len(grid))
         for side, total in sums.items():
             yield pd.DataFrame({"side": side, "point": index, "part": total})
@@ -107,26 +115,30 @@ def kde_grid(df: DataFrame, a: str, b: str, points: int = 1000) -> DataFrame:
     """Gaussian density of two columns on one grid between their pooled ends.
 
     Bandwidth by Scott's rule.  Equal values are merged first; each task then
-    sends one partial sum per grid point.
+    sends one partial sum per grid point within reach of its values.  A side without
+    values or without spread has no density (NULL); without any values there are no points.
     """
     pooled = pool(df, df, a, b).filter(F.col("value").isNotNull())
     rows = pooled.groupBy("side").agg(
         F.min("value").alias("low"), F.max("value").alias("high"),
         F.count("value").alias("n"), F.stddev("value").alias("s"),
     ).collect()
-    stats = {r["side"]: r for r in rows}
+    names = {0: "density_a", 1: "density_b"}
+    stats = {r["side"]: r for r in rows if r["s"]}
+    if not stats:
+        return df.sparkSession.createDataFrame([], "point int, x double, density_a double, density_b double")
     low, high = min(r["low"] for r in rows), max(r["high"] for r in rows)
     grid = low + (high - low) / (points - 1) * np.arange(points)
     widths = {side: r["n"] ** -0.2 * r["s"] for side, r in stats.items()}
     merged = pooled.groupBy("side", "value").agg(F.count(F.lit(1)).alias("n"))
     parts = merged.mapInPandas(_kernel_sums(grid, widths), "side int, point int, part double")
-    names = {0: "density_a", 1: "density_b"}
     sums = parts.groupBy("point").agg(
         *[
             (F.sum(F.when(F.col("side") == side, F.col("part"))) / F.lit(r["n"] * widths[side] * math.sqrt(2 * math.pi)))
             .alias(names[side])
             for side, r in stats.items()
-        ]
+        ],
+        *[F.lit(None).cast("double").alias(names[side]) for side in names if side not in stats],
     )
     return sums.select("point", (F.lit(float(low)) + F.col("point") * ((high - low) / (points - 1))).alias("x"), *names.values())
 
@@ -137,15 +149,16 @@ def monitor_window(
 ) -> DataFrame:
     """RMSE and PSI (actual against predicted) per time window, sliding or not.
 
+    Rows without a value are in no bin, and each side's shares are of its own values.
     Two shuffles on the window: its ends first, then its bin counts.
     """
     rows = scored.select(
         F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col(actual).alias("value")),
                           F.struct(F.lit(1).alias("side"), F.col(predicted).alias("value")))).alias("_p"),
         ts,
-    ).select(F.window(ts, width, slide).alias("_w"), "_p.*")
+    ).filter(F.col("_p.value").isNotNull()).select(F.window(ts, width, slide).alias("_w"), "_p.*")
     errors = scored.groupBy(F.window(ts, width, slide).alias("_w")).agg(
-        F.count(predicted).alias("n"), F.sqrt(F.avg(squared_error(actual, predicted))).alias("rmse"),
+        F.count(predicted).alias("n"), F.count(actual).alias("_n0"), F.sqrt(F.avg(squared_error(actual, predicted))).alias("rmse"),
         F.least(F.min(actual), F.min(predicted)).alias("_low"),
         F.greatest(F.max(actual), F.max(predicted)).alias("_high"),
     )
@@ -156,9 +169,9 @@ def monitor_window(
         .groupBy("_w", F.coalesce(place, F.lit(0)).alias("_bin"))
         .agg(F.count_if(F.col("side") == 0).alias("n0"), F.count_if(F.col("side") == 1).alias("n1"))
     )
-    totals = errors.select("_w", "n", "rmse")
-    share0 = replace_zero(F.col("n0") / F.col("n"))
-    share1 = replace_zero(F.col("n1") / F.col("n"))
+    totals = errors.select("_w", "n", "_n0", "rmse")
+    share0 = replace_zero(F.coalesce(F.try_divide(F.col("n0"), F.col("_n0")), F.lit(0.0)))
+    share1 = replace_zero(F.coalesce(F.try_divide(F.col("n1"), F.col("n")), F.lit(0.0)))
     # bins empty on both sides contribute (1e-6 - 1e-6) * ln 1 = 0 and may stay away
     scores = counts.join(totals, "_w").groupBy("_w", "n", "rmse").agg(
         F.sum((share1 - share0) * F.ln(share1 / share0)).alias("psi")

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tidebars.session import only_row
 
-_SMALL = 2_000_000  # rows up to which one exact percentile aggregate is used
 _BINS = 2048
+EXACT = 1e-9  # unexplained share of a column's variance under which it counts as given by the others
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -55,65 +55,70 @@ def count_rows(df: DataFrame, key: str) -> DataFrame:
 
 
 def quantiles(df: DataFrame, columns: list[str], probs: tuple[float, ...]) -> dict[str, list[float | None]]:
-    """Exact, linearly interpolated quantiles.
+    """Exact, linearly interpolated quantiles; NaN is the greatest value, nulls don't count.
 
-    Up to ``_SMALL`` rows one ``percentile`` aggregate does it.  That aggregate
-    keeps every distinct value in one buffer, so beyond that the wanted ranks
-    are narrowed down instead: count the values in equal bins, keep only the
-    bins that hold a wanted rank, and repeat inside them.
+    The wanted ranks are narrowed down: count the values of all columns in equal bins, keep the bins that hold a
+    wanted rank, and repeat inside them, one job a round.  Nothing grows with the rows but the scan.
     """
-    n_rows = df.count()
-    if n_rows <= _SMALL:
-        row = only_row(
-            df.agg(*[F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, probs))).alias(c) for c in columns])
-        )
-        return {c: list(row[c]) if row[c] else [None] * len(probs) for c in columns}
-    return {c: _ranked(df.select(F.col(c).cast("double").alias("x")).where("x IS NOT NULL"), probs) for c in columns}
-
-
-def _ranked(values: DataFrame, probs: tuple[float, ...]) -> list[float | None]:
-    low, high, n = only_row(values.agg(F.min("x"), F.max("x"), F.count("x")))
-    if not n:
-        return [None] * len(probs)
-    places = [p * (n - 1) for p in probs]
-    ranks = sorted({r for h in places for r in (math.floor(h), math.ceil(h))})
-    at = _order_statistics(values, low, high, ranks)
-    out = []
-    for h in places:
-        a, b = at[math.floor(h)], at[math.ceil(h)]
-        out.append(a + (b - a) * (h - math.floor(h)))
+    long = long_form(df, columns).where("value IS NOT NULL")
+    finite = (~F.isnan("value")) & (F.abs("value") < float("inf"))
+    sizes = long.groupBy("feature").agg(
+        F.count(F.when(F.col("value") == float("-inf"), 1)).alias("n_low"), F.count(F.when(finite, 1)).alias("n"),
+        F.count(F.when(F.col("value") == float("inf"), 1)).alias("n_high"), F.count("value").alias("n_all"),
+        F.min(F.when(finite, F.col("value"))).alias("low"), F.max(F.when(finite, F.col("value"))).alias("high"),
+    ).collect()
+    places, wanted, ends = {}, {}, {}
+    for r in sizes:
+        c = r["feature"]
+        places[c] = [p * (r["n_all"] - 1) for p in probs]
+        ranks = sorted({f(h) for h in places[c] for f in (math.floor, math.ceil)})
+        ends[c] = {k: -math.inf if k < r["n_low"] else math.inf if k < r["n_low"] + r["n"] + r["n_high"] else math.nan for k in ranks}
+        inside = [k - r["n_low"] for k in ranks if r["n_low"] <= k < r["n_low"] + r["n"]]
+        if inside:
+            wanted[c] = (r["low"], r["high"], r["n_low"], inside)
+    for c, found in _order_statistics(long.where(finite), wanted).items():
+        ends[c].update({k + wanted[c][2]: v for k, v in found.items()})
+    out = {}
+    for c in columns:
+        values = []
+        for h in places.get(c, []):
+            a, b = ends[c][math.floor(h)], ends[c][math.ceil(h)]
+            values.append(a if a == b else a + (b - a) * (h - math.floor(h)))
+        out[c] = values or [None] * len(probs)
     return out
 
 
-def _order_statistics(values: DataFrame, low: float, high: float, ranks: list[int]) -> dict[int, float]:
-    """Values at 0-based ``ranks``.  Every round splits each open range into bins
-    in one job and keeps the bin with the rank; the counts are the only thing
-    that reaches the driver."""
-    found: dict[int, float] = {}
-    # range (low, high) -> (rows below it, ranks inside it)
-    open_ranges = {(low, high): (0, ranks)}
+def _order_statistics(long: DataFrame, wanted: dict[str, tuple]) -> dict[str, dict[int, float]]:
+    """Per feature the values at 0-based ranks.  Every round splits each open range into bins in one job and keeps
+    the bins with a rank; only their counts, a fixed number for each rank, reach the driver."""
+    spark = long.sparkSession
+    found: dict[str, dict[int, float]] = {c: {} for c in wanted}
+    # (feature, low, high) -> (values below it, ranks inside it)
+    open_ranges = {(c, low, high): (0, ranks) for c, (low, high, _, ranks) in wanted.items()}
     while open_ranges:
-        pieces = []
-        for i, (lo, hi) in enumerate(open_ranges):
-            width = (hi - lo) / _BINS
-            inside = F.col("x").between(lo, hi)
-            bin_ = F.least(F.floor((F.col("x") - lo) / F.lit(width)), F.lit(_BINS - 1)) if width > 0 else F.lit(0)
-            pieces.append(F.when(inside, F.struct(F.lit(i).alias("i"), bin_.cast("int").alias("bin"))))
+        for key in [k for k in open_ranges if k[1] == k[2]]:
+            found[key[0]].update(dict.fromkeys(open_ranges.pop(key)[1], key[1]))
+        if not open_ranges:
+            break
+        listed = [(i, c, lo, hi) for i, (c, lo, hi) in enumerate(open_ranges)]
+        ranges = spark.createDataFrame(listed, "i int, feature string, lo double, hi double")
+        # halves keep the width finite; a bin may end up anywhere in the order of rounding, as bins only need be monotone
+        share = (F.col("value") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        place = F.least(F.floor(share * _BINS), F.lit(_BINS - 1)).cast("int")
         counted = (
-            values.select("x", F.explode(F.array_compact(F.array(*pieces))).alias("k"))
-            .groupBy("k.i", "k.bin").agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+            long.join(F.broadcast(ranges), "feature").where("value BETWEEN lo AND hi")  # a row per open range
+            .groupBy("i", place.alias("bin")).agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
             .orderBy("i", "bin").collect()
         )
+        below = [b for b, _ in open_ranges.values()]
         following = {}
-        for i, (below, wanted) in enumerate(open_ranges.values()):
-            for row in (r for r in counted if r["i"] == i):
-                here = [r for r in wanted if below <= r < below + row["n"]]
-                if here:
-                    if row["lo"] == row["hi"]:
-                        found.update(dict.fromkeys(here, row["lo"]))
-                    else:
-                        following[(row["lo"], row["hi"])] = (below, here)
-                below += row["n"]
+        keys = list(open_ranges)
+        for row in counted:
+            i = row["i"]
+            here = [r for r in open_ranges[keys[i]][1] if below[i] <= r < below[i] + row["n"]]
+            if here:
+                following[(keys[i][0], row["low"], row["high"])] = (below[i], here)
+            below[i] += row["n"]
         open_ranges = following
     return found
 
@@ -160,10 +165,17 @@ def boxplot_stats(df: DataFrame, columns: list[str], reach: float = 1.5) -> Data
 # --- correlation -------------------------------------------------------------
 
 
+def correlation(x: str, y: str) -> Column:
+    """Pearson correlation over rows with both values; NULL if either is constant there."""
+    a, b = (F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.col(c).cast("double")) for c in (x, y))
+    spread = F.when((F.min(a) < F.max(a)) & (F.min(b) < F.max(b)), F.stddev_pop(a) * F.stddev_pop(b))
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of all pairs, in long form, over pairwise complete rows."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = df.agg(*[F.corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[correlation(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
     entries = []
     for i, (a, b) in enumerate(pairs):
         for x, y in {(a, b), (b, a)}:
@@ -173,23 +185,34 @@ def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def corr_select(df: DataFrame, features: list[str], target: str, at_least: float = 0.5) -> DataFrame:
     """Features whose correlation with the target is at least ``at_least`` in size."""
-    row = _per_column(df, features, "r", lambda c: F.corr(c, target))
+    row = _per_column(df, features, "r", lambda c: correlation(c, target))
     return row.filter(F.abs("r") >= at_least)
 
 
 def vif(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Variance inflation factors, with a constant: the diagonal of the inverse
-    correlation matrix.  The moments come from one distributed pass."""
+    """Variance inflation factors, with a constant: 1 / (1 - R^2) of each column on the others.
+
+    Infinite for a column that the others give exactly, NULL for a constant one.  The correlations come from one
+    distributed pass.
+    """
     complete = df.select(*[F.col(c).cast("double") for c in columns]).na.drop()
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
-    row = only_row(complete.agg(*[F.corr(columns[i], columns[j]).alias(f"r{i}_{j}") for i, j in pairs]))
-    matrix = np.eye(len(columns))
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    row = only_row(complete.agg(*[correlation(columns[i], columns[j]).alias(f"r{i}_{j}") for i, j in pairs]))
+    matrix = np.full((len(columns),) * 2, np.nan)
     for i, j in pairs:
-        matrix[i, j] = matrix[j, i] = row[f"r{i}_{j}"]
-    factors = np.diag(np.linalg.inv(matrix))
-    return df.sparkSession.createDataFrame(
-        [(c, float(v)) for c, v in zip(columns, factors)], "feature string, vif double"
-    )
+        if row[f"r{i}_{j}"] is not None:
+            matrix[i, j] = matrix[j, i] = row[f"r{i}_{j}"]
+    live = [i for i in range(len(columns)) if not np.isnan(matrix[i, i])]
+    out: list[tuple[str, float | None]] = []
+    for i, c in enumerate(columns):
+        others = [j for j in live if j != i]
+        if i not in live:
+            out.append((c, None))
+            continue
+        pull = matrix[others, i]
+        share = float(pull @ np.linalg.lstsq(matrix[np.ix_(others, others)], pull, rcond=1e-10)[0]) if others else 0.0
+        out.append((c, float("inf") if share > 1 - EXACT else 1.0 / (1.0 - share)))
+    return df.sparkSession.createDataFrame(out, "feature string, vif double")
 
 
 def collinearity_profile(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -23,11 +23,10 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidebars.operators.layout import BLOCK, BLOCK_ROWS, CHUNK, FIRST, HALO, HALO_FLAG, POS, STATE, Series
+from tidebars.operators.layout import BLOCK, BLOCK_ROWS, CHUNK, FIRST, HALO_FLAG, POS, RESUME_STEP, STATE, Series
 from tidebars.session import stage
 
 _GROUP = 64  # chunks (and groups of them) combined per group and level
-RESUME_STEP = 64  # bars between the resume points of successive scan depths
 
 
 @dataclass(frozen=True)
@@ -45,6 +44,8 @@ class Recurrence:
 
 def ema(name: str, x: Column, n: int) -> Recurrence:
     """Exponential average of span ``n``; the first value is the seed."""
+    if n < 2:
+        raise ValueError("a span under 2 has no memory: take the column itself")
     alpha = 2.0 / (n + 1)
     return Recurrence(name, 1 - alpha, x * F.lit(alpha), x)
 
@@ -70,6 +71,15 @@ def affine_scan(series: Series, items: list[Recurrence], depth: int = 1) -> Seri
     ``depth`` counts the scans that the inputs have already been through.
     """
     kept = [f"`{c}`" for c in series.df.columns]
+    reach, warm = dict(series.reach), dict(series.warm)
+    for item in items:
+        text = " ".join(str(x) for x in (item.a, item.b, item.seed))
+        # a copied block is right again once its carry is: whole blocks count
+        reach[item.name] = -(-series.rests_on(text, series.reach) // BLOCK_ROWS) * BLOCK_ROWS
+        series._allowed(reach[item.name], item.name)
+        need, warm[item.name] = series.rests_on(text, series.warm), RESUME_STEP * depth
+        if FIRST in series.df.columns and need > warm[item.name]:
+            raise ValueError(f"{item.name} rests on {need} rows, its resume point lies {warm[item.name]} rows into the context")
     inputs = []
     for i, item in enumerate(items):
         inputs += [item.b.alias(f"_b{i}"), item.seed.alias(f"_d{i}")]
@@ -109,7 +119,7 @@ def affine_scan(series: Series, items: list[Recurrence], depth: int = 1) -> Seri
     start = "coalesce(get(_c, {i}), _f{i})" if carries is not None else "_f{i}"
     out = [f"exp(_p{i}) * ({start.format(i=i)} + _s{i}) AS `{item.name}`" for i, item in enumerate(items)]
     done = tuple((item.name, depth) for item in items)
-    return replace(series, df=df.selectExpr(*kept, *out), scans=series.scans + done)
+    return replace(series, df=df.selectExpr(*kept, *out), scans=series.scans + done, reach=reach, warm=warm)
 
 
 def _resumed(df: DataFrame, kept: list[str], items: list[Recurrence], depth: int) -> DataFrame:
@@ -158,7 +168,7 @@ def _carries(series: Series, df: DataFrame, n_items: int) -> DataFrame | None:
     per_chunk = series.chunk_rows // BLOCK_ROWS
     after = F.expr(f"""filter(
         concat(CASE WHEN isnull(_start) THEN array() ELSE array(struct({CHUNK} * {per_chunk} AS _unit, _start AS _carry)) END, _entries),
-        e -> e._unit >= ({CHUNK} + 1) * {per_chunk} - {HALO // BLOCK_ROWS})""")
+        e -> e._unit >= ({CHUNK} + 1) * {per_chunk} - {series.halo // BLOCK_ROWS})""")
     last = F.element_at("_entries", -1)["_unit"] % per_chunk == 0
     parts = F.array(
         F.struct(F.col(CHUNK).alias("chunk"), F.col("_entries").alias("part")),

@@ -43,7 +43,7 @@ def log_return(column: str, series: Series) -> Column:
 def cumulative(series: Series, column: str) -> Series:
     """Running sum, running product of (1 + change) and change since the first bar."""
     growth = F.when(F.col(POS) == 0, F.lit(0.0)).otherwise(
-        F.coalesce(F.ln(F.nullif(F.col("_growth"), F.lit(0.0))), F.lit(0.0))
+        F.coalesce(F.ln(F.abs(F.nullif(F.col("_growth"), F.lit(0.0)))), F.lit(0.0))
     )
     before = series.lag(column)
     series = series.add(_growth=F.when(before != 0, F.try_divide(F.col(column), before)))
@@ -53,10 +53,11 @@ def cumulative(series: Series, column: str) -> Series:
             running_sum("cum_sum", F.col(column).cast("double")),
             running_sum("_log_growth", growth),
             running_sum("_zeros", F.when(F.col("_growth") == 0, 1.0).otherwise(0.0)),
+            running_sum("_turns", F.when(F.col("_growth") < 0, 1.0).otherwise(0.0)),
             first_value("_first", F.col(column)),
         ],
     )
     return series.add(
-        cum_product=F.when(F.col("_zeros") > 0, 0.0).otherwise(F.exp("_log_growth")),
+        cum_product=F.when(F.col("_zeros") > 0, 0.0).otherwise(F.exp("_log_growth") * F.when(F.col("_turns") % 2 == 1, -1.0).otherwise(1.0)),
         cum_return=F.try_divide(F.col(column) - F.col("_first"), F.col("_first")),
     )

@@ -16,9 +16,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidebars.operators.indicators import TECHNICAL_RECIPES, add_indicators
-from tidebars.operators.layout import HALO, POS, Series, lay_out
+from tidebars.operators.layout import HALO, POS, RESUME_STEP, Series, lay_out
 from tidebars.operators.relational import union_context
-from tidebars.operators.scan import RESUME_STEP
 from tidebars.operators.windows import lag_fill
 from tidebars.session import only_row, stage
 

@@ -23,7 +23,7 @@ from tidebars.operators.monitor import bic, rmse, squared_error
 from tidebars.session import only_row
 
 # Parameter grids.
-ALPHAS = [10 ** (-4 + 8 * i / 49) for i in range(50)]
+ALPHAS = np.logspace(-4, 4, 50).tolist()
 FOREST_GRID = {"numTrees": [100, 200, 500], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2, 4]}
 BOOST_GRID = {"maxIter": [100, 200, 500], "maxDepth": [3, 5, 7], "stepSize": [0.01, 0.1, 0.3], "subsamplingRate": [0.7, 0.8, 1.0]}
 BOOST_LEAF_GRID = {"maxIter": [100, 200, 500], "stepSize": [0.01, 0.1, 0.3], "maxDepth": [5, 10], "minInstancesPerNode": [10, 20, 30]}
@@ -32,14 +32,15 @@ BOOST_LEAF_GRID = {"maxIter": [100, 200, 500], "stepSize": [0.01, 0.1, 0.3], "ma
 # --- linear family: one pass over the data, then small solves -----------------
 
 
-def _grid(kind: str, n_features: int, zero: float) -> list[tuple[dict, Callable]]:
+def _grid(kind: str, n_features: int, zero: float, unit: float = 1.0) -> list[tuple[dict, Callable]]:
     """Parameter sets of a model kind, each with its solver.  ``zero`` is the level
-    of models without an intercept."""
+    of models without an intercept, ``unit`` the target's unit: a lasso penalty is
+    in the units of the data."""
     levels = ((True, None), (False, zero))
     if kind == "linear":
         return [({"intercept": i}, lambda g, f, v=v: M.solve_linear(g, f, v)) for i, v in levels]
     if kind == "lasso":
-        return [({"alpha": a}, lambda g, f, a=a: M.solve_lasso(g, f, a)) for a in ALPHAS]
+        return [({"alpha": a}, lambda g, f, a=a: M.solve_lasso(g, f, a / unit)) for a in ALPHAS]
     if kind == "ridge":
         return [({"alpha": a}, lambda g, f, a=a: M.solve_ridge(g, f, a)) for a in ALPHAS]
     if kind == "pca_linear":
@@ -50,7 +51,7 @@ def _grid(kind: str, n_features: int, zero: float) -> list[tuple[dict, Callable]
     if kind in ("pca_lasso", "pca_ridge"):
         solver = kind.removeprefix("pca_")
         return [
-            ({"components": k, "alpha": a}, lambda g, f, k=k, a=a: M.solve_pca(g, f, k, solver, a))
+            ({"components": k, "alpha": a}, lambda g, f, k=k, a=a: M.solve_pca(g, f, k, solver, a / (unit if solver == "lasso" else 1.0)))
             for k in range(1, min(30, n_features) + 1) for a in ALPHAS
         ]
     if kind == "rfe":
@@ -80,12 +81,12 @@ def linear_grid_search(
     out = {}
     for kind in kinds:
         best = None
-        for params, solve in _grid(kind, len(features), stats.target_zero):
+        for params, solve in _grid(kind, len(features), stats.target_zero, stats.scale[-1]):
             scores = []
             for fold in range(1, splits + 1):
                 fit = solve(train[fold - 1], index)
                 used = len(features) if parity else fit.n_used
-                scores.append(M.bic_score(blocks[fold], fit, used))
+                scores.append(M.bic_score(blocks[fold], fit, used, stats.scale[-1]))
             score = float(np.mean(scores))
             if best is None or score > best["score"]:
                 best = {"params": params, "score": score, "solve": solve}
@@ -242,16 +243,38 @@ def evaluate_slices(model: PipelineModel, df: DataFrame, label: str) -> DataFram
 
 
 def ols_summary(df: DataFrame, features: list[str], label: str) -> DataFrame:
-    """Coefficient, standard error, t and p of every feature and the constant."""
-    vectors = VectorAssembler(inputCols=features, outputCol="features").transform(df.na.drop(subset=[*features, label]))
-    model = LinearRegression(labelCol=label, solver="normal", standardization=False).fit(vectors)
-    names = [*features, "const"]
-    values = zip(
-        names, [*model.coefficients.toArray().tolist(), model.intercept],
-        model.summary.coefficientStandardErrors, model.summary.tValues, model.summary.pValues,
-    )
-    rows = [(n, *map(float, rest)) for n, *rest in values]
-    return df.sparkSession.createDataFrame(rows, "feature string, coef double, std_err double, t double, p double")
+    """Coefficient, standard error, t and p of every feature and the constant.
+
+    Solved from one pass of cross products.  A feature that is constant or given exactly by those before it is
+    left out of the fit and has NULL in all columns.
+    """
+    stats = M.moments(df.withColumn("block", F.lit(0)), [*features, label], "block")
+    spark = df.sparkSession
+    schema = "feature string, coef double, std_err double, t double, p double"
+    if not stats.blocks:
+        return spark.createDataFrame([(n, None, None, None, None) for n in [*features, "const"]], schema)
+    gram = stats.blocks[0]
+    a, _, _, mean, n = M._standardised(gram, list(range(1, len(features) + 1)))
+    kept = [1 + j for j in M.independent(a, np.diag(a))]
+    fit = M.solve_linear(gram, kept)
+    free = n - len(kept) - 1
+    spread = M.residual_squares(gram, fit) / free if free > 0 else math.nan
+    inverse = np.linalg.inv(gram[np.ix_([0, *kept], [0, *kept])])
+    weights = fit.weights[[0, *kept]]
+    # to data units: slopes by the scales, the constant by all shifts
+    unit = stats.scale[-1]
+    turn = np.diag([unit, *(unit / stats.scale[k - 1] for k in kept)])
+    turn[0, 1:] = [-unit * stats.shift[k - 1] / stats.scale[k - 1] for k in kept]
+    coef = turn @ weights
+    coef[0] += stats.shift[-1]
+    errors = np.sqrt(np.diag(turn @ inverse @ turn.T) * spread)
+    student = spark._jvm.org.apache.commons.math3.distribution.TDistribution(float(free)) if free > 0 else None
+    found = {}
+    for name, c, e in zip(["const", *(features[k - 1] for k in kept)], coef.tolist(), errors.tolist()):
+        t = c / e if e else math.nan
+        p = 2.0 * student.cumulativeProbability(-abs(t)) if student is not None and not math.isnan(t) else math.nan
+        found[name] = (c, e, t, p)
+    return spark.createDataFrame([(m, *found.get(m, (None,) * 4)) for m in [*features, "const"]], schema)
 
 
 def pvalue_select(df: DataFrame, features: list[str], label: str, below: float = 0.05) -> list[str]:

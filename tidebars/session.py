@@ -26,9 +26,15 @@ def build_session(app: str = "tidebars", cores: str = "*") -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach; only an unset session gets a local one."""
+    """The folder every executor can reach.
+
+    ``spark.checkpoint.dir`` names it.  A session on one machine may do without and gets a local one; on a
+    cluster a local folder would lose data, so that is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tidebars.shared.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
         folder = tempfile.mkdtemp(prefix="tidebars-")
         spark.conf.set("tidebars.shared.dir", folder)
     return folder

@@ -100,14 +100,16 @@ def extract_articles(pages: DataFrame, column: str = "html") -> DataFrame:
 
 
 def page_articles(pages: DataFrame) -> DataFrame:
-    """Articles of pages that mark them with ``article``, ``h1`` and ``p`` only.
+    """All articles of pages that mark them with ``article`` (with or without attributes), ``h1`` and ``p``.
 
-    Built-in expressions throughout: heading, first paragraph, page address.
+    Built-in expressions throughout: heading, first paragraph, page address.  An article that a page cut
+    off does not close ends with the page.
     """
-    inner = F.regexp_extract("html", r"(?s)<article>(.*?)</article>", 1)
+    inner = F.col("_article")
     heading = F.regexp_extract(inner, r"(?s)<h1>(.*?)</h1>", 1)
     paragraph = F.regexp_extract(inner, r"(?s)<p>(.*?)</?p>", 1)
-    return pages.filter(F.col("html").contains("<article>")).select(
+    each = F.regexp_extract_all("html", F.lit(r"(?s)<article(?:\s[^>]*)?>(.*?)(?:</article>|\z)"), 1)
+    return pages.withColumn("_article", F.explode(each)).select(
         "page_id",
         F.nullif(heading, F.lit("")).alias("title"),
         F.lit(None).cast("string").alias("date"),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidebars.session import only_row
+from tidebars.session import only_row, stage
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -30,8 +32,8 @@ def read_fixed(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def append_rows(df: DataFrame, path: str) -> None:
-    """Append bars, one folder per symbol and month."""
-    with_month(df).write.mode("append").partitionBy("symbol", "ym").parquet(path)
+    """Append bars, one folder per symbol and month, with few files in each."""
+    with_month(df).repartition("symbol", "ym").write.mode("append").partitionBy("symbol", "ym").parquet(path)
 
 
 def new_rows(df: DataFrame, stored: DataFrame, keys: tuple[str, ...] = ("symbol", "date_time")) -> DataFrame:
@@ -58,7 +60,11 @@ def stored_rows(spark: SparkSession, path: str, like: T.StructType) -> DataFrame
 
 
 def append_new(df: DataFrame, path: str) -> None:
-    """Append only what is not there: running it twice adds nothing."""
+    """Append only what is not there, one row per key: running it twice adds nothing.
+
+    The batch is written once to the shared folder, as both the months and the rows come from it.
+    """
+    df = stage(df.dropDuplicates(["symbol", "date_time"]))
     stored = stored_rows(df.sparkSession, path, df.schema)
     append_rows(df if stored is None else new_rows(df, stored), path)
 
@@ -67,32 +73,60 @@ def add_column(df: DataFrame, name: str, kind: str) -> DataFrame:
     return df if name in df.columns else df.withColumn(name, F.lit(None).cast(kind))
 
 
-def truncate(df: DataFrame) -> DataFrame:
-    return df.limit(0)
+def rewrite(path: str, spark: SparkSession, change) -> DataFrame:
+    """Write ``change(table)`` as the next version and make it the table at ``path``.
+
+    The new version is complete before it takes the place of the old one, which is then deleted.
+    """
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    after, before = f"{path}.next-{uuid.uuid4().hex}", f"{path}.last-{uuid.uuid4().hex}"
+    table = change(spark.read.parquet(path))
+    keys = [c for c in ("symbol", "ym") if c in table.columns and "ym" in table.columns]
+    table.write.partitionBy(*keys).parquet(after)
+    if not (fs.rename(hadoop_path(path), hadoop_path(before)) and fs.rename(hadoop_path(after), hadoop_path(path))):
+        raise OSError(f"{path} can't be replaced")
+    fs.delete(hadoop_path(before), True)
+    return spark.read.schema(table.schema).parquet(path)
+
+
+def truncate_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table at ``path`` without rows; its columns stay."""
+    return rewrite(path, spark, lambda t: t.limit(0))
+
+
+def drop_column(spark: SparkSession, path: str, *names: str) -> DataFrame:
+    """The table at ``path`` without the columns; those it hasn't are no error."""
+    return rewrite(path, spark, lambda t: t.drop(*names))
+
+
+def drop_table(spark: SparkSession, path: str) -> bool:
+    """Delete the table; False if there is none."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def surrogate_key(
     df: DataFrame, name: str, start: int = 1, order: str = "date_time", within: str = "symbol", stored: DataFrame | None = None
 ) -> DataFrame:
-    """Consecutive keys in the order ``(order, within)``, from ``start`` or after the stored ones.
+    """Consecutive keys in the order ``(order, within)``, from ``start`` or after the stored ones; nulls come first.
 
-    Numbered per time bucket plus the offset of the bucket, so that no task sees
-    more than one bucket.
+    The rows are sorted into partitions of equal size and numbered inside each; the counts of the partitions, one
+    number each, become offsets.  No task sees more than a partition, however many rows share a time.
     """
     if stored is not None:
         last = only_row(stored.agg(F.max(name)))[0]
         start = start if last is None else last + 1
-    whole = df.withColumn("_all", F.lit(0)).withColumn("_order", F.struct(order, within))
-    bucket = F.date_trunc("day", F.col(order))
-    counted = whole.groupBy("_all", bucket.alias("_day")).count()
-    before = Window.partitionBy("_all").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counted.select("_day", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_day").orderBy("_order")
+    placed = stage(df.repartitionByRange(order, within).withColumn("_part", F.spark_partition_id()))
+    counts = sorted(placed.groupBy("_part").count().collect())
+    offsets, at = [], start
+    for part, n in counts:
+        offsets.append((part, at))
+        at += n
+    table = df.sparkSession.createDataFrame(offsets, "_part int, _offset bigint")
+    inside = Window.partitionBy("_part").orderBy(order, within)
     return (
-        whole.withColumn("_day", bucket)
-        .join(offsets, "_day")
-        .withColumn(name, F.lit(start) + F.col("_offset") + F.row_number().over(inside) - 1)
-        .drop("_all", "_order", "_day", "_offset")
+        placed.join(F.broadcast(table), "_part")  # a row per partition of the sort
+        .withColumn(name, F.col("_offset") + F.row_number().over(inside) - 1)
+        .drop("_part", "_offset")
     )
-
-
