@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidebars.functions import schemas
 from tidebars.operators import relational as R
 from tidebars.operators.indicators import TECHNICAL_COLUMNS
+from tidebars.plans import load
 from tidebars.plans import models as P
 from tidebars.plans import scoring
 from tidebars.plans.history import technical_table
@@ -204,3 +205,23 @@ def test_tables_are_rewritten(spark, make_bars, tmp_path):
     T.append_rows(bars.drop("tick_vol"), path)
     assert spark.read.parquet(path).count() == 60
     assert T.drop_table(spark, path) and not T.drop_table(spark, path)
+
+
+def test_a_broken_run_is_not_seen_and_repeated(spark, walk, tmp_path, monkeypatch):
+    folder, bars = str(tmp_path / "load"), walk(700, ("a", "b"))
+    cut = F.lit("2024-01-20 03:00:00").cast("timestamp_ntz")
+    load.hourly_load(spark, folder, bars.filter(F.col("date_time") < cut), ["ema", "obv"])
+    seen = load.loaded(spark, folder, "financial").count()
+    with monkeypatch.context() as m:
+        m.setattr(load, "_carry", lambda series: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load.hourly_load(spark, folder, bars, ["ema", "obv"])
+    assert {load.loaded(spark, folder, t).count() for t in load.TABLES} == {seen}
+    assert load.hourly_load(spark, folder, bars.unionByName(bars.limit(9)), ["ema", "obv"])["rows"] == 1400 - seen
+    assert load.hourly_load(spark, folder, bars) is None
+    keys = sorted(r["tech_key"] for r in load.loaded(spark, folder, "technical").collect())
+    assert keys == list(range(1, 1401))
+    want = {(r["symbol"], r["date_time"]): r["trend_ema_slow"] for r in technical_table(bars).collect()}
+    for r in load.loaded(spark, folder, "technical").collect():
+        other = want[r["symbol"], r["date_time"]]
+        assert r["trend_ema_slow"] == (None if other is None else pytest.approx(other))

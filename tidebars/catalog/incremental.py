@@ -13,7 +13,7 @@ from tidebars.catalog.indicators_recursive import _avg, _ema, _join, _pick
 from tidebars.catalog.indicators_window import _TR
 from tidebars.catalog.profiling import _DOANE, _POOL, _psi_sql
 from tidebars.operators.relational import high_water_mark
-from tidebars.plans import hourly
+from tidebars.plans import hourly, load
 from tidebars.plans import models as P
 from tidebars.plans import scoring
 from tidebars.session import shared_dir, stage
@@ -44,6 +44,37 @@ def _load(spark, sf_dir):
     return rounded(spark.read.parquet(path).select("symbol", "date_time", *_COLUMNS))
 
 
+_BOUNDS = ("2024-01-16 00:00:00", "2024-01-22 07:00:00")
+
+
+def _hourly(spark, sf_dir):
+    """Three runs into the three tables; the second breaks off before its commit and is repeated."""
+    folder = _paths(spark, "hourly")[0]
+    source = stage(bars(spark, sf_dir))
+    for until in (*_BOUNDS, None):
+        landed = source if until is None else filter_before(source, until)
+        if until == _BOUNDS[1]:
+            for name in ("financial", "technical"):  # what a run leaves that broke off
+                spark.read.parquet(f"{folder}/{name}/run=1").limit(50).write.partitionBy("symbol", "ym").parquet(f"{folder}/{name}/run=2")
+        load.hourly_load(spark, folder, landed.unionByName(landed.limit(20)), chunk_rows=256)
+    assert load.hourly_load(spark, folder, source) is None
+    tables = [load.loaded(spark, folder, name) for name in load.TABLES]
+    joined = tables[0].join(tables[1], ["symbol", "date_time"]).join(tables[2], ["symbol", "date_time"])
+    return rounded(joined.select(
+        "symbol", "date_time", "fin_key", "tech_key", "date_key", "close", "hist_close", "trend_ema_fast", "trend_ema_slow",
+        "trend_sma_fast", "volume_obv", "others_cr", "momentum_kama", "hour_sin", "hour_cos"))
+
+
+def _hourly_runs(spark, sf_dir):
+    """What the runs say of themselves, without the times they took."""
+    folder = _paths(spark, "runs")[0]
+    source = stage(bars(spark, sf_dir))
+    for until in (*_BOUNDS, None):
+        load.hourly_load(spark, folder, source if until is None else filter_before(source, until), ["sma"])
+    runs = spark.read.parquet(f"{folder}/runs")
+    return runs.filter("read_s > 0 AND indicators_s > 0 AND write_s > 0").select("run", "rows", "first", "last", "last_key")
+
+
 def _events_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
@@ -143,6 +174,8 @@ def _report(spark, sf_dir):
 
 QUERIES = {
     "incremental_load": _load,
+    "hourly_load": _hourly,
+    "hourly_runs": _hourly_runs,
     "stream_bars": _stream_bars,
     "stream_indicators": _stream_indicators,
     "stream_technical": _stream_technical,
@@ -174,7 +207,19 @@ _SCORES = f"SELECT symbol, date_time, 100985 + k AS pred_key, {r('a + b * hist_c
 # bars whose symbol has one that is HOLD newer
 _SETTLED = f"""o.date_time + INTERVAL '{HOLD}' <= (SELECT max(time_bucket(INTERVAL '1 hour', ts)) FROM events e WHERE e.event_type = o.symbol)"""
 
+_RUN = f"""CASE WHEN date_time < TIMESTAMP '{_BOUNDS[0]}' THEN 1 WHEN date_time < TIMESTAMP '{_BOUNDS[1]}' THEN 2 ELSE 3 END"""
+_LOADED = f"""WITH k AS ({_KAMA}), o AS ({_pick(_ADDED, {
+    'close': 'n.close', 'hist_close': 'coalesce(n.c1, 0)', 'trend_ema_fast': 'f.y', 'trend_ema_slow': 's.y', 'trend_sma_fast': 'sm.y',
+    'volume_obv': 'sm.obv', 'others_cr': _CR}, _join('f', 's', 'sm'))}),
+    a AS (SELECT *, row_number() OVER (ORDER BY {_RUN}, date_time, symbol) AS key FROM o)
+    SELECT a.* EXCLUDE (key), key AS fin_key, key AS tech_key, key AS date_key, k.momentum_kama,
+      {r("sin(hour(a.date_time) * 2 * pi() / 24.0)")} AS hour_sin, {r("cos(hour(a.date_time) * 2 * pi() / 24.0)")} AS hour_cos
+    FROM a JOIN k ON k.symbol = a.symbol AND k.date_time = a.date_time"""
 ORACLES = {
+    "hourly_load": _LOADED,
+    "hourly_runs": f"""WITH {BARS}, x AS (SELECT {_RUN} AS run, * FROM bars), g AS (
+        SELECT CAST(run AS INTEGER) AS run, count(*) AS rows, min(date_time) AS first, max(date_time) AS last FROM x GROUP BY 1)
+        SELECT *, CAST(sum(rows) OVER (ORDER BY run) AS BIGINT) AS last_key FROM g""",
     "incremental_load": f"""WITH k AS ({_KAMA}), o AS ({_pick(_ADDED, {
         'trend_sma_fast': 'sm.y', 'trend_ema_fast': 'f.y', 'trend_ema_slow': 's.y', 'trend_macd_signal': 'g.y',
         'volume_obv': 'sm.obv', 'others_cr': _CR}, _join('f', 's', 'g', 'sm'))})
