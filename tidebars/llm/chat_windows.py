@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebars.llm.common import as_bytes, bounded_batches, name
+from tidebars.llm.common import bounded_batches, name, tidy
 from tidebars.llm.tokens import encoder
 
 OPEN, CLOSE = "### ", "\n</turn>\n"
@@ -129,8 +129,9 @@ def format_windows(turns: DataFrame, tokenizer: str, id_col: str = "conv_id", tu
     rows = rows.repartition("id").sortWithinPartitions("id", "turn", "role", "text").select("id", "role", "text")
     kind = rows.schema["id"].dataType.simpleString()
 
+    @tidy
     def work(batches):
-        counter, conv, windows, key_type = encoder(tokenizer), None, None, None
+        conv, windows, key_type = None, None, None
 
         def batch_of(done: list) -> pa.RecordBatch:
             key, number, text, repeated, loss, tokens = zip(*done)
@@ -139,21 +140,21 @@ def format_windows(turns: DataFrame, tokenizer: str, id_col: str = "conv_id", tu
                  pa.array(loss, _SPANS), pa.array(tokens, pa.int64())],
                 names=["id", "window", "text", "n_repeated", "loss", "n_tokens"])
 
-        for batch in batches:
-            key_type, done = batch.column(0).type, []
-            words = [t.split() for t in as_bytes(batch.column(2))]
-            counts = [len(ids) - 1 for ids, _ in counter.ids(words, 0)]
-            for key, role, text, n in zip(*(c.to_pylist() for c in batch.columns), counts):
-                if windows is None or key != conv:
-                    if windows is not None:
-                        done.append((conv, *windows.close()))
-                    conv, windows = key, _Windows(budget, history, history_share)
-                if (closed := windows.add(role, text, n)) is not None:
-                    done.append((conv, *closed))
-            if done:
-                yield batch_of(done)
-        if windows is not None:
-            yield batch_of([(conv, *windows.close())])
+        with encoder(tokenizer) as counter:
+            for batch in batches:
+                key_type, done = batch.column(0).type, []
+                counts = [len(ids) - 1 for ids, _ in counter.ids(batch.column(2), 0)]
+                for key, role, text, n in zip(*(c.to_pylist() for c in batch.columns), counts):
+                    if windows is None or key != conv:
+                        if windows is not None:
+                            done.append((conv, *windows.close()))
+                        conv, windows = key, _Windows(budget, history, history_share)
+                    if (closed := windows.add(role, text, n)) is not None:
+                        done.append((conv, *closed))
+                if done:
+                    yield batch_of(done)
+            if windows is not None:
+                yield batch_of([(conv, *windows.close())])
 
     schema = f"id {kind}, window bigint, text string, n_repeated bigint, loss array<struct<start:int,end:int>>, n_tokens bigint"
     return rows.mapInArrow(work, schema)
@@ -168,6 +169,7 @@ def read_back(windows: DataFrame) -> DataFrame:
     rows = windows.select("id", "window", "text", "n_repeated", "loss").repartition("id").sortWithinPartitions("id", "window")
     kind = rows.schema["id"].dataType.simpleString()
 
+    @tidy
     def work(batches):
         conv, state, key_type = None, None, None
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +44,7 @@ def unpacked(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
     ])
 
 
-def bounded_batches(spark: SparkSession, megabytes: int = 16) -> None:
+def bounded_batches(spark: SparkSession, megabytes: int = 8) -> None:
     """Limit Arrow batches by bytes, so that a run of long texts doesn't fill a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
 
@@ -67,9 +70,20 @@ def dealt_join(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame
     return rows.join(other, on).drop(*[f"not_{k}" for k in keys])
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Different words of a text column (null: empty), the number of each word in order, and where each text begins.
+
+    Words are set apart by ASCII white space; an empty one stands where a text begins or ends with it.
+    """
+    split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
+    known = split.flatten().dictionary_encode()
+    return known.dictionary, np.asarray(known.indices), np.asarray(split.offsets) - split.offsets[0].as_py()
+
+
 def by_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable:
     """A function for ``mapInArrow`` from one that maps a single batch."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = work(batch)
@@ -79,6 +93,25 @@ def by_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callabl
     return run
 
 
+def tidy(work: Callable) -> Callable:
+    """A function for ``mapInArrow`` that gives freed memory back when it ends, as the worker lives on for other stages.
+
+    Functions that came by value refer to their own globals and back; what the task before left waits for the collector.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.collect()
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection that spreads 64-bit values."""
     x = (x ^ (x >> np.uint64(30))) * MIX_1
@@ -123,11 +156,14 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
+PIECE = 4096  # new words that ``make`` gets at once
+
+
 class CodeTable:
     """Numbers words as they come and keeps, for each, a run of values from ``make``.
 
-    ``make`` gets a list of new words and returns a list of value lists (integers). The table forgets
-    everything between batches once it has over ``limit`` words; it only saves repeated work.
+    ``make`` gets a list of new words and returns a list of value lists (integers). ``trim``, called between batches, forgets
+    everything once there are over ``limit`` words; the table only saves repeated work.
     """
 
     class _Index(dict):
@@ -137,29 +173,33 @@ class CodeTable:
 
     def __init__(self, make: Callable[[list[bytes]], list[list[int]]], limit: int = 200_000, dtype=np.uint32):
         self.make, self.limit, self.dtype = make, limit, dtype
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.index = self._Index()
         self.values = np.zeros(0, self.dtype)
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
 
-    def codes(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        """Word numbers of each text; the tables cover them all afterwards."""
+    def trim(self) -> None:
         if len(self.index) > self.limit:
-            self._clear()
+            self.clear()
+
+    def codes(self, texts: list[list]) -> list[np.ndarray]:
+        """Word numbers of each text; the tables cover them all afterwards."""
         old = len(self.index)
-        at = self.index.__getitem__
+        at = self.index.__getitem__  # numbers new words
         out = [np.fromiter(map(at, words), np.int64, len(words)) for words in texts]
         if len(self.index) > old:
-            new = list(self.index)[old:] if old * 2 < len(self.index) else self._last(len(self.index) - old)
-            made = self.make(new)
-            length = np.fromiter(map(len, made), np.int64, len(made))
-            start = len(self.values) + np.cumsum(length) - length
-            flat = np.fromiter((v for m in made for v in m), self.dtype, int(length.sum()))
-            self.values = np.concatenate([self.values, flat])
-            self.start, self.length = np.concatenate([self.start, start]), np.concatenate([self.length, length])
+            new = self._last(len(self.index) - old)
+            values, lengths = [self.values], [self.length]
+            for at in range(0, len(new), PIECE):
+                made = self.make(new[at:at + PIECE])
+                length = np.fromiter(map(len, made), np.int64, len(made))
+                values.append(np.fromiter((v for m in made for v in m), self.dtype, int(length.sum())))
+                lengths.append(length)
+            self.values, self.length = np.concatenate(values), np.concatenate(lengths)
+            self.start = np.cumsum(self.length) - self.length
         return out
 
     def _last(self, n: int) -> list[bytes]:
@@ -167,10 +207,9 @@ class CodeTable:
         keys = reversed(self.index)
         return [next(keys) for _ in range(n)][::-1]
 
-    def spread(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The values of a text's words in a row, and the number of values of each word."""
+    def spread(self, codes: np.ndarray) -> np.ndarray:
+        """The values of a text's words in a row."""
         length = self.length[codes]
         ends = np.cumsum(length)
         total = int(ends[-1]) if len(ends) else 0
-        place = np.repeat(self.start[codes] - (ends - length), length) + np.arange(total)
-        return self.values[place], length
+        return self.values[np.repeat(self.start[codes] - (ends - length), length) + np.arange(total)]

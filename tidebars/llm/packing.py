@@ -21,14 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebars.llm.common import as_bytes, bounded_batches, name
+from tidebars.llm.common import bounded_batches, name, tidy
 from tidebars.llm.tokens import encoder
 
 SENTENCE_COST, INSIDE_COST = 4.0, 64.0
 GRAIN = 32  # of the sentence ends in a stretch of so many ids, one is a cut point
 SHORT = 256  # the shortest window of a power of two before the end of a stream
 STREAM = 1 << 19  # ids that are cut at once
-SENTENCE_ENDS = (b".", b"!", b"?", b'."', b'!"', b'?"', b".)", b"\xe3\x80\x82")  # the last: ideographic full stop
 
 
 def cut_points(total: int, ends: np.ndarray, sentences: np.ndarray, size: int) -> tuple[list[int], list[float]]:
@@ -154,8 +153,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     rows = docs.select(name(id_col).alias("id"), name(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
+    @tidy
     def work(batches):
-        texts, stream = encoder(tokenizer), _Stream(size, end)
+        stream = _Stream(size, end)
 
         def out(last: bool) -> pa.RecordBatch:
             columns = list(zip(*stream.pack(last)))
@@ -166,16 +166,15 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
                 names.append("ids")
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
-        for batch in batches:
-            key_type = batch.column(0).type
-            words = [t.split() for t in as_bytes(batch.column(1))]
-            for key, line, (ids, length) in zip(batch.column(0).to_pylist(), words, texts.ids(words, end)):
-                stops = np.fromiter((w.endswith(SENTENCE_ENDS) for w in line), bool, len(line))
-                stream.add(key, ids, np.cumsum(length)[stops])
-                if stream.total >= STREAM:
-                    yield out(False)
-        if stream.total:
-            yield out(True)
+        with encoder(tokenizer) as texts:
+            for batch in batches:
+                key_type = batch.column(0).type
+                for key, (ids, stops) in zip(batch.column(0).to_pylist(), texts.ids(batch.column(1), end)):
+                    stream.add(key, ids, stops)
+                    if stream.total >= STREAM:
+                        yield out(False)
+            if stream.total:
+                yield out(True)
 
     schema = f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
     return rows.mapInArrow(work, schema + (", ids array<int>" if with_ids else ""))
