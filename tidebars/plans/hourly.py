@@ -28,8 +28,8 @@ _BARS = ["symbol", "date_time", "open", "high", "low", "close", "tick_vol"]
 def new_bars(bars: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Bars newer than the newest stored bar of their symbol.
 
-    The marks are one row per symbol; the oldest of them is also a literal, which
-    reaches the scan.
+    The marks, one row per symbol, are taken from the stored bars; :func:`tidebars.plans.load.hourly_load`
+    keeps them in its carry instead.
     """
     if stored is None:
         return bars

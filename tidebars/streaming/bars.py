@@ -45,9 +45,9 @@ def bar_stream(
 
 
 def late_ticks(ticks: DataFrame, stored: DataFrame, width_hours: int = 1) -> DataFrame:
-    """Ticks of bars that are already stored and will not be changed."""
-    hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
-    return ticks.withColumn("date_time", hour).join(stored.select("symbol", "date_time"), ["symbol", "date_time"], "left_semi")
+    """Ticks of bars, ``width_hours`` wide, that are already stored and will not be changed."""
+    bar = F.window(F.col("ts").cast("timestamp"), f"{width_hours} hours")["start"].cast("timestamp_ntz")
+    return ticks.withColumn("date_time", bar).join(stored.select("symbol", "date_time"), ["symbol", "date_time"], "left_semi")
 
 
 def run_batches(
@@ -61,7 +61,7 @@ def run_batches(
 
 
 def append_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """Append rows whose key is not stored: a repeated batch adds nothing."""
+    """Append rows whose key is not stored: a repeated batch adds nothing, whatever its number."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
         append_new(batch, path)
