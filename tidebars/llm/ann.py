@@ -23,7 +23,7 @@ from tidebars.llm.common import bounded_batches, name
 
 PROJECTIONS, THRESHOLD = 48, 0.7
 WIDTH = 2.72  # of a window at radius 1; a vector at the radius lies in it with a chance of 0.83
-FIRST_RADIUS, GROWTH = 0.1, 1.4
+RADII = (0.2, 0.4, 0.8, 1.6, math.inf)  # of the rounds
 ROWS, QUERIES = 8192, 4096  # vectors of a block of the table and of the query set
 SEED = 20_240_607
 
@@ -46,26 +46,34 @@ class Index:
         self.order = np.argsort(projected, axis=0, kind="stable").T.copy()
         self.sorted = np.take_along_axis(projected.T, self.order, axis=1)
 
-    def nearest(self, query_id: int, query: np.ndarray, k: int) -> list[tuple[int, float]]:
-        """The ``k`` nearest of the block found: id, cosine."""
-        n = len(self.vectors)
-        norm = math.sqrt(float((query ** 2).sum()))
-        centre = (query / norm) @ self.directions
-        count = np.zeros(n, np.int16)
-        checked = np.zeros(n, bool)
-        least = math.ceil(THRESHOLD * PROJECTIONS)
-        low = np.array([np.searchsorted(s, c) for s, c in zip(self.sorted, centre)])
-        high, best, radius = low.copy(), [], FIRST_RADIUS
-        while True:
-            half = WIDTH * radius / 2
-            new = []
-            for j in range(PROJECTIONS):
-                a = int(np.searchsorted(self.sorted[j], centre[j] - half))
-                b = int(np.searchsorted(self.sorted[j], centre[j] + half, side="right"))
-                a, b = min(a, int(low[j])), max(b, int(high[j]))
-                new += [self.order[j, a:low[j]], self.order[j, high[j]:b]]
-                low[j], high[j] = a, b
-            count += np.bincount(np.concatenate(new), minlength=n).astype(np.int16)
+    def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, float]]:
+        """For each query the ``k`` nearest of the block found: query, id, cosine."""
+        norms = np.sqrt((queries ** 2).sum(axis=1))
+        centres = (queries / norms[:, None]) @ self.directions
+        # where the windows of all rounds begin and end: round, projection, query; the last round takes in everything
+        halves = WIDTH / 2 * np.array(RADII)[:, None]
+        low, high = np.empty((2, len(RADII), PROJECTIONS, len(queries)), np.int64)
+        for j in range(PROJECTIONS):
+            low[:, j] = np.searchsorted(self.sorted[j], (centres[:, j] - halves).ravel()).reshape(len(RADII), -1)
+            high[:, j] = np.searchsorted(self.sorted[j], (centres[:, j] + halves).ravel(), side="right").reshape(len(RADII), -1)
+        out = []
+        for q, query_id in enumerate(query_ids.tolist()):
+            out += [(query_id, i, s) for i, s in self._expand(query_id, queries[q], norms[q], low[:, :, q].tolist(), high[:, :, q].tolist(), k)]
+        return out
+
+    def _expand(self, query_id: int, query: np.ndarray, norm: float, low: list, high: list, k: int) -> list[tuple[int, float]]:
+        n, least = len(self.vectors), math.ceil(THRESHOLD * PROJECTIONS)
+        count, checked = np.zeros(n, np.int64), np.zeros(n, bool)
+        best: list[tuple[int, float]] = []
+        inner_low = inner_high = low[0]  # the first windows are empty inside
+        for radius, a, b in zip(RADII, low, high):
+            if math.isinf(radius):
+                count[:] = PROJECTIONS
+            else:
+                new = [self.order[j, x:y] for j in range(PROJECTIONS) for x, y in ((a[j], inner_low[j]), (inner_high[j], b[j])) if x < y]
+                if new:
+                    count += np.bincount(np.concatenate(new), minlength=n)
+                inner_low, inner_high = a, b
             ready = np.flatnonzero((count >= least) & ~checked)
             if len(ready):
                 checked[ready] = True
@@ -75,9 +83,9 @@ class Index:
                     ready, score = ready[score >= near], score[score >= near]
                 best += [(i, s) for e, s in zip(ready.tolist(), score.tolist()) for i in self.ids[e].tolist() if i != query_id]
                 best = sorted(best, key=lambda x: (-x[1], x[0]))[:k]
-            if len(best) == k and math.sqrt(max(0.0, 2 - 2 * best[-1][1])) <= radius or checked.all():
-                return best
-            radius *= GROWTH
+            if len(best) == k and math.sqrt(max(0.0, 2 - 2 * best[-1][1])) <= radius:
+                break
+        return best
 
 
 def _usable(column: str) -> F.Column:
@@ -113,8 +121,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, id_co
         out = []
         if len(rows) and len(wanted):
             index = Index(rows["id"].to_numpy(np.int64), np.stack(rows["v"].to_numpy()), k)
-            for query_id, query in zip(wanted["id"].tolist(), wanted["v"]):
-                out += [(query_id, i, s) for i, s in index.nearest(query_id, np.asarray(query), k)]
+            out = index.nearest(wanted["id"].to_numpy(np.int64), np.stack(wanted["v"].to_numpy()), k)
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(
             {"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
