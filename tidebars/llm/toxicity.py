@@ -12,39 +12,45 @@ presence of words and word beginnings; numpy trains on a bounded sample in one t
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebars.llm.common import CodeTable, as_bytes, bounded_batches, by_batch, name, packed, unpacked
+from tidebars.llm.common import CodeTable, bounded_batches, by_batch, name, packed, split_words, tidy, unpacked
 
 POSITIVES, UNLABELLED = 4000, 8000  # expected size of the two samples
 FEATURES = 6000  # features of a model
 PREFIXES = (4, 5, 6)
-RARE = 4  # positives that must have a feature
+RARE, ENRICHED = 4, 2.0  # positives that must have a feature, and how much likelier they must have it than the unlabelled
 ROUNDS, STEP, DECAY = 400, 0.05, 1e-4
 EDGES = "\"'()[]{}<>.,;:!?*_-`|/\\=«»“”„’…"
 
 
-def word_features(word: bytes) -> list[int]:
+def word_features(word: str) -> list[int]:
     """Hashes of a word without case and outer punctuation, and of its beginnings."""
-    text = word.decode("utf-8", "replace").lower().strip(EDGES)
+    text = word.lower().strip(EDGES)
     if not text:
         return []
     parts = ["=" + text] + ["^" + text[:n] for n in PREFIXES if len(text) >= n]
     return [xxhash.xxh64_intdigest(p.encode("utf-8", "replace")) for p in parts]
 
 
-def _present(table: CodeTable, texts: list[bytes]) -> list[np.ndarray]:
+def _present(table: CodeTable, texts: pa.Array) -> Iterator[np.ndarray]:
     """The different values of each text's words."""
-    return [np.unique(table.spread(np.unique(c))[0]) for c in table.codes([t.split() for t in texts])]
+    known, at, offsets = split_words(texts)
+    table.trim()
+    numbers = table.codes([known.to_pylist()])[0]
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        yield np.unique(table.spread(numbers[np.unique(at[a:b])]))
 
 
 def _features(batch: pa.RecordBatch) -> pa.RecordBatch:
     table = CodeTable(lambda words: [word_features(w) for w in words], dtype=np.uint64)
-    found = [x.view(np.int64) for x in _present(table, as_bytes(batch.column(1)))]
+    found = [x.view(np.int64) for x in _present(table, batch.column(1))]
     return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["positive", "features"])
 
 
@@ -87,7 +93,7 @@ class Model:
         """A function from texts to scores."""
         features, weights, bias = self.features, self.weights, self.bias
 
-        def places(words: list[bytes]) -> list[list[int]]:
+        def places(words: list[str]) -> list[list[int]]:
             hashes = [word_features(w) for w in words]
             flat = np.fromiter((h for hs in hashes for h in hs), np.uint64)
             at = np.searchsorted(features, flat)
@@ -98,9 +104,9 @@ class Model:
                 end += len(hs)
             return out
 
-        table = CodeTable(places)
+        table = CodeTable(places, limit=100_000)
 
-        def score(texts: list[bytes]) -> np.ndarray:
+        def score(texts: pa.Array) -> np.ndarray:
             f = np.array([weights[p].sum() for p in _present(table, texts)]) + bias
             return 1 / (1 + np.exp(-np.clip(f, -500, 500)))
 
@@ -131,8 +137,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         F.sum(F.col("positive").cast("int")).alias("p"), F.sum((~F.col("positive")).cast("int")).alias("u"))
     sizes = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
     p, u = F.col("p") / max(1, sizes.get(True, 0)), F.col("u") / max(1, sizes.get(False, 0))
-    gain = F.abs(p - u) / F.sqrt((p + u) / 2 + F.lit(1 / max(1, sizes.get(True, 0))))
-    best = counts.where(F.col("p") >= RARE).orderBy(gain.desc(), "feature").limit(FEATURES).select("feature").collect()
+    spread = 1 / max(1, sizes.get(True, 0)) + 1 / max(1, sizes.get(False, 0))
+    gain = (p - u) / F.sqrt((p + u) / 2 * spread)
+    best = counts.where((F.col("p") >= RARE) & (p >= u * ENRICHED)).orderBy(gain.desc(), "feature").limit(FEATURES).select("feature").collect()
     features = np.sort(np.array([r[0] for r in best], np.int64).view(np.uint64))
     if not len(features):
         return bare
@@ -142,6 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                for x in (np.array(v, np.int64).view(np.uint64) for v in batch.column(1).to_pylist())]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int32()))], names=["positive", "at"])
 
+    @tidy
     def fit(batches):
         data = sorted((p, tuple(at)) for b in batches for p, at in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
         positive = np.array([p for p, _ in data], bool)
@@ -177,13 +185,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     rows = rows.select("row", F.col("c0").alias("id"), F.col("c1").cast("string").alias("text"), held_out("c0").alias("held_out"))
     kind = rows.schema
 
+    @tidy
     def score(batches):
         scorer = model.scorer()
         for batch in batches:
             if batch.num_rows:
                 arrays = [batch.column(i) for i in range(4)]
                 yield pa.RecordBatch.from_arrays(
-                    [*arrays, pa.array(scorer(as_bytes(batch.column(2))), pa.float64())],
+                    [*arrays, pa.array(scorer(batch.column(2)), pa.float64())],
                     names=["row", "id", "text", "held_out", "score"])
 
     scored = rows.mapInArrow(
