@@ -1,7 +1,5 @@
 import pytest
 
-from tidebars.llm import common
-
 
 @pytest.fixture
 def docs(spark):
@@ -19,6 +17,3 @@ def tokenizer():
     from tidebars.llm.tokens import default_tokenizer
 
     return default_tokenizer()
-
-
-assert common  # the subpackage must be importable here

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidebars.llm.common import bounded_batches, name
+from tidebars.llm.common import bounded_batches, name, tidy
 
 WINDOW, SURGE = 3, 80
 #: Elements of HTML by their part in a page.
@@ -176,6 +176,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     bounded_batches(pages.sparkSession)
     rows = pages.select(name(id_col).alias("id"), name(url_col).alias("url"), name(html_col).cast("string").alias("html"))
 
+    @tidy
     def work(batches):
         for batch in batches:
             texts = [main_text(p) for p in batch.column(2).to_pylist()]

@@ -90,15 +90,16 @@ def _cut(min_words: int):
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, n_words, n_removed = [], [], []
-        for text, runs in zip(as_bytes(batch.column("text")), batch.column("runs").to_pylist()):
+        runs = batch.column("runs")
+        offsets = np.asarray(runs.offsets).tolist()
+        first, n = (np.asarray(runs.values.field(c)).astype(np.int64) for c in ("first", "n"))
+        for text, a, b in zip(as_bytes(batch.column("text")), offsets, offsets[1:]):
             words = text.split()
             n_words.append(len(words))
-            if runs:
+            if a < b:
                 edge = np.zeros(len(words) + 1, np.int64)
-                first = np.fromiter((r["first"] for r in runs), np.int64, len(runs))
-                n = np.fromiter((r["n"] for r in runs), np.int64, len(runs))
-                np.add.at(edge, first, 1)
-                np.add.at(edge, first + n + (min_words - 1), -1)
+                np.add.at(edge, first[a:b], 1)
+                np.add.at(edge, first[a:b] + n[a:b] + (min_words - 1), -1)
                 keep = np.cumsum(edge)[:-1] == 0
                 n_removed.append(len(words) - int(keep.sum()))
                 words = [words[i] for i in np.flatnonzero(keep)]

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebars.llm.common import as_bytes, bounded_batches, dealt_join, name
+from tidebars.llm.common import as_bytes, bounded_batches, dealt_join, name, tidy
 from tidebars.llm.tokens import WholeFile, file_system, new_folder
 from tidebars.session import stage
 
@@ -97,6 +97,7 @@ def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rows = dealt_join(rows, top, ["sha"]).select(
         F.col("id").cast("string").alias("id"), "url", "html", F.when(revisit, F.col("top").cast("string")).alias("top"), revisit.alias("revisit"))
 
+    @tidy
     def work(batches):
         part, n, out = TaskContext.get().partitionId(), 0, None
         for batch in batches:
@@ -141,6 +142,7 @@ def read_warc(index: DataFrame, kind: str = "bigint", payloads: bool = True) ->
         if run:
             yield uri, run
 
+    @tidy
     def work(batches):
         opened, file = None, None
         for uri, run in ranges(batches):
