@@ -72,7 +72,7 @@ def test_random_access(tmp_path):
     parts = [rng.integers(0, 50_000, k).astype(np.uint32) for k in (5, 0, 70_000, 128, 3)]
     writer = TokenWriter(str(tmp_path), "x.pfor", pa.string())
     for k, p in enumerate(parts):
-        writer.add(f"id{k}", p)
+        writer.add([f"id{k}"], [len(p)], p)
     file = TokenFile(writer.close())
     ids = np.concatenate(parts)
     for a, b in [(0, len(ids)), (0, 0), (4, 6), (60_000, 65_537), (127, 129), (len(ids) - 1, len(ids))]:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebars.llm.common import as_bytes, bounded_batches, name
+from tidebars.llm.common import bounded_batches, name, tidy
 from tidebars.llm.tokens import WholeFile, encoder, file_system, new_folder
 from tidebars.session import stage
 
@@ -110,9 +110,10 @@ class TokenWriter:
         self.keys: list = []
         self.lengths: list[int] = []
 
-    def add(self, key, ids: np.ndarray) -> None:
-        self.keys.append(key)
-        self.lengths.append(len(ids))
+    def add(self, keys: list, lengths: list[int], ids: np.ndarray) -> None:
+        """Documents with the numbers of their ids, and all their ids in a row."""
+        self.keys += keys
+        self.lengths += lengths
         self.rest.append(ids)
         self.waiting += len(ids)
         self.total += len(ids)
@@ -179,15 +180,16 @@ def write_token_files(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", t
     rows = docs.select(name(id_col).alias("id"), name(text_col).cast("string").alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("id", "h").sortWithinPartitions("id", "h", "text")
 
+    @tidy
     def work(batches):
-        part, out, texts = TaskContext.get().partitionId(), None, encoder(tokenizer)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            out = out or TokenWriter(folder, f"part-{part:06d}.pfor", batch.column(0).type)
-            words = [t.split() for t in as_bytes(batch.column(1))]
-            for key, (ids, _) in zip(batch.column(0).to_pylist(), texts.ids(words, end)):
-                out.add(key, ids)
+        part, out = TaskContext.get().partitionId(), None
+        with encoder(tokenizer) as texts:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                out = out or TokenWriter(folder, f"part-{part:06d}.pfor", batch.column(0).type)
+                ids, first, _ = texts.batch(batch.column(1), end, sentences=False)
+                out.add(batch.column(0).to_pylist(), np.diff(first).tolist(), ids)
         if out:
             yield pa.RecordBatch.from_pylist(
                 [{"part": part, "uri": out.close(), "n_docs": len(out.keys), "n_tokens": out.total}])
@@ -208,6 +210,7 @@ def read_documents(files: DataFrame, kind: str = "bigint") -> DataFrame:
         base += f["n_tokens"]
     frame = spark.createDataFrame(rows, "part int, uri string, base bigint").repartition(max(1, len(rows)), "part")
 
+    @tidy
     def work(batches):
         for batch in batches:
             for uri, base in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):

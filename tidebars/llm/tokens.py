@@ -117,19 +117,33 @@ class Encoder:
         known = words.dictionary_encode()
         return self.table.codes([known.dictionary.to_pylist()])[0][np.asarray(known.indices)]
 
-    def ids(self, texts: pa.Array, end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each text of a column (null: empty): its ids with ``end`` after them, and the places after sentence ends."""
-        if not len(texts):
-            return
+    def batch(self, texts: pa.Array, end: int, sentences: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of a column's texts in a row (null: empty), each with ``end`` after them; where each text begins, and the end of
+        all; and, if asked for, the places after sentence ends."""
         known, at, offsets = split_words(texts)
         self.table.trim()
         body, marks = (self._codes(p) for p in self._parts(known))
-        stop = np.asarray(pc.match_substring_regex(known, SENTENCE_ENDS).to_numpy(zero_copy_only=False), bool)
-        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-            own = at[a:b]
-            pair = np.stack([body[own], marks[own]], axis=1)
-            length = self.table.length[pair].sum(axis=1)
-            yield np.append(self.table.spread(pair.ravel()), np.uint32(end)), np.cumsum(length)[stop[own]]
+        length = (self.table.length[body] + self.table.length[marks])[at]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        first = ends[offsets] + np.arange(len(offsets))
+        flat = np.full(int(first[-1]), end, np.uint32)
+        inner = np.ones(len(flat), bool)
+        inner[first[1:] - 1] = False
+        flat[inner] = self.table.spread(np.stack([body, marks], axis=1)[at].ravel())
+        stops = np.zeros(0, np.int64)
+        if sentences:
+            stop = np.asarray(pc.match_substring_regex(known, SENTENCE_ENDS).to_numpy(zero_copy_only=False), bool)
+            words = np.flatnonzero(stop[at])
+            stops = ends[words + 1] + np.searchsorted(offsets, words, side="right") - 1
+        return flat, first, stops
+
+    def ids(self, texts: pa.Array, end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each text: its ids with ``end`` after them, and the places after sentence ends."""
+        if len(texts):
+            flat, first, stops = self.batch(texts, end)
+            cuts = np.searchsorted(stops, first).tolist()
+            for a, b, i, j in zip(first[:-1].tolist(), first[1:].tolist(), cuts, cuts[1:]):
+                yield flat[a:b], stops[i:j] - a
 
 
 def encoder(path: str) -> Encoder:
