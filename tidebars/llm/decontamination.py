@@ -18,11 +18,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebars.llm.common import CodeTable, Rolling, as_bytes, bounded_batches, by_batch, name, packed, unpacked
+from tidebars.llm.common import CodeTable, Rolling, bounded_batches, name, packed, split_words, tidy, unpacked
 from tidebars.session import stage
 
 WINDOW = 8  # template tokens
@@ -39,37 +40,39 @@ OPENERS = frozenset(
     "we you i this that these those there then each every all some to as after before find compute calculate suppose let given "
     "der die das ein eine im in und wenn wie was le la les un une et si el los las y o en de se que".split())
 NUMBERS = frozenset("one two three four five six seven eight nine ten eleven twelve hundred thousand million".split())
+#: Punctuation after a word that is no token, and how a sentence ends.
+OUTER = "!\"#&'()*+,-./:;<=>?@[\\]^_`{|}~"
+SENTENCE_END = r"[.!?:][\"')\]»”]*$"
 _PIECE = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’-][^\W\d_]+)*|[%$€£¥]", re.UNICODE)
 WORD, NUMBER, UNIT, CAPITAL, OPENER = range(5)  # kinds of a token; a capital one may be a name
 _SPECIAL = {kind: xxhash.xxh64_intdigest(b"\0" + bytes([kind])) for kind in (NUMBER, UNIT, CAPITAL)}
 
 
+def _token(text: str) -> tuple[int, str]:
+    low = text.lower()
+    if text[0].isdigit() or low in NUMBERS:
+        return NUMBER, low
+    if low in UNITS:
+        return UNIT, low
+    if text[0].isupper():
+        return (OPENER if low in OPENERS else CAPITAL), low
+    return WORD, low
+
+
 def tokens_of(word: str) -> list[tuple[int, str]]:
     """``kind, text`` of the tokens of a run without white space; punctuation is left out."""
-    out = []
-    for m in _PIECE.finditer(word):
-        text = m[0]
-        low = text.lower()
-        if text[0].isdigit() or low in NUMBERS:
-            out.append((NUMBER, low))
-        elif low in UNITS:
-            out.append((UNIT, low))
-        elif text[0].isupper():
-            out.append((OPENER if low in OPENERS else CAPITAL, low))
-        else:
-            out.append((WORD, low))
-    return out
+    letters = word.rstrip(".,")
+    if letters.isalpha():  # one token, as most words are
+        return [_token(letters)]
+    return [_token(m[0]) for m in _PIECE.finditer(word)]
 
 
-def _packed_tokens(word: bytes) -> list[int]:
-    """For each token two values: hash of the lower-case text; kind, and whether a sentence ends after it."""
-    text = word.decode("utf-8", "replace")
-    found = tokens_of(text)
-    stop = text.rstrip("\"')]»”").endswith((".", "!", "?", ":"))
-    out = []
-    for i, (kind, low) in enumerate(found):
-        out += [xxhash.xxh64_intdigest(low.encode()), kind | (8 if stop and i == len(found) - 1 else 0)]
-    return out
+def _packed_tokens(word: str) -> list[int]:
+    """For each token two values: hash of the lower-case text, and kind."""
+    if word.isalpha():  # one token, as most words are
+        kind, low = _token(word)
+        return [xxhash.xxh64_intdigest(low), kind]
+    return [v for kind, low in tokens_of(word) for v in (xxhash.xxh64_intdigest(low), kind)]
 
 
 def code_table() -> CodeTable:
@@ -77,49 +80,66 @@ def code_table() -> CodeTable:
 
 
 class Template:
-    """The two templates of a text. ``plain`` and ``cased``: code of each template token; ``*_at``: its first token."""
+    """The two templates of the texts of a batch, one text after the other.
 
-    def __init__(self, values: np.ndarray):
-        self.codes, kinds = values[0::2], values[1::2]
-        kind, stop = (kinds & np.uint64(7)).astype(np.int64), kinds >= 8
+    ``forms`` yields for each: its number, code of each template token, place of the token it begins at, whether it is a
+    slot, and the text it is of. ``first``: where each text's tokens begin.
+    """
+
+    def __init__(self, texts: pa.Array, table: CodeTable):
+        known, at, offsets = split_words(texts)
+        bodies = pc.ascii_rtrim(known, characters=OUTER).dictionary_encode()
+        table.trim()
+        numbers = table.codes([bodies.dictionary.to_pylist()])[0][np.asarray(bodies.indices)][at]
+        values = table.spread(numbers)
+        ends = np.concatenate([[0], np.cumsum(table.length[numbers] // 2)])
+        self.first = ends[offsets]
+        text = np.repeat(np.arange(len(texts)), np.diff(self.first))
+        codes, kind = values[0::2], values[1::2].astype(np.int8)
         n = len(kind)
-        number, unit = kind == NUMBER, kind == UNIT
+        stop = np.zeros(n + 1, bool)  # a sentence ends after the token; the last place takes words before the first one
+        over = np.asarray(pc.match_substring_regex(known, SENTENCE_END).to_numpy(zero_copy_only=False), bool)
+        stop[ends[1:][over[at]] - 1] = True
+        stop = stop[:n]
+        joined = text[1:] == text[:-1]  # the next token is of the same text
+        number, unit, names = kind == NUMBER, kind == UNIT, kind == CAPITAL
         beside = np.zeros(n, bool)  # a unit counts as one next to a number only
-        beside[1:] |= number[:-1]
-        beside[:-1] |= number[1:]
+        beside[1:] |= number[:-1] & joined
+        beside[:-1] |= number[1:] & joined
         unit &= beside
-        plain = self.codes.copy()
+        plain = codes.copy()
         plain[number], plain[unit] = _SPECIAL[NUMBER], _SPECIAL[UNIT]
-        names = kind == CAPITAL
         cased = plain.copy()
         cased[names] = _SPECIAL[CAPITAL]
-        run = np.zeros(n, bool)  # not the first of a run of names
-        run[1:] = names[1:] & names[:-1] & ~stop[:-1]
-        self.plain, self.plain_at, self.plain_slot = plain, np.arange(n), number | unit
-        keep = ~run
-        self.cased, self.cased_at, self.cased_slot = cased[keep], np.flatnonzero(keep), (number | unit | names)[keep]
-        self.n = n
+        keep = np.ones(n, bool)  # of a run of names the first
+        keep[1:] = ~(names[1:] & names[:-1] & ~stop[:-1] & joined)
+        slot = number | unit
+        self._forms = [
+            (0, plain, np.arange(n), slot, text), (1, cased[keep], np.flatnonzero(keep), (slot | names)[keep], text[keep])]
 
     def forms(self):
-        yield 0, self.plain, self.plain_at, self.plain_slot
-        yield 1, self.cased, self.cased_at, self.cased_slot
+        return self._forms
 
 
-def windows_of(codes: np.ndarray, slot: np.ndarray, size: int, form: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the windows of ``size`` tokens with enough words among them."""
-    if len(codes) < size or not size:
+def windows_of(rolling: Rolling, slot: np.ndarray, text: np.ndarray, size: int, form: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the windows of ``size`` tokens of one text with enough words among them."""
+    if len(slot) < size or not size:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     words = np.concatenate([[0], np.cumsum(~slot)])
-    starts = np.flatnonzero(words[size:] - words[:-size] >= min(LITERAL, size))
-    return starts, Rolling(codes).all(size)[starts] ^ np.uint64(form * 0x5851F42D4C957F2D)
+    whole = text[size - 1:] == text[:len(text) - size + 1]
+    starts = np.flatnonzero(whole & (words[size:] - words[:-size] >= min(LITERAL, size)))
+    return starts, rolling.all(size)[starts] ^ np.uint64(form * 0x5851F42D4C957F2D)
+
 
+def _shape(words: list[str], slot: np.ndarray, at: np.ndarray, start: int, stop: int) -> tuple[str, list[str]]:
+    """The template text of the template tokens from ``start`` to ``stop`` (slots as ``#``) and the values in its slots.
 
-def _shape(words: list[str], codes_slot: np.ndarray, at: np.ndarray, n: int, start: int, size: int) -> tuple[str, list[str]]:
-    """The template text of a window (slots as ``#``) and the values in its slots."""
+    ``at`` has the place in ``words`` of every template token of the text, and the end.
+    """
     text, slots = [], []
-    for k in range(start, start + size):
-        own = " ".join(words[int(at[k]):int(at[k + 1]) if k + 1 < len(at) else n])
-        if codes_slot[k]:
+    for k in range(start, stop):
+        own = " ".join(words[int(at[k]):int(at[k + 1])])
+        if slot[k]:
             slots.append(own)
             text.append("#")
         else:
@@ -135,24 +155,35 @@ def _scan(sizes: list[int], bitmap: np.ndarray | None, item_sizes: bool):
     schema = pa.schema([("key", pa.int64()), ("size", pa.int32()), ("form", pa.int32()), ("start", pa.int32()),
                         ("hash", pa.int64()), ("shape", pa.string()), ("slots", pa.list_(pa.string())), ("tokens", pa.int32())])
 
+    @tidy
     def work(batches):
         table = code_table()
         for batch in batches:
-            texts = [t.split() for t in as_bytes(batch.column(1))]
-            out = []
-            for key, line, codes in zip(batch.column(0).to_pylist(), texts, table.codes(texts)):
-                template, words = Template(table.spread(codes)[0]), None
-                for form, own, at, slot in template.forms():
-                    for size in ([min(WINDOW, len(own))] if item_sizes else sizes):
-                        starts, hashes = windows_of(own, slot, size, form)
-                        if bitmap is not None:
-                            hit = bitmap[hashes & np.uint64((1 << BITS) - 1)]
-                            starts, hashes = starts[hit], hashes[hit]
-                        if len(starts) and words is None:
-                            words = [t for w in line for _, t in tokens_of(w.decode("utf-8", "replace"))]
-                        for s, h in zip(starts.tolist(), hashes.view(np.int64).tolist()):
-                            shape, slots = _shape(words, slot, at, template.n, s, size)
-                            out.append((key, size, form, s, h, shape, slots, len(own)))
+            if not batch.num_rows:
+                continue
+            out, words = [], {}
+            template = Template(batch.column(1), table)
+            for form, own, at, slot, text in template.forms():
+                begin = np.searchsorted(text, np.arange(batch.num_rows + 1))  # of each text's template tokens
+                lengths = np.diff(begin)
+                rolling = Rolling(own)
+                for size in (np.unique(np.minimum(lengths, WINDOW)).tolist() if item_sizes else sizes):
+                    starts, hashes = windows_of(rolling, slot, text, size, form)
+                    if bitmap is not None:
+                        low = hashes & np.uint64((1 << BITS) - 1)
+                        hit = (bitmap[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                    else:
+                        hit = np.minimum(lengths[text[starts]], WINDOW) == size
+                    starts, hashes = starts[hit], hashes[hit]
+                    for s, h in zip(starts.tolist(), hashes.view(np.int64).tolist()):
+                        row = int(text[s])
+                        if row not in words:
+                            line = batch.column(1)[row].as_py() or ""
+                            words[row] = [t for w in re.split(r"[ \t-\r]+", line) for _, t in tokens_of(w)]
+                        a, b = int(begin[row]), int(begin[row + 1])
+                        places = np.append(at[s:s + size + 1] if s + size < b else at[s:b], template.first[row + 1:row + 2] if s + size >= b else [])
+                        shape, slots = _shape(words[row], slot[s:s + size], places - template.first[row], 0, size)
+                        out.append((batch.column(0)[row].as_py(), size, form, s - a, h, shape, slots, b - a))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
@@ -163,13 +194,13 @@ _COLUMNS = "key bigint, size int, form int, start int, hash bigint, shape string
 
 
 def _bitmap(items: DataFrame) -> np.ndarray:
-    """Which hashes the benchmark has, by their last ``BITS`` bits; as many rows at most as the bitmap has words."""
+    """Which hashes the benchmark has, a bit for each, by their last ``BITS`` bits; as many rows at most as the bitmap has words."""
     low = F.col("hash").bitwiseAND((1 << BITS) - 1)
     words = items.select(F.shiftright(low, 6).alias("word"), F.expr("shiftleft(1L, cast(hash & 63 as int))").alias("bit"))
     out = np.zeros(1 << (BITS - 6), np.uint64)
     for r in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
         out[r["word"]] = np.uint64(r["bits"] % (1 << 64))
-    return np.unpackbits(out.astype("<u8").view(np.uint8), bitorder="little").view(bool)
+    return out.astype("<u8").view(np.uint8)
 
 
 def _consistent(slots: str) -> F.Column:
@@ -201,7 +232,7 @@ def _leaks(rows: DataFrame, benchmark: DataFrame, item_col: str, text_col: str)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, 3)  # a batch's tokens take some 30 times its bytes
     rows = packed(docs, id_col, text_col)
     return rows.select("rid", "row", F.col("c0").alias("id"), F.col("c1").cast("string").alias("text"))
 
