@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tidebars.llm import ann, chat_windows, toxicity, warc
+from tidebars.llm import ann, chat_windows, decontamination, toxicity, warc
 from tidebars.llm.ann import nearest_neighbours
 from tidebars.llm.chat_windows import escape, format_windows, read_back, read_turns, unescape
 from tidebars.llm.decontamination import leaked_items, without_leaks
@@ -46,6 +46,29 @@ def test_inconsistent_slots_are_no_leak(spark, docs):
     assert leaks(spark, docs, rows, [(1, item)]) == [(1, 1, False)]
 
 
+def test_contradictions_leave_the_rest_of_a_line(spark, docs):
+    plain = "the quick miller of the village carries heavy sacks up along narrow winding stairs every cold morning"
+    edited = f"there are 2 mills by the river and 2 more upstream {plain}"
+    swapped = "a farmer sells 12 apples for 3 coins and then buys some fresh bread"
+    named = "yesterday John Smith walked along the old harbour wall until John found his brown dog there again"
+    rows = [
+        (1, edited.replace("2 more", "5 more")),  # one of two equal numbers edited, the rest verbatim
+        (2, swapped.replace("12", "7").replace("3", "7")),  # new numbers happen to coincide
+        (3, named.replace("John Smith", "Mary").replace("John", "Mary")),
+        (4, "there are 7 mills by the river and 9 more upstream with nothing else")]
+    assert leaks(spark, docs, rows, [(1, edited), (2, swapped), (3, named)]) == [(1, 1, False), (2, 2, False), (3, 3, False)]
+
+
+def test_runs_of_a_line():
+    def run(values, need):  # values of one slot in each of the windows, of 8 tokens
+        return decontamination._run([(k, [("2", v)] if v else []) for k, v in enumerate(values)], 8, need)
+
+    assert run(["3"] * 4 + ["4"] * 9, 16) == (9, 16, False) and run(["3"] * 4 + ["4"] * 8, 16) is None
+    assert run(["4"] * 9 + ["3"] * 4, 16) == (9, 16, False) and run(["3"] * 3, 16) == (3, 10, False)
+    assert run(["3", "2", "4", None], 16) == (2, 10, False) and run(["2", None], 16) == (2, 9, True)
+    assert decontamination._run([(0, [("1", "2"), ("1", "3")])], 8, 8) is None
+
+
 def test_matches_brute_force_on_plain_text(spark, docs):
     rng = random.Random(1)
     vocabulary = [f"{a}{b}" for a in "bdfgklmnprst" for b in ("ako", "eri", "ulo", "ina")]

@@ -2,8 +2,9 @@
 
 Texts become tokens; numbers, units and names are replaced by typed placeholders, so that a question with other
 numbers or names has the same template. Windows of ``window`` template tokens are joined by hash, compared as texts, and
-lined up by document, item and offset. A line is a leak only if its slots are consistent: each value of the item stands for one
-value of the document all along, and the other way round; with equal values that is a plain copy.
+lined up by document, item and offset. Windows whose slots are empty or equal are a plain copy and always a leak. Other windows
+count in runs in which each value of the item stands for one value of the document; where a line contradicts itself, only
+runs over ``RUN`` tokens or the whole item do.
 
 Names are known by their capital letter, which sentence starts and texts in lower case hide. Two templates are
 therefore joined: ``cased`` with names as placeholders, and ``plain`` with names as lower-case words.
@@ -23,11 +24,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebars.llm.common import CodeTable, Rolling, bounded_batches, name, packed, split_words, tidy, unpacked
+from tidebars.llm.common import CodeTable, Rolling, bounded_batches, by_batch, name, packed, split_words, tidy, unpacked
 from tidebars.session import stage
 
 WINDOW = 8  # template tokens
 LITERAL = 4  # of them that must be words
+RUN = 2 * WINDOW  # template tokens (or the whole item) that a run with other values must cover within a line that contradicts itself
 BITS = 24  # the bitmap has 2 ** BITS bits
 #: Words taken as units after a number, and words that start sentences and are no names.
 UNITS = frozenset(
@@ -203,10 +205,50 @@ def _bitmap(items: DataFrame) -> np.ndarray:
     return out.astype("<u8").view(np.uint8)
 
 
-def _consistent(slots: str) -> F.Column:
-    """Whether pairs ``i`` (item's value), ``d`` (document's) are one to one."""
-    pairs = F.array_distinct(slots)
-    return (F.size(pairs) == F.size(F.array_distinct(pairs["i"]))) & (F.size(pairs) == F.size(F.array_distinct(pairs["d"])))
+def _run(windows: list[tuple[int, list[tuple[str, str]]]], size: int, need: int) -> tuple[int, int, bool] | None:
+    """``n_windows, n_tokens, exact`` of the longest run of a line that counts.
+
+    ``windows``: start and pairs ``i`` (item's value), ``d`` (document's). Those with equal pairs only are a verbatim copy and
+    always count, whatever lies between. A run with other pairs counts if each item value stands for one document value in it, and
+    if it is the whole line or its windows cover ``need`` tokens.
+    """
+    windows = sorted(windows)
+    equal = [all(i == d for i, d in pairs) for _, pairs in windows]
+    same = [start for (start, _), e in zip(windows, equal) if e]
+    best = (len(same), same[-1] - same[0] + size) if same else (0, 0)
+    means: dict[str, dict[str, int]] = {}  # of the run's item values, each document value's number of windows
+    twice = covered = left = 0
+    for k, (start, pairs) in enumerate(windows):
+        covered += min(size, start - windows[k - 1][0]) if k > left else size
+        for i, d in set(pairs):
+            own = means.setdefault(i, {})
+            own[d] = own.get(d, 0) + 1
+            twice += own[d] == 1 and len(own) == 2
+        while twice:  # the first windows go until each value stands for one again
+            for i, d in set(windows[left][1]):
+                own = means[i]
+                own[d] -= 1
+                if not own[d]:
+                    del own[d]
+                    twice -= len(own) == 1
+            left += 1
+            covered = covered - min(size, windows[left][0] - windows[left - 1][0]) if left <= k else 0
+        if left <= k and (covered >= need or k - left + 1 == len(windows)):
+            best = max(best, (k - left + 1, start - windows[left][0] + size))
+    return (*best, all(equal)) if best[0] else None
+
+
+@by_batch
+def _runs(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Lines ``key, item, size, need, windows`` to ``key, item, n_windows, n_tokens, exact`` of those that are leaks."""
+    out = []
+    for key, item, size, need, windows in zip(*(c.to_pylist() for c in batch.columns)):
+        run = _run([(w["start"], [(p["i"], p["d"]) for p in w["pairs"]]) for w in windows], size, need)
+        if run:
+            out.append((key, item, *run))
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[n] for r in out], kind) for n, kind in enumerate(kinds)], names=["key", "item", "n_windows", "n_tokens", "exact"])
 
 
 def _leaks(rows: DataFrame, benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
@@ -218,16 +260,16 @@ def _leaks(rows: DataFrame, benchmark: DataFrame, item_col: str, text_col: str)
     ids = bench.select(F.col("rid").alias("item"), F.col("c0").alias("item_id"))
     found = rows.select("rid", "text").mapInArrow(_scan(sizes, _bitmap(items), False), _COLUMNS)
     mine = items.select(
-        F.col("key").alias("item"), "hash", "shape", "form", "size", F.col("start").alias("item_start"), F.col("slots").alias("item_slots"))
+        F.col("key").alias("item"), "hash", "shape", "form", "size", F.col("start").alias("item_start"), F.col("slots").alias("item_slots"),
+        F.least("tokens", F.lit(RUN)).alias("need"))
     hits = stage(found.join(mine, ["hash", "shape", "form", "size"]).select(
-        "key", "item", "form", "size", "start", (F.col("start") - F.col("item_start")).alias("line"),
+        "key", "item", "form", "size", "need", "start", (F.col("start") - F.col("item_start")).alias("line"),
         F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")).alias("pairs")))
-    lines = hits.groupBy("key", "item", "form", "size", "line").agg(
-        F.flatten(F.collect_set("pairs")).alias("pairs"), F.countDistinct("start").alias("n_windows"),
-        (F.max("start") - F.min("start") + F.first("size")).alias("n_tokens"))
-    leaks = lines.where(_consistent(F.col("pairs"))).groupBy("key", "item").agg(
-        F.max("n_windows").alias("n_windows"), F.max("n_tokens").alias("n_tokens"),
-        F.max(F.forall("pairs", lambda p: p["i"] == p["d"])).alias("exact"))
+    lines = hits.groupBy("key", "item", "form", "size", "need", "line").agg(F.collect_list(F.struct("start", "pairs")).alias("windows"))
+    runs = lines.select("key", "item", "size", "need", "windows").mapInArrow(
+        _runs, "key bigint, item bigint, n_windows bigint, n_tokens int, exact boolean")
+    leaks = runs.groupBy("key", "item").agg(
+        F.max("n_windows").alias("n_windows"), F.max("n_tokens").alias("n_tokens"), F.max("exact").alias("exact"))
     return leaks.join(ids, "item").select("key", "item_id", "n_windows", "n_tokens", "exact")
 
 
@@ -241,8 +283,8 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``id, item_id, n_windows, n_tokens, exact``: each document with each benchmark item of which it holds a passage.
 
-    ``n_windows``: windows of the longest line; ``n_tokens``: template tokens from its first to its last; ``exact``: all slots
-    have the item's own values. An item with fewer than ``WINDOW`` template tokens must be held whole; items without
+    ``n_windows``: windows of the longest run of a line; ``n_tokens``: template tokens from its first to its last; ``exact``: all
+    slots of a line have the item's own values. An item with fewer than ``WINDOW`` template tokens must be held whole; items without
     ``LITERAL`` words (all words, if shorter) leak nowhere. Null and empty texts hold nothing; rows of equal or null ids are
     reported each. Empty tables give no rows.
     """
