@@ -179,6 +179,27 @@ def test_main_text(body, text):
     assert main_text(PAGE.replace("BODY", body)) == text
 
 
+BODY_TEXT = "<p>" + "plain words of the story " * 8 + "</p>"
+
+
+@pytest.mark.parametrize("start, end", [
+    ('<div class="content-sidebar-wrap">', "</div>"), ('<div class="has-sidebar">', "</div>"), ('<div class="overflow-hidden">', "</div>"),
+    ('<div class="sidebar-wrap">', "</div>"), ('<form id="search">', "</form>"), ('<div title="the hidden cost">', "</div>")])
+@pytest.mark.parametrize("element", ["main", "article", "div"])
+def test_wrappers_are_kept(start, end, element):
+    page = f"<body><nav><a href=/>x</a></nav>{start}<{element}>{BODY_TEXT}</{element}>{end}<div class=share-buttons>Share</div></body>"
+    assert main_text(page) == " ".join(BODY_TEXT[3:-4].split())
+
+
+def test_sections_of_an_article_are_kept():
+    inner = ('<section id="discussion"><h2 id="search">Search</h2><p>a</p></section><div class="related-work">b</div><p aria-label="Share of votes">c</p>'
+             '<p title="the hidden cost">d <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding="TeX">x=2</annotation></math> e</p>')
+    gone = '<p hidden>f</p><p aria-hidden="true">g</p><p style="display: none">h</p><div class="related-posts">i</div><div class="comments">j</div>'
+    assert main_text(f"<article>{inner}{gone}</article>") == "Search a b c d x=2 e"
+    cards = "<article class=comment-body><p>Nice read</p></article>" * 3
+    assert main_text(f"<article>{BODY_TEXT}</article><div id=comments>{cards}</div>") == " ".join(BODY_TEXT[3:-4].split())
+
+
 def test_broken_pages():
     assert main_text("<article><p>one<p>two<script>never closed <p>x") == "one two"
     assert main_text("<div class=ad>open <article><p>kept") == "kept"

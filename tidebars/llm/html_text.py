@@ -1,7 +1,8 @@
 """Main text of HTML pages by line-block distribution.
 
 Markup is stripped to lines, one for each block element. Lines of scripts, menus, notices, comments and the like weigh nothing,
-link text weighs nothing, and, where the page marks an article, nor do lines outside it. Weights are summed over windows of
+link text weighs nothing (an element that holds the page's article, or most of its
+unlinked text, is never left out by its name), and, where the page marks an article, nor do lines outside it. Weights are summed over windows of
 ``WINDOW`` lines; text begins where a sum surges (over ``SURGE``; any weight inside a marked article), runs on until
 a whole window has no weight, the dive, and all lines with text of their own between the two are kept.
 """
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +21,16 @@ from tidebars.llm.common import bounded_batches, name, tidy
 
 WINDOW, SURGE = 3, 80
 #: Elements of HTML by their part in a page.
-RAW = frozenset("script style noscript template svg math head title textarea select iframe object canvas audio video".split())
+RAW = frozenset("script style noscript template svg annotation annotation-xml head title textarea select iframe object canvas audio video".split())
 APART = frozenset("nav aside footer form menu dialog button fieldset address".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr".split())
+    "strike strong sub sup time tt u var wbr "
+    "math semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup "
+    "munder mover munderover mmultiscripts mprescripts mtable mtr mtd mlabeledtr maction annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset("article main".split())
-#: Words of class, id and role names of parts that aren't the article.
+#: Words of class, id and role names of parts that aren't the article; a name counts if all its words are in one of the three lists.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner banners sponsor sponsored promo promotion sidebar sidebars side menu "
     "nav navbar navigation breadcrumb breadcrumbs footer cookie cookies consent gdpr notice notices notification alert popup modal overlay "
@@ -34,21 +38,41 @@ MARKS = frozenset(
     "commentlist reply replies respond disqus discussion widget widgets toolbar pagination pager copyright legal disclaimer search "
     "contentinfo complementary skip".split())
 HEAD_MARKS = frozenset("header masthead topbar".split())  # outside an article only
+PARTS = frozenset(
+    "area articles bar block body bottom box btn button buttons container form group icon icons inner item items left link links list "
+    "main message messages outer posts primary right secondary section site slot sticky stories text title top unit wrap wrapper".split())
+#: Ids that headings and sections of an article have as well, where they don't count.
+ANCHORS = frozenset(
+    "ad ads alert banner comment consent copyright cookie cookies discussion disclaimer legal menu navigation notice notices notification "
+    "promotion related reply respond search share sharing side social subscription widget widgets".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)",
     re.DOTALL)
-_MARKED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-_HIDDEN = re.compile(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_ASKED = re.compile(r"class|id|role|hidden|style", re.IGNORECASE)
+_UNSEEN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _marks(attributes: str) -> set[str]:
-    """Words of the names in class, id and role."""
-    out = set()
-    for m in _MARKED.finditer(attributes):
-        out.update(w.lower() for w in _WORDS.findall(m[1] or m[2] or m[3] or ""))
-    return out
+@lru_cache(4096)
+def _marked(attributes: str, inside: bool, heading: bool = False) -> bool:
+    """Whether an element is hidden, or named as a part that isn't the article."""
+    if not _ASKED.search(attributes):
+        return False
+    own: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attributes):
+        own.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    if own.get("hidden", "until-found").lower() != "until-found" or own.get("aria-hidden", "").lower() == "true" or _UNSEEN.search(own.get("style", "")):
+        return True
+    ids = [] if heading else [n for n in own.get("id", "").split() if not inside or n.lower() not in ANCHORS]
+    marks = MARKS if inside else MARKS | HEAD_MARKS
+    for known in [*own.get("class", "").split(), *own.get("role", "").split(), *ids]:
+        words = {w.lower() for w in _WORDS.findall(known) if len(w) > 1}
+        if words & marks and words <= marks | PARTS:
+            return True
+    return False
 
 
 def _tags(page: str) -> list[tuple[int, int, bool, str, str]]:
@@ -79,10 +103,42 @@ def _ends(tags: list[tuple]) -> dict[int, int]:
     return ends
 
 
+class _Shares:
+    """How the unlinked text of a page is spread over its elements."""
+
+    def __init__(self, page: str, tags: list[tuple], ends: dict[int, int]):
+        self.before = []  # characters before each tag
+        n = at = linked = 0
+        raw = -1
+        for k, (start, end, closing, element, _) in enumerate(tags):
+            if k > raw and not linked and start > at:
+                n += len(" ".join(page[at:start].split()))
+            self.before.append(n)
+            at = end
+            if element == "a":
+                linked = max(0, linked + (-1 if closing else 1))
+            elif element and element not in INLINE:
+                linked = 0
+            if k > raw and not closing and element in RAW:
+                raw = ends.get(k, k if element == "head" else len(tags))
+        self.total = n + (len(" ".join(page[at:].split())) if raw < len(tags) and not linked else 0)
+        spans = ((self.before[e] - self.before[k], k) for k, e in ends.items()
+                 if tags[k][3] == "main" or tags[k][3] == "article" and not _marked(tags[k][4], False))
+        self.most, self.article = max(spans, default=(0, -1))  # the longest article, and where it begins
+
+    def kept(self, start: int, end: int, element: str) -> bool:
+        """Whether the part from one tag to another has the page's article; an aside, footer or the like seldom has."""
+        named = element not in APART or element in ("form", "fieldset")
+        if start < self.article < end:
+            return named or 2 * self.most > self.total
+        return named and self.most < SURGE and 2 * (self.before[end] - self.before[start]) > self.total
+
+
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """``text, weight, inside`` of the lines of a page; lines to be left out are empty. ``inside``: a marked article."""
     tags = _tags(page)
     ends = _ends(tags)
+    shares = None
     lines, words, links = [], [], 0
     until, inside, linked = -1, 0, 0  # left out up to this tag; depth of articles; depth of links
 
@@ -106,17 +162,20 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if not element:
             continue
         if k == until:
-            close()
+            if element not in INLINE or element not in RAW:
+                close()
             continue
         if k < until:
             continue
         if not closing and (element in RAW or element in APART or (element == "header" and not inside) or attributes):
-            marks = _marks(attributes) if attributes else set()
             apart = element in RAW or element in APART or (element == "header" and not inside) or (
-                element not in ARTICLE and element not in ("html", "body") and bool(
-                    marks & MARKS or (not inside and marks & HEAD_MARKS) or (_HIDDEN.search(attributes) and element not in VOID)))
+                element not in ARTICLE and element not in ("html", "body") and _marked(attributes, inside > 0, element in HEADINGS))
+            if apart and element not in RAW and k in ends:
+                shares = shares or _Shares(page, tags, ends)
+                apart = not shares.kept(k, ends[k], element)
             if apart and element not in VOID:
-                close()
+                if element not in INLINE or element not in RAW:
+                    close()
                 if k in ends:
                     until = ends[k]
                 elif element in RAW and element != "head":
