@@ -200,6 +200,25 @@ def test_sections_of_an_article_are_kept():
     assert main_text(f"<article>{BODY_TEXT}</article><div id=comments>{cards}</div>") == " ".join(BODY_TEXT[3:-4].split())
 
 
+@pytest.mark.parametrize("lines", [["Who is there?", "It is I.", "Come in, then.", "Thank you."] * 5, ["春は曙がよい。", "夏は夜がよい。", "秋は夕暮れ。"] * 4, ["Short page."]])
+@pytest.mark.parametrize("start, end", [("<p>", "</p>"), ("<div><div><p>", "</p></div></div>")])
+def test_short_paragraphs(lines, start, end):
+    menu = "".join(f"<li><a href=/{k}>Menu entry number {k}</a></li>" for k in range(30))
+    page = f"<body><div><ul>{menu}</ul></div><div>{''.join(start + x + end for x in lines)}</div><div><ul>{menu}</ul></div></body>"
+    assert [main_text(page.replace("<ul>", "<nav>").replace("</ul>", "</nav>"))] == [" ".join(lines)]
+    assert " ".join(lines) in main_text(page) or len(lines) == 1
+
+
+def test_links_alone_are_no_text():
+    assert main_text("".join(f"<li><a href=/{k}>Menu entry number {k}</a></li>" for k in range(30)) + "<p>(c) us</p>" + "<li><a href=/>Imprint and more</a></li>" * 3) == ""
+
+
+def test_a_card_is_not_the_article():
+    text = " ".join(BODY_TEXT[3:-4].split())
+    assert text in main_text(f"<body><div>{BODY_TEXT * 5}</div><div><article><p>Read this as well</p></article></div></body>")
+    assert main_text(f"<article>{BODY_TEXT * 5}</article><p>{'words beside it ' * 10}</p>") == " ".join([text] * 5)
+
+
 def test_broken_pages():
     assert main_text("<article><p>one<p>two<script>never closed <p>x") == "one two"
     assert main_text("<div class=ad>open <article><p>kept") == "kept"

@@ -1,10 +1,10 @@
 """Main text of HTML pages by line-block distribution.
 
 Markup is stripped to lines, one for each block element. Lines of scripts, menus, notices, comments and the like weigh nothing,
-link text weighs nothing (an element that holds the page's article, or most of its
-unlinked text, is never left out by its name), and, where the page marks an article, nor do lines outside it. Weights are summed over windows of
-``WINDOW`` lines; text begins where a sum surges (over ``SURGE``; any weight inside a marked article), runs on until
-a whole window has no weight, the dive, and all lines with text of their own between the two are kept.
+link text weighs nothing (an element that holds the page's article, or most of its unlinked text, is never left out by its name).
+A marked article that holds most of the unlinked text is the text. Elsewhere weights are summed over windows of ``WINDOW``
+lines with text; text begins where a sum surges (over ``SURGE``, or over the mean line of the page, if that is less and the
+window's links are outweighed), runs on until a whole window has no weight, the dive, and all lines between the two are kept.
 """
 
 from __future__ import annotations
@@ -195,14 +195,16 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     return lines
 
 
-def surges(weights: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Runs of lines from each surge of the window sums to the dive after it."""
+def surges(weights: np.ndarray, links: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Runs of lines from each surge of the window sums to the dive after it; a sum under ``SURGE`` must outweigh its links."""
     n = len(weights)
-    total = np.concatenate([[0], np.cumsum(weights)])
-    sums = total[np.minimum(np.arange(n) + WINDOW, n)] - total[:-1]  # of the windows that begin at each line
+    ends = np.minimum(np.arange(n) + WINDOW, n)
+    total, linked = (np.concatenate([[0], np.cumsum(x)]) for x in (weights, links))
+    sums, beside = total[ends] - total[:-1], linked[ends] - linked[:-1]  # of the windows that begin at each line
+    begins = (weights > 0) & (sums >= least) & ((sums >= SURGE) | (sums >= beside))
     out, i = [], 0
     while i < n:
-        if weights[i] == 0 or sums[i] < least:
+        if not begins[i]:
             i += 1
             continue
         j = i
@@ -215,14 +217,15 @@ def surges(weights: np.ndarray, least: int) -> list[tuple[int, int]]:
 
 def main_text(page: str | None) -> str:
     """The text of a page's article, blocks joined by one space; empty if there is none."""
-    lines = lines_of(page or "")
-    marked = any(inside and text for text, _, inside in lines)
-    if marked:  # in a marked article every line weighs, also one that is a link
-        weights = np.array([len(text) if inside else 0 for text, _, inside in lines])
-    else:
-        weights = np.array([weight for _, weight, _ in lines])
-    kept = [lines[i][0] for a, b in surges(weights, 1 if marked else SURGE) for i in range(a, b) if lines[i][0] and (weights[i] or not marked)]
-    return " ".join(kept)
+    lines = [line for line in lines_of(page or "") if line[0]]
+    weights = np.array([weight for _, weight, _ in lines], np.int64)
+    inside = np.array([inside for _, _, inside in lines], bool)
+    if inside.any() and 2 * weights[inside].sum() >= weights.sum():  # in a marked article every line counts, also one that is a link
+        return " ".join(text for text, _, inside in lines if inside)
+    if not weights.any():
+        return ""
+    links = np.array([len(text) for text, _, _ in lines], np.int64) - weights
+    return " ".join(lines[i][0] for a, b in surges(weights, links, min(SURGE, weights[weights > 0].mean())) for i in range(a, b))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
