@@ -59,12 +59,26 @@ def test_contradictions_leave_the_rest_of_a_line(spark, docs):
     assert leaks(spark, docs, rows, [(1, edited), (2, swapped), (3, named)]) == [(1, 1, False), (2, 2, False), (3, 3, False)]
 
 
+def test_copies_with_few_words(spark, docs):
+    items = [(1, "Compute 12 + 45 * 3 - 7 / 2 + 9"), (2, "What is 12 + 35?"), (3, " ".join(str(k * k) for k in range(40))), (4, "7 km, 9 km or 11 km")]
+    rows = [(i, f"some words first, {t} and some after") for i, t in items] + [
+        (5, "Compute 12 + 45 * 3 - 8 / 2 + 9"), (6, "What is 12 + 36?"), (7, "numbers: " + " ".join(str(k * k) for k in range(20, 30))),
+        (8, "numbers: " + " ".join(str(k * k + 1) for k in range(40)))]
+    assert leaks(spark, docs, rows, items) == [(1, 1, True), (2, 2, True), (3, 3, True), (4, 4, True), (7, 3, True)]
+
+
+def test_a_phrase_with_other_values_is_no_leak(spark, docs):
+    item = "On March 3 2019 the city of Paris opened a museum whose lower floors tell how bread was baked"
+    rows = [(1, "On June 5 2020 the city of London was quiet"), (2, item.replace("March 3 2019", "June 5 2020").replace("Paris", "London")), (3, item)]
+    assert leaks(spark, docs, rows, [(1, item)]) == [(2, 1, True), (3, 1, True)]
+
+
 def test_runs_of_a_line():
     def run(values, need):  # values of one slot in each of the windows, of 8 tokens
         return decontamination._run([(k, [("2", v)] if v else []) for k, v in enumerate(values)], 8, need)
 
     assert run(["3"] * 4 + ["4"] * 9, 16) == (9, 16, False) and run(["3"] * 4 + ["4"] * 8, 16) is None
-    assert run(["4"] * 9 + ["3"] * 4, 16) == (9, 16, False) and run(["3"] * 3, 16) == (3, 10, False)
+    assert run(["4"] * 9 + ["3"] * 4, 16) == (9, 16, False) and run(["3"] * 3, 10) == (3, 10, False) and run(["3"] * 3, 16) is None
     assert run(["3", "2", "4", None], 16) == (2, 10, False) and run(["2", None], 16) == (2, 9, True)
     assert decontamination._run([(0, [("1", "2"), ("1", "3")])], 8, 8) is None
 

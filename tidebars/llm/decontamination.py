@@ -3,8 +3,8 @@
 Texts become tokens; numbers, units and names are replaced by typed placeholders, so that a question with other
 numbers or names has the same template. Windows of ``window`` template tokens are joined by hash, compared as texts, and
 lined up by document, item and offset. Windows whose slots are empty or equal are a plain copy and always a leak. Other windows
-count in runs in which each value of the item stands for one value of the document; where a line contradicts itself, only
-runs over ``RUN`` tokens or the whole item do.
+count in runs in which each value of the item stands for one value of the document, over ``RUN`` tokens or the whole item:
+a date and a place with the words between them are no leak. Windows with few words are joined without placeholders.
 
 Names are known by their capital letter, which sentence starts and texts in lower case hide. Two templates are
 therefore joined: ``cased`` with names as placeholders, and ``plain`` with names as lower-case words.
@@ -28,8 +28,9 @@ from tidebars.llm.common import CodeTable, Rolling, bounded_batches, by_batch, n
 from tidebars.session import stage
 
 WINDOW = 8  # template tokens
-LITERAL = 4  # of them that must be words
-RUN = 2 * WINDOW  # template tokens (or the whole item) that a run with other values must cover within a line that contradicts itself
+LITERAL = 4  # of them that must be words; windows with fewer are joined as they are, without placeholders
+COPY = 2  # the form of these
+RUN = 2 * WINDOW  # template tokens (or the whole item) that a run with other values must cover
 BITS = 24  # the bitmap has 2 ** BITS bits
 #: Words taken as units after a number, and words that start sentences and are no names.
 UNITS = frozenset(
@@ -84,8 +85,8 @@ def code_table() -> CodeTable:
 class Template:
     """The two templates of the texts of a batch, one text after the other.
 
-    ``forms`` yields for each: its number, code of each template token, place of the token it begins at, whether it is a
-    slot, and the text it is of. ``first``: where each text's tokens begin.
+    ``forms`` yields for each, and for the tokens as they are (``COPY``): its number, code of each template token, place of the
+    token it begins at, whether it is a slot (of the plain template, in ``COPY``), and the text it is of. ``first``: where each text's tokens begin.
     """
 
     def __init__(self, texts: pa.Array, table: CodeTable):
@@ -117,20 +118,20 @@ class Template:
         keep[1:] = ~(names[1:] & names[:-1] & ~stop[:-1] & joined)
         slot = number | unit
         self._forms = [
-            (0, plain, np.arange(n), slot, text), (1, cased[keep], np.flatnonzero(keep), (slot | names)[keep], text[keep])]
+            (0, plain, np.arange(n), slot, text), (1, cased[keep], np.flatnonzero(keep), (slot | names)[keep], text[keep]),
+            (COPY, codes, np.arange(n), slot, text)]
 
     def forms(self):
         return self._forms
 
 
-def windows_of(rolling: Rolling, slot: np.ndarray, text: np.ndarray, size: int, form: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the windows of ``size`` tokens of one text with enough words among them."""
+def starts_of(slot: np.ndarray, text: np.ndarray, size: int, form: int) -> np.ndarray:
+    """Starts of the windows of ``size`` tokens of one text: with enough words among them, or, of ``COPY``, the others."""
     if len(slot) < size or not size:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64)
     words = np.concatenate([[0], np.cumsum(~slot)])
     whole = text[size - 1:] == text[:len(text) - size + 1]
-    starts = np.flatnonzero(whole & (words[size:] - words[:-size] >= min(LITERAL, size)))
-    return starts, rolling.all(size)[starts] ^ np.uint64(form * 0x5851F42D4C957F2D)
+    return np.flatnonzero(whole & ((words[size:] - words[:-size] >= min(LITERAL, size)) != (form == COPY)))
 
 
 def _shape(words: list[str], slot: np.ndarray, at: np.ndarray, start: int, stop: int) -> tuple[str, list[str]]:
@@ -168,9 +169,14 @@ def _scan(sizes: list[int], bitmap: np.ndarray | None, item_sizes: bool):
             for form, own, at, slot, text in template.forms():
                 begin = np.searchsorted(text, np.arange(batch.num_rows + 1))  # of each text's template tokens
                 lengths = np.diff(begin)
-                rolling = Rolling(own)
+                rolling = None
                 for size in (np.unique(np.minimum(lengths, WINDOW)).tolist() if item_sizes else sizes):
-                    starts, hashes = windows_of(rolling, slot, text, size, form)
+                    starts = starts_of(slot, text, size, form)
+                    if not len(starts):
+                        continue
+                    rolling = rolling or Rolling(own)
+                    hashes = rolling.of(starts, size) if form == COPY else rolling.all(size)[starts]
+                    hashes ^= np.uint64(form * 0x5851F42D4C957F2D % (1 << 64))
                     if bitmap is not None:
                         low = hashes & np.uint64((1 << BITS) - 1)
                         hit = (bitmap[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
@@ -184,7 +190,7 @@ def _scan(sizes: list[int], bitmap: np.ndarray | None, item_sizes: bool):
                             words[row] = [t for w in re.split(r"[ \t-\r]+", line) for _, t in tokens_of(w)]
                         a, b = int(begin[row]), int(begin[row + 1])
                         places = np.append(at[s:s + size + 1] if s + size < b else at[s:b], template.first[row + 1:row + 2] if s + size >= b else [])
-                        shape, slots = _shape(words[row], slot[s:s + size], places - template.first[row], 0, size)
+                        shape, slots = _shape(words[row], slot[s:s + size] & (form != COPY), places - template.first[row], 0, size)
                         out.append((batch.column(0)[row].as_py(), size, form, s - a, h, shape, slots, b - a))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
@@ -209,8 +215,8 @@ def _run(windows: list[tuple[int, list[tuple[str, str]]]], size: int, need: int)
     """``n_windows, n_tokens, exact`` of the longest run of a line that counts.
 
     ``windows``: start and pairs ``i`` (item's value), ``d`` (document's). Those with equal pairs only are a verbatim copy and
-    always count, whatever lies between. A run with other pairs counts if each item value stands for one document value in it, and
-    if it is the whole line or its windows cover ``need`` tokens.
+    always count, whatever lies between. A run with other pairs counts if each item value stands for one document value in it and
+    its windows cover ``need`` tokens.
     """
     windows = sorted(windows)
     equal = [all(i == d for i, d in pairs) for _, pairs in windows]
@@ -233,7 +239,7 @@ def _run(windows: list[tuple[int, list[tuple[str, str]]]], size: int, need: int)
                     twice -= len(own) == 1
             left += 1
             covered = covered - min(size, windows[left][0] - windows[left - 1][0]) if left <= k else 0
-        if left <= k and (covered >= need or k - left + 1 == len(windows)):
+        if left <= k and covered >= need:
             best = max(best, (k - left + 1, start - windows[left][0] + size))
     return (*best, all(equal)) if best[0] else None
 
@@ -284,8 +290,8 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """``id, item_id, n_windows, n_tokens, exact``: each document with each benchmark item of which it holds a passage.
 
     ``n_windows``: windows of the longest run of a line; ``n_tokens``: template tokens from its first to its last; ``exact``: all
-    slots of a line have the item's own values. An item with fewer than ``WINDOW`` template tokens must be held whole; items without
-    ``LITERAL`` words (all words, if shorter) leak nowhere. Null and empty texts hold nothing; rows of equal or null ids are
+    slots of a line have the item's own values. An item with fewer than ``WINDOW`` template tokens must be held whole; windows
+    with fewer than ``LITERAL`` words (other than all words, if shorter) must have the item's own numbers and units. Null and empty texts hold nothing; rows of equal or null ids are
     reported each. Empty tables give no rows.
     """
     rows = _rows(docs, id_col, text_col)
