@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tidebars.llm import simhash_gray
+from tidebars.llm.common import packed
 from tidebars.llm.components import components
 from tidebars.llm.simhash_gray import leaf_pairs, one_of_each, simhash, simhash_components
 from tidebars.llm.substring_dedup import dedup_substrings, without_repeats
@@ -172,3 +173,24 @@ def test_components_of_graphs(spark):
 def test_sha_of_query_matches(docs):
     out = dedup_substrings(docs([(1, "a b")]), "text", 35).select(F.sha2("kept", 256).alias("h")).first()["h"]
     assert out == hashlib.sha256(b"a b").hexdigest()
+
+
+def test_row_numbers_hold_for_any_split(spark, tmp_path):
+    """Splits follow the number of cores, which changes when an executor is lost or joins."""
+    path = f"{tmp_path}/a b%20c"
+    spark.range(6000).selectExpr("id % 100 as doc_id", "concat('text ', id) as text").repartition(3).write.option(
+        "parquet.block.size", 2048).option("parquet.page.row.count.limit", 100).option("parquet.block.row.count.limit", 500).parquet(path)
+    table = spark.read.parquet(path)
+    keys = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.leafNodeDefaultParallelism"]
+    for frame in (table, table.where("doc_id < 50").select("text", "doc_id"), spark.range(900).selectExpr("id % 7 as doc_id", "string(id) as text"),
+                  table.selectExpr("explode(array(1, 2)) as doc_id", "text")):
+        rows, found = packed(frame, "doc_id", "text"), []
+        try:
+            for values in (("128m", "4m", "2"), ("4k", "0", "5")):
+                for k, v in zip(keys, values):
+                    spark.conf.set(k, v)
+                found.append({r["rid"]: (r["c0"], r["c1"]) for r in rows.select("rid", "c0", "c1").collect()})  # planned anew
+        finally:
+            for k in keys:
+                spark.conf.unset(k)
+        assert found[0] == found[1] and len(found[0]) == frame.count()

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidebars.session import stage
+
 #: Odd multiplier of the rolling word hash, and the multipliers of its finaliser (fixed values of SplitMix64).
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -23,18 +28,45 @@ def name(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
-def packed(df: DataFrame, *apart: str) -> DataFrame:
+def _files(df: DataFrame) -> list[tuple[str, int]] | None:
+    """Path, in all ways to write it, and number of each file, if ``df`` is a plain scan of Parquet files; else none."""
+    node = df._jdf.queryExecution().analyzed() if hasattr(df, "_jdf") else None
+    while node is not None and node.nodeName() in ("Project", "Filter", "SubqueryAlias") and node.deterministic():
+        node = node.child()
+    if node is None or node.nodeName() != "LogicalRelation" or "_metadata" in df.columns:
+        return None
+    try:
+        df.select("_metadata.row_index").schema  # Parquet files have it
+    except AnalysisException:
+        return None
+    files = {(path, n) for n, own in enumerate(sorted(set(df.inputFiles())))
+             for long in (own, unquote(own)) for path in (long, re.sub(r"^([^/:]+):///", r"\1:/", long))}
+    return sorted(files) if len(files) == len({path for path, _ in files}) else None
+
+
+def packed(df: DataFrame, *apart: str, numbered: bool = True) -> DataFrame:
     """Rows as ``row`` (struct of all columns but ``apart``) and ``rid``, a number of the row; ``apart`` as ``c0``, ``c1`` ...
 
-    No column of the input can then clash with a working column. Row numbers hold for repeated scans of
-    the same table; a frame that is not a plain scan should be staged first.
+    No column of the input can then clash with a working column. A row keeps its number in every job, however its table is
+    split: in a plain scan of Parquet files the number is made of its file's and its place in the file, anything else
+    is numbered once and staged. Not ``numbered``: without ``rid``.
     """
     rest = [name(c).alias(c) for c in df.columns if c not in apart]
-    return df.select(
-        F.monotonically_increasing_id().alias("rid"),
-        F.struct(*(rest or [F.lit(0).alias("_")])).alias("row"),
-        *[name(c).alias(f"c{i}") for i, c in enumerate(apart)],
-    )
+    columns = [F.struct(*(rest or [F.lit(0).alias("_")])).alias("row"), *[name(c).alias(f"c{i}") for i, c in enumerate(apart)]]
+    if not numbered:
+        return df.select(*columns)
+    files = _files(df)
+    if not files:
+        return stage(df.select(F.monotonically_increasing_id().alias("rid"), *columns))
+    place = F.col("_metadata.row_index")
+    never = F.lit(-1).cast("bigint")  # numbers can't be null: joins then filter no side, and the engine shares exchanges
+    if not any(n for _, n in files):
+        return df.select(F.coalesce(place, never).alias("rid"), *columns)
+    numbers = df.sparkSession.createDataFrame(files, "path string, file bigint")
+    rows = df.select(F.col("_metadata.file_path").alias("path"), place.alias("place"), *columns).join(F.broadcast(numbers), "path", "left")
+    rid = F.shiftleft("file", 40).bitwiseOR(F.col("place"))
+    missing = F.raise_error(F.concat(F.lit("a file without a number: "), "path")).cast("bigint")
+    return rows.select(F.coalesce(rid, missing, never).alias("rid"), "row", *[f"c{i}" for i in range(len(apart))])
 
 
 def unpacked(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:

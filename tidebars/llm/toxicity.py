@@ -181,7 +181,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """
     learn = labels.where(may_learn(id_col))
     model = train(docs.where(may_learn(id_col)), learn, id_col, text_col, label_col)
-    rows = packed(docs, id_col, text_col)
+    rows = packed(docs, id_col, text_col, numbered=False)
     rows = rows.select("row", F.col("c0").alias("id"), F.col("c1").cast("string").alias("text"), held_out("c0").alias("held_out"))
     kind = rows.schema
 
