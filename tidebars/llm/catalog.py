@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from tidebars.llm.ann import nearest_neighbours
 from tidebars.llm.chat_windows import format_windows, read_back
+from tidebars.llm.collocations import collocations
 from tidebars.llm.decontamination import leaked_items
 from tidebars.llm.html_text import extract_text
 from tidebars.llm.packing import pack_documents
 from tidebars.llm.simhash_gray import simhash_components
+from tidebars.llm.spelling import spelling_variants
 from tidebars.llm.substring_dedup import dedup_substrings
 from tidebars.llm.token_files import token_files
 from tidebars.llm.tokens import default_tokenizer
 from tidebars.llm.toxicity import score_toxicity
+from tidebars.llm.vector_links import vector_links
 from tidebars.llm.warc import read_warc, write_warc
 from tidebars.session import stage
 
@@ -119,6 +122,81 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(docs, default_tokenizer(), end=1).withColumnRenamed("id", "doc_id")
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+    return vector_links(vectors, 0.98).withColumnRenamed("id", "vec_id")
+
+
+OP11_SQL = """
+WITH RECURSIVE fit AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fit a JOIN fit b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+  SELECT a AS vec_id, a AS other FROM links
+  UNION
+  SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.other
+), roots AS (
+  SELECT vec_id, min(other) AS root FROM reach GROUP BY vec_id
+), degrees AS (
+  SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, coalesce(r.root, e.vec_id) AS component_id,
+       coalesce(r.root, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN degrees d ON d.vec_id = e.vec_id LEFT JOIN roots r ON r.vec_id = e.vec_id
+"""
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", "lang")
+    return collocations(docs, longest=5, least=100, top=2000, share=100)
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, regexp_extract_all(part, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS part FROM documents)
+), spots AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces
+), sizes AS (
+  SELECT unnest([1, 2, 3, 4, 5]) AS size
+), counts AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+  FROM spots, sizes WHERE i + size - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100
+), totals AS (
+  SELECT lang, count(*) AS n FROM spots GROUP BY lang
+), candidates AS (
+  SELECT lang, size, phrase, f AS a FROM counts WHERE size > 1
+), subsumed AS (
+  SELECT DISTINCT p.lang, p.phrase FROM candidates p JOIN candidates q ON p.lang = q.lang AND q.size > p.size
+  AND q.a * 100 >= p.a * 100 AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' ')
+), cuts AS (
+  SELECT lang, size, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k
+  FROM candidates ANTI JOIN subsumed USING (lang, phrase)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, t.n,
+         (1000::HUGEINT * c.a * t.n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN totals t ON t.lang = c.lang
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:c.size], ' ')
+), weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest
+)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return spelling_variants(docs, every=199, least_length=6, least=5, times=5)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -130,9 +208,14 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_warc": op9_warc,
     "op10_token_files": op10_token_files,
+    "op11_embedding_near_dedup": op11_embedding_near_dedup,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES = {
     "op1_substring_dedup": OP1_SQL,
     "op9_warc": OP9_SQL,
+    "op11_embedding_near_dedup": OP11_SQL,
+    "op12_phrase_collocations": OP12_SQL,
 }

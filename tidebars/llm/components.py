@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +33,17 @@ def components(edges: DataFrame) -> DataFrame:
             roots = star.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             return star.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
         last = tuple(state)
+
+
+def stars(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of each of ``n`` places the least place reachable over the pairs."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        new = new[new]
+        if np.array_equal(new, label):
+            return label
+        label = new

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidebars.llm.common import as_bytes, bounded_batches, by_batch, dealt_join, packed, unpacked
-from tidebars.llm.components import components
+from tidebars.llm.components import components, stars
 from tidebars.session import stage
 
 LEAF = 2048
@@ -130,20 +130,6 @@ def leaf_pairs(codes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np
     return codes, i[apart], j[apart]
 
 
-def _stars(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Of each of ``n`` places the least place reachable over the pairs."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        new = new[new]
-        if np.array_equal(new, label):
-            return label
-        label = new
-
-
 def _link(bits: int):
     """Leaves (``codes``) to star edges between the codes of each of their components."""
 
@@ -159,7 +145,7 @@ def _link(bits: int):
                 continue
             codes, i, j = leaf_pairs(flat[s:e], bits)
             if len(i):
-                label = _stars(len(codes), i, j)
+                label = stars(len(codes), i, j)
                 other = np.flatnonzero(label != np.arange(len(codes)))
                 a.append(codes[other])
                 b.append(codes[label[other]])
