@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidebars.operators import scan as scan_module
+from tidebars.operators.expr import F as X
 from tidebars.operators.indicators.psar import COLUMNS, psar, psar_step
 from tidebars.operators.layout import CHUNK, HALO, HALO_FLAG, POS, keyless_rows, lay_out
 from tidebars.operators.scan import Recurrence, affine_scan, ema, first_value, running_sum
@@ -176,3 +177,62 @@ def test_rows_without_key_are_set_apart(make_bars):
     broken = bars.unionByName(bars.limit(1).withColumn("symbol", F.lit(None).cast("string"))).unionByName(
         bars.limit(2).withColumn("date_time", F.lit(None).cast("timestamp_ntz")))
     assert lay_out(broken).result().count() == 6 and keyless_rows(broken).count() == 3
+
+
+# --- how far back a column reaches ------------------------------------------------------------------------------------
+
+
+def test_reach_counts_nested_calls_and_quoted_names(walk):
+    s = lay_out(walk(600))
+    s = s.add(**{"my col": s.lag(X.coalesce(X.abs(X.col("close") - 1), X.lit(0)), 200)})
+    assert s.reach["my col"] == 200
+    for name in ("my col", "`my col`"):
+        with pytest.raises(ValueError, match="400"):
+            s.add(z=s.lag(X.greatest(X.col(name), X.lit(0.0)), 200))
+    with pytest.raises(ValueError, match="299"):
+        rolling(s, "`my col`", 100, m=F.avg)
+    with pytest.raises(ValueError, match="299"):
+        s.add(z=s.rolling(lambda x: X.sum(x * X.col("`my col`")), "close", 100))
+    assert s.add(z=s.lag("`my col`", 56)).reach["z"] == 256
+
+
+@pytest.mark.parametrize("make, rows", [
+    (lambda s: X.col("a") + 1, 10),
+    (lambda s: 1 - X.col("a"), 10),
+    (lambda s: -X.col("b"), 0),
+    (lambda s: X.col("b") + F.col("b"), 30),  # a plain column may be any
+    (lambda s: F.col("b"), 30),
+    (lambda s: X.expr("b + 1"), 30),
+    (lambda s: X.when(X.col("a") > 0, X.col("b")).otherwise(X.col("c")), 30),
+    (lambda s: X.struct(X.col("a").alias("x"), X.col("b"))["x"], 10),
+    (lambda s: X.aggregate(X.array("b"), X.lit(0.0), lambda acc, x: acc + x * X.col("a")), 10),
+    (lambda s: X.array(X.col("a"), X.col("b")).getItem(0), 10),
+    (lambda s: X.max(X.col("a")).over(s.window(5)), 14),
+    (lambda s: X.sum(X.col("b")).over(s.window(5)) + s.lag(X.col("a") * X.col("b"), 3), 13),
+    (lambda s: s.lag(s_lag := X.coalesce(X.col("c"), X.lit(0.0)), 7), 37),
+    (lambda s: X.col("a").cast("string").isNull() & X.lit(True), 10),
+])
+def test_reach_of_expressions(walk, make, rows):
+    s = lay_out(walk(300))
+    s = s.add(a=s.lag("close", 10), b=F.lit(1.0), c=s.lag("close", 30))
+    assert s.add(z=make(s)).reach["z"] == rows
+
+
+def test_untyped_use_is_an_error(walk):
+    s = lay_out(walk(300))
+    with pytest.raises(Exception):
+        F.coalesce(s.lag("close", 10), F.lit(0.0))
+    with pytest.raises(TypeError):
+        X.expr("sum(close) OVER (ORDER BY date_time)")
+    with pytest.raises(TypeError):
+        X.sum("close").over(s.window(5).spec)
+    with pytest.raises(ValueError):
+        bool(X.col("close") > 1)
+
+
+def test_reach_of_scans_counts_whole_blocks(walk):
+    s = lay_out(walk(600), lookback=512)
+    s = s.add(x=s.lag("close", 5))
+    s = affine_scan(s, [ema("e", X.col("x"), 3), running_sum("t", X.col("close"))])
+    assert (s.reach["e"], s.reach["t"]) == (128, 0)
+    assert s.add(z=s.lag(X.col("e") - X.col("t"), 100)).reach["z"] == 228

@@ -38,9 +38,14 @@ def series(spark: SparkSession, sf_dir: str, lookback: int = HALO) -> Series:
 
 def across_chunks(run):
     """The query over bars of a second in the smallest chunks: many chunks per symbol."""
+    return at_chunk(run, HALO)
+
+
+def at_chunk(run, rows: int):
+    """The query over bars of a second in chunks of ``rows``."""
 
     def long(spark: SparkSession, sf_dir: str) -> DataFrame:
-        token = _SHAPE.set(("1 second", HALO))
+        token = _SHAPE.set(("1 second", rows))
         try:
             return run(spark, sf_dir)
         finally:

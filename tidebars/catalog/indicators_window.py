@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebars.catalog.common import across_chunks, across_chunks_sql, NUM, over, r, roll, rounded, series
+from tidebars.catalog.common import across_chunks, across_chunks_sql, at_chunk, NUM, over, r, roll, rounded, series
 from tidebars.operators import windows as W
+from tidebars.operators.expr import F as X
 from tidebars.operators.indicators import add_indicators, volume
 from tidebars.operators.indicators.base import apply_recipes
+from tidebars.operators.layout import CHUNK_ROWS, HALO
 
 
 def _recipe(name: str, columns: list[str], digits: int = 6):
@@ -78,8 +81,28 @@ def _rolling_long(spark, sf_dir):
     return rounded(s.result("sma_300", "lag_400"))
 
 
+def _rolling_chain(spark, sf_dir):
+    """Windows over lags of nested calls, under a quoted name: 349 rows back in all, in chunks of any size."""
+    s = series(spark, sf_dir, lookback=349)
+    s = s.add(**{"my col": s.lag(X.coalesce(X.abs(X.col("close") - 1.0), X.lit(0.0)), 200)})
+    s = s.add(chain_mean=s.rolling(F.avg, "`my col`", 100), chain_gap=X.col("close") - X.greatest(s.lag(X.col("`my col`"), 149), X.lit(0.0)))
+    return rounded(s.result("chain_mean", "chain_gap"))
+
+
+def _both_sizes(run):
+    """The query over bars of a second in the smallest and in the usual chunks: each row has both results."""
+
+    def both(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small, usual = (at_chunk(run, rows)(spark, sf_dir) for rows in (HALO, CHUNK_ROWS))
+        names = [c for c in small.columns if c not in ("symbol", "date_time")]
+        return small.join(usual.withColumnsRenamed({c: f"{c}_usual" for c in names}), ["symbol", "date_time"], "full")
+
+    return both
+
+
 QUERIES = {
     "rolling_long": across_chunks(_rolling_long),
+    "rolling_chain": _both_sizes(_rolling_chain),
     "hist_close": _hist_close,
     "lag_all": _lag_all,
     "rolling": _rolling,
@@ -147,6 +170,9 @@ ORACLES = {
     "lag_all": f"""WITH {NUM} SELECT symbol, date_time, lag(open) {_W} AS open, h1 AS high, l1 AS low, close, v1 AS tick_vol
         FROM num""",
     "rolling_long": across_chunks_sql(_sql({"sma_300": roll("avg", "close", 300), "lag_400": "lag(close, 400) OVER (PARTITION BY symbol ORDER BY date_time)"})),
+    "rolling_chain": across_chunks_sql(f"""WITH {NUM}, a AS (SELECT *, lag(coalesce(abs(close - 1), 0), 200) {_W} AS m FROM num),
+        b AS (SELECT symbol, date_time, {r(_full('m', 100))} AS chain_mean, {r(f'close - greatest(lag(m, 149) {_W}, 0)')} AS chain_gap FROM a)
+        SELECT symbol, date_time, chain_mean, chain_gap, chain_mean AS chain_mean_usual, chain_gap AS chain_gap_usual FROM b"""),
     "rolling": _sql({
         "mean_24": roll("avg", "close", 24), "sum_24": roll("sum", "close", 24), "min_24": roll("min", "close", 24),
         "max_24": roll("max", "close", 24), "std_24": roll("stddev_samp", "close", 24),

@@ -15,68 +15,66 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import replace
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from tidebars.operators.expr import Expr, F
 from tidebars.operators.layout import POS, Series
 from tidebars.operators.scan import Recurrence, affine_scan
 from tidebars.session import cut
 
-Step = dict[str, Column] | list[Recurrence]
+Step = dict[str, Expr] | list[Recurrence]
 Recipe = Callable[[Series], list[Step]]
 
 
-def high() -> Column:
+def high() -> Expr:
     return F.col("high")
 
 
-def low() -> Column:
+def low() -> Expr:
     return F.col("low")
 
 
-def close() -> Column:
+def close() -> Expr:
     return F.col("close")
 
 
-def volume() -> Column:
+def volume() -> Expr:
     return F.col("tick_vol").cast("double")
 
 
-def typical() -> Column:
+def typical() -> Expr:
     return (high() + low() + close()) / F.lit(3.0)
 
 
-def ready(x: Column | str, rows: int) -> Column:
+def ready(x: Expr | str, rows: int) -> Expr:
     """``x`` from the bar on by which ``rows`` bars have been seen, else NULL."""
     return F.when(F.col(POS) >= rows - 1, F.col(x) if isinstance(x, str) else x)
 
 
-def ratio(x: Column, y: Column) -> Column:
+def ratio(x: Expr, y: Expr) -> Expr:
     return F.try_divide(x, y)
 
 
-def flag(condition: Column) -> Column:
+def flag(condition: Expr) -> Expr:
     """1.0 where the condition holds, else 0.0 (also where it is unknown)."""
     return F.when(condition, F.lit(1.0)).otherwise(F.lit(0.0))
 
 
-def sma(s: Series, x: Column | str, n: int) -> Column:
+def sma(s: Series, x: Expr | str, n: int) -> Expr:
     return s.rolling(F.avg, x, n)
 
 
-def rsum(s: Series, x: Column | str, n: int) -> Column:
+def rsum(s: Series, x: Expr | str, n: int) -> Expr:
     return s.rolling(F.sum, x, n)
 
 
-def highest(s: Series, x: Column | str, n: int) -> Column:
+def highest(s: Series, x: Expr | str, n: int) -> Expr:
     return s.rolling(F.max, x, n)
 
 
-def lowest(s: Series, x: Column | str, n: int) -> Column:
+def lowest(s: Series, x: Expr | str, n: int) -> Expr:
     return s.rolling(F.min, x, n)
 
 
-def true_range(s: Series) -> Column:
+def true_range(s: Series) -> Expr:
     prev = s.lag("close")
     return F.greatest(high() - low(), F.abs(high() - prev), F.abs(low() - prev))
 
@@ -88,7 +86,7 @@ def apply_recipes(series: Series, recipes: Iterable[Recipe], cut_scans: bool = F
     depth = 0
     while any(waiting):
         while any(steps and isinstance(steps[0], dict) for steps in waiting):
-            columns: dict[str, Column] = {}
+            columns: dict[str, Expr] = {}
             for steps in waiting:
                 if steps and isinstance(steps[0], dict):
                     columns.update(steps.pop(0))

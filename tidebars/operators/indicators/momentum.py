@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from tidebars.operators.expr import Expr, F
 from tidebars.operators.indicators.base import (
     close, high, low, volume, Step, highest, lowest, ratio, ready, rsum, sma,
 )
@@ -57,7 +55,7 @@ def ultimate(s: Series, spans=(7, 14, 28), weights=(4.0, 2.0, 1.0)) -> list[Step
     """Ultimate oscillator."""
     prev = s.lag("close")
     floor = F.least(low(), prev)
-    total: Column | None = None
+    total: Expr | None = None
     for n, w in zip(spans, weights):
         term = ratio(rsum(s, "_bp", n), rsum(s, "_utr", n)) * w
         total = term if total is None else total + term
@@ -90,7 +88,7 @@ def roc(s: Series, n: int = 12) -> list[Step]:
     return [{"momentum_roc": ratio((close() - prev) * 100.0, prev)}]
 
 
-def _oscillator(x: Column, prefix: str, mark: str, fast: int, slow: int, sign: int) -> list[Step]:
+def _oscillator(x: Expr, prefix: str, mark: str, fast: int, slow: int, sign: int) -> list[Step]:
     e_fast, e_slow = f"_ema{mark}{fast}", f"_ema{mark}{slow}"
     return [
         [ema(e_fast, x, fast), ema(e_slow, x, slow)],

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from tidebars.operators.expr import Expr, F
 from tidebars.operators.indicators.base import (
     close, high, low, typical, Step, highest, lowest, ratio, ready, rsum, sma, true_range,
 )
@@ -94,7 +92,7 @@ def kst(s: Series, spans=(10, 15, 20, 30), averages=(10, 10, 10, 15), sign: int
 def ichimoku(s: Series, short: int = 9, middle: int = 26, long: int = 52) -> list[Step]:
     """Midpoints of three windows; the visual spans are shifted ``middle`` bars."""
 
-    def mid(n: int) -> Column:
+    def mid(n: int) -> Expr:
         return (highest(s, "high", n) + lowest(s, "low", n)) / 2.0
 
     return [
@@ -110,7 +108,7 @@ def ichimoku(s: Series, short: int = 9, middle: int = 26, long: int = 52) -> lis
 def stc(s: Series, fast: int = 23, slow: int = 50, cycle: int = 10, smooth: int = 3) -> list[Step]:
     """Schaff trend cycle: two stochastics of a MACD, each smoothed; a flat window counts as 0."""
 
-    def stochastic(x: str, rows: int) -> Column:
+    def stochastic(x: str, rows: int) -> Expr:
         top, bottom = highest(s, x, cycle), lowest(s, x, cycle)
         return ready(F.coalesce(ratio((F.col(x) - bottom) * 100.0, top - bottom), F.lit(0.0)), rows)
 

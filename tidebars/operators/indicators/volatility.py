@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
+from tidebars.operators.expr import F
 from tidebars.operators.indicators.base import (
     close, high, low, typical, Step, flag, highest, lowest, ratio, ready, sma, true_range,
 )

@@ -15,12 +15,12 @@ so neither the counting nor the numbering ever gathers a whole symbol.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tidebars.operators.expr import Expr, Frame, needs_of, raw, reach
 from tidebars.session import only_row, stage
 
 POS, CHUNK, BLOCK, HALO_FLAG = "_pos", "_chunk", "_block", "_halo"
@@ -30,15 +30,6 @@ HALO = 256  # copied rows unless more are asked for: two whole blocks
 CHUNK_ROWS = 8192
 RESUME_STEP = 64  # bars between the resume points of successive scan depths
 
-_FRAME = re.compile(r"ROWS BETWEEN -(\d+) AND")
-_LAG = re.compile(r"\blag\([^()]*(?:\([^()]*\)[^()]*)*, (\d+),")
-_NAME = re.compile(r"[A-Za-z_]\w*")
-
-
-def _lookback(text: str) -> int:
-    """Earlier rows that the windows of an expression take in."""
-    return max(map(int, [0, *_FRAME.findall(text), *_LAG.findall(text)]))
-
 
 def number_rows(
     bars: DataFrame,
@@ -85,43 +76,43 @@ class Series:
     reach: dict[str, int] = field(default_factory=dict)  # earlier rows that a column rests on
     warm: dict[str, int] = field(default_factory=dict)  # rows of a resumed series before a column is right
 
-    def window(self, n: int) -> WindowSpec:
-        """The current row and the ``n - 1`` rows before it."""
+    def window(self, n: int) -> Frame:
+        """The current row and the ``n - 1`` rows before it, for expressions."""
         self._allowed(n - 1)
-        return self._ordered().rowsBetween(-(n - 1), 0)
+        return Frame(self._ordered().rowsBetween(-(n - 1), 0), n - 1)
 
     def _allowed(self, rows: int, what: str = "a window") -> None:
         if rows > self.halo:
             raise ValueError(f"{what} reaches {rows} rows back; lay the series out with lookback={rows} or more")
 
-    def rests_on(self, text: str, known: dict[str, int]) -> int:
-        """Rows before the current one that an expression needs, its columns' own needs included."""
-        return _lookback(text) + max([0, *(known.get(n, 0) for n in set(_NAME.findall(text)))])
-
     def _ordered(self) -> WindowSpec:
         # The block number is implied by the position; naming it first gives
         # these windows and the scan's block windows one common sort.
         return Window.partitionBy(self.symbol, CHUNK).orderBy(BLOCK, POS)
 
-    def lag(self, column: str | Column, k: int = 1) -> Column:
+    def lag(self, column: str | Column | Expr, k: int = 1) -> Expr:
         self._allowed(k, "a lag")
-        return F.lag(column, k).over(self._ordered())
+        return Expr(F.lag(raw(column), k).over(self._ordered()), {name: rows + k for name, rows in needs_of(column).items()})
 
-    def rolling(self, agg, column: str | Column, n: int) -> Column:
+    def rolling(self, agg, column: str | Column | Expr, n: int) -> Expr:
         """``agg`` over ``n`` rows, NULL unless all ``n`` values are present."""
         w = self.window(n)
-        column = F.col(column) if isinstance(column, str) else column
-        return F.when(F.count(column).over(w) == n, agg(column).over(w))
-
-    def add(self, **columns: Column) -> "Series":
-        reach, warm = dict(self.reach), dict(self.warm)
+        plain = F.col(column) if isinstance(column, str) else raw(column)
+        typed = Expr(plain, needs_of(column))
+        value = agg(plain if getattr(agg, "__module__", "").startswith("pyspark.") else typed)
+        needs = value.needs if isinstance(value, Expr) else typed.needs
+        full = F.when(F.count(plain).over(w.spec) == n, raw(value).over(w.spec))
+        return Expr(full, {name: rows + n - 1 for name, rows in needs.items()})
+
+    def add(self, **columns: Column | Expr) -> "Series":
+        """Add columns; one that reaches beyond the copied rows is refused."""
+        far, warm = dict(self.reach), dict(self.warm)
         for name, column in columns.items():
-            text = str(column)
-            reach[name], warm[name] = self.rests_on(text, self.reach), self.rests_on(text, self.warm)
-            self._allowed(reach[name], name)
+            far[name], warm[name] = reach(needs_of(column), self.reach), reach(needs_of(column), self.warm)
+            self._allowed(far[name], name)
             if FIRST in self.df.columns and warm[name] > HALO:
                 raise ValueError(f"{name} needs {warm[name]} rows of context, a resumed series has {HALO}")
-        return replace(self, df=self.df.withColumns(columns), reach=reach, warm=warm)
+        return replace(self, df=self.df.withColumns({name: raw(column) for name, column in columns.items()}), reach=far, warm=warm)
 
     def body(self) -> DataFrame:
         """The bars without the copies, with the helper columns still there."""

@@ -23,6 +23,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidebars.operators.expr import F as T
+from tidebars.operators.expr import Expr, raw, reach, together
 from tidebars.operators.layout import BLOCK, BLOCK_ROWS, CHUNK, FIRST, HALO_FLAG, POS, RESUME_STEP, STATE, Series
 from tidebars.session import stage
 
@@ -37,31 +39,31 @@ class Recurrence:
     """
 
     name: str
-    a: float | Column
-    b: Column
-    seed: Column
+    a: float | Column | Expr
+    b: Column | Expr
+    seed: Column | Expr
 
 
-def ema(name: str, x: Column, n: int) -> Recurrence:
+def ema(name: str, x: Column | Expr, n: int) -> Recurrence:
     """Exponential average of span ``n``; the first value is the seed."""
     if n < 2:
         raise ValueError("a span under 2 has no memory: take the column itself")
     alpha = 2.0 / (n + 1)
-    return Recurrence(name, 1 - alpha, x * F.lit(alpha), x)
+    return Recurrence(name, 1 - alpha, x * alpha, x)
 
 
-def wilder(name: str, x: Column, n: int, seed: Column | None = None) -> Recurrence:
+def wilder(name: str, x: Column | Expr, n: int, seed: Column | Expr | None = None) -> Recurrence:
     """Wilder's average; rows where ``seed`` is NULL are before the start."""
-    return Recurrence(name, 1 - 1.0 / n, x / F.lit(float(n)), x if seed is None else seed)
+    return Recurrence(name, 1 - 1.0 / n, x / float(n), x if seed is None else seed)
 
 
-def running_sum(name: str, x: Column) -> Recurrence:
+def running_sum(name: str, x: Column | Expr) -> Recurrence:
     return Recurrence(name, 1.0, x, x)
 
 
-def first_value(name: str, x: Column) -> Recurrence:
+def first_value(name: str, x: Column | Expr) -> Recurrence:
     """The symbol's first value, carried to all of its rows."""
-    here = F.when(F.col(POS) == 0, x)
+    here = T.when(T.col(POS) == 0, x)
     return Recurrence(name, 1.0, here, here)
 
 
@@ -71,15 +73,16 @@ def affine_scan(series: Series, items: list[Recurrence], depth: int = 1) -> Seri
     ``depth`` counts the scans that the inputs have already been through.
     """
     kept = [f"`{c}`" for c in series.df.columns]
-    reach, warm = dict(series.reach), dict(series.warm)
+    far, warm = dict(series.reach), dict(series.warm)
     for item in items:
-        text = " ".join(str(x) for x in (item.a, item.b, item.seed))
+        needs = together(item.a, item.b, item.seed)
         # a copied block is right again once its carry is: whole blocks count
-        reach[item.name] = -(-series.rests_on(text, series.reach) // BLOCK_ROWS) * BLOCK_ROWS
-        series._allowed(reach[item.name], item.name)
-        need, warm[item.name] = series.rests_on(text, series.warm), RESUME_STEP * depth
+        far[item.name] = -(-reach(needs, series.reach) // BLOCK_ROWS) * BLOCK_ROWS
+        series._allowed(far[item.name], item.name)
+        need, warm[item.name] = reach(needs, series.warm), RESUME_STEP * depth
         if FIRST in series.df.columns and need > warm[item.name]:
             raise ValueError(f"{item.name} rests on {need} rows, its resume point lies {warm[item.name]} rows into the context")
+    items = [replace(item, a=raw(item.a), b=raw(item.b), seed=raw(item.seed)) for item in items]
     inputs = []
     for i, item in enumerate(items):
         inputs += [item.b.alias(f"_b{i}"), item.seed.alias(f"_d{i}")]
@@ -119,7 +122,7 @@ def affine_scan(series: Series, items: list[Recurrence], depth: int = 1) -> Seri
     start = "coalesce(get(_c, {i}), _f{i})" if carries is not None else "_f{i}"
     out = [f"exp(_p{i}) * ({start.format(i=i)} + _s{i}) AS `{item.name}`" for i, item in enumerate(items)]
     done = tuple((item.name, depth) for item in items)
-    return replace(series, df=df.selectExpr(*kept, *out), scans=series.scans + done, reach=reach, warm=warm)
+    return replace(series, df=df.selectExpr(*kept, *out), scans=series.scans + done, reach=far, warm=warm)
 
 
 def _resumed(df: DataFrame, kept: list[str], items: list[Recurrence], depth: int) -> DataFrame:

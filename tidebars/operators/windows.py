@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from tidebars.operators.expr import Expr, F
 from tidebars.operators.layout import POS, Series
 from tidebars.operators.scan import affine_scan, first_value, running_sum
 
@@ -29,13 +27,13 @@ def rolling(series: Series, column: str, n: int, **aggregates) -> Series:
     return series.add(**{name: series.rolling(agg, column, n) for name, agg in aggregates.items()})
 
 
-def change(column: str, series: Series, k: int = 1) -> Column:
+def change(column: str, series: Series, k: int = 1) -> Expr:
     """Relative change from ``k`` bars ago; NULL where that was 0."""
     before = series.lag(column, k)
     return F.try_divide(F.col(column) - before, before)
 
 
-def log_return(column: str, series: Series) -> Column:
+def log_return(column: str, series: Series) -> Expr:
     before = series.lag(column)
     return F.when((F.col(column) > 0) & (before > 0), F.ln(F.try_divide(F.col(column), before)))
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebars.operators import moments as M
+from tidebars.operators.expr import F as X
 from tidebars.operators.features import ROW, fold_starts, with_fold
 from tidebars.operators.layout import Series
 from tidebars.operators.monitor import bic, rmse, squared_error
@@ -306,7 +307,7 @@ def mean_forecast(df: DataFrame, n_rows: DataFrame, value: str = "close", share:
 def _difference(series: Series, value: str, d: int) -> Series:
     series = series.add(_y=F.col(value).cast("double"))
     for _ in range(d):
-        series = series.add(_y=F.col("_y") - series.lag("_y"))
+        series = series.add(_y=X.col("_y") - series.lag("_y"))
     return series
 
 
