@@ -32,7 +32,7 @@ GRID = 4  # dimensions of a block that its grid may use
 CELL = 2048  # vectors of a cell before it is split
 SEED = 20_240_611
 SLACK = 1e-9  # relative; sums of squares are rounded
-PAIRS = 1 << 17  # verified at once
+PAIRS = 1 << 14  # verified at once
 
 
 def squares(rows: np.ndarray) -> np.ndarray:
@@ -69,12 +69,6 @@ def budgets(size: int, cosine: float) -> list[float]:
     return [(2 - 2 * cosine) * (b - a) / size * (1 + SLACK) + 1e-15 for a, b in blocks(size)]
 
 
-def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosine of each row of ``a`` with that of ``b``."""
-    dot, la, lb = (np.sqrt(x) if root else x for x, root in (((a * b).sum(axis=1), 0), ((a * a).sum(axis=1), 1), ((b * b).sum(axis=1), 1)))
-    return dot / (la * lb)
-
-
 def _cells(cosine: float, grid: int):
     """Vectors to their own cell of each block and the later cells that the budget reaches."""
 
@@ -119,6 +113,7 @@ def _linked(u: np.ndarray, v: np.ndarray, block: int, cosine: float, pair_ok) ->
     a, b = parts[block]
     own = np.ascontiguousarray(u[:, a:b])
     length = (own * own).sum(axis=1)
+    norm = np.sqrt((v * v).sum(axis=1))
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for at in range(0, len(u), 512):
         near = length[at:at + 512, None] + length[None, :] - 2 * (own[at:at + 512] @ own.T) <= limits[block] + 1e-9
@@ -133,7 +128,7 @@ def _linked(u: np.ndarray, v: np.ndarray, block: int, cosine: float, pair_ok) ->
                 inside = squares(u[x, c:d] - u[y, c:d]) <= limits[k]
                 fit &= inside if k == block else ~inside
             x, y = x[fit], y[fit]
-            fit = cosines(v[x], v[y]) >= cosine
+            fit = np.einsum("ij,ij->i", v[x], v[y]) / (norm[x] * norm[y]) >= cosine
             left.append(x[fit])
             right.append(y[fit])
     return np.concatenate(left), np.concatenate(right)
