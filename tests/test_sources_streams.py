@@ -15,7 +15,7 @@ from tidebars.sources import files, news
 from tidebars.sources import tables as T
 from tidebars.sources.ticks import bars_from_ticks
 from tidebars.streaming import bars as B
-from tidebars.streaming.stateful import indicator_sink, indicator_stream
+from tidebars.streaming.stateful import closing_row, indicator_sink, indicator_stream
 
 HEADER = "<DATE>\t<TIME>\t<OPEN>\t<HIGH>\t<LOW>\t<CLOSE>\t<TICKVOL>\t<VOL>\t<SPREAD>\n"
 
@@ -225,3 +225,20 @@ def test_a_broken_run_is_not_seen_and_repeated(spark, walk, tmp_path, monkeypatc
     for r in load.loaded(spark, folder, "technical").collect():
         other = want[r["symbol"], r["date_time"]]
         assert r["trend_ema_slow"] == (None if other is None else pytest.approx(other))
+
+
+def test_a_silent_symbol_and_the_end_of_input_leave_nothing_held(spark, walk, tmp_path):
+    src, out, late, state = (str(tmp_path / n) for n in ("src", "out", "late", "state"))
+    bars = walk(50, ("a", "b")).filter("symbol = 'a' OR hour(date_time) < 5 AND day(date_time) = 1")
+
+    def run(part):
+        part.coalesce(1).write.mode("append").parquet(src)
+        stream = indicator_stream(spark.readStream.schema(bars.schema).parquet(src), "3 hours")
+        B.run_batches(stream, state, indicator_sink(out, late)).awaitTermination()
+        return {r["symbol"]: r["count"] for r in spark.read.parquet(out).groupBy("symbol").count().collect()}
+
+    assert run(bars.filter("day(date_time) = 1")) == {"a": 21, "b": 5}  # b falls silent: the clock of a frees its bars
+    assert run(bars.filter("day(date_time) > 1")) == {"a": 47, "b": 5}
+    newest = bars.agg(F.max("date_time")).first()[0]
+    assert run(closing_row(bars, newest, "3 hours")) == {"a": 50, "b": 5}
+    assert spark.read.parquet(out).select("symbol", "date_time").distinct().count() == 55

@@ -21,7 +21,7 @@ from tidebars.sources import tables as T
 from tidebars.sources.files import filter_before
 from tidebars.streaming import bars as B
 from tidebars.operators.indicators import TECHNICAL_COLUMNS
-from tidebars.streaming.stateful import indicator_sink, indicator_stream
+from tidebars.streaming.stateful import closing_row, indicator_sink, indicator_stream
 
 _RECIPES = ["sma", "ema", "macd", "kama", "obv", "returns"]
 _COLUMNS = [
@@ -93,21 +93,35 @@ def _stream_bars(spark, sf_dir):
     return spark.read.parquet(out).select("symbol", "date_time", "open", "high", "low", "close", "tick_vol")
 
 
-def _indicator_rows(spark, sf_dir):
-    """Bars land as files in another order than time, a few a trigger; a stateful stream adds the indicators."""
+def _landed_stream(spark, b, turn, n_turns: int, hold: str, files: int):
+    """Bars land as files in the order of their ``turn`` (0 to ``n_turns`` - 1), then a row that ends the input, ``files`` a trigger; a
+    stateful stream adds the indicators.  Returns the indicator rows and the late bars."""
     landed, (out, state), late = _paths(spark, "landed")[0], _paths(spark, "indicators"), _paths(spark, "late")[0]
-    b = stage(bars(spark, sf_dir))
-    days = F.floor(F.unix_seconds(F.col("date_time").cast("timestamp")) / 86_400)
-    for turn in (1, 0, 3, 2, 5, 4, 7, 6, 9, 8):  # runs of three days, pairwise in the wrong order, each split in two
-        part = b.filter(F.floor((days - 19_723) / 3) == turn) if turn < 9 else b.filter(days - 19_723 >= 27)
-        for half in (1, 0):
-            part.filter(F.col("tick_vol") % 2 == half).coalesce(1).write.mode("append").parquet(landed)
-    stream = spark.readStream.schema(b.schema).option("maxFilesPerTrigger", 3).parquet(landed)
-    B.run_batches(indicator_stream(stream, HOLD), state, indicator_sink(out, late)).awaitTermination()
-    return spark.read.parquet(out)
+    b = stage(b.withColumn("_turn", turn.cast("int")))
+    for k in range(n_turns):
+        b.filter(F.col("_turn") == k).drop("_turn").coalesce(1).write.mode("append").parquet(landed)
+    b = b.drop("_turn")
+    closing_row(b, b.agg(F.max("date_time")).first()[0], hold).write.mode("append").parquet(landed)
+    stream = spark.readStream.schema(b.schema).option("maxFilesPerTrigger", files).parquet(landed)
+    B.run_batches(indicator_stream(stream, hold), state, indicator_sink(out, late)).awaitTermination()
+    return spark.read.parquet(out), late
+
+
+def _days(b):
+    """Days since the first bar of all."""
+    first = b.agg(F.min("date_time")).first()[0]
+    return F.floor((F.unix_seconds(F.col("date_time").cast("timestamp")) - F.unix_seconds(F.lit(first).cast("timestamp"))) / 86_400)
+
+
+HOLD = "6 days"
 
 
-HOLD = "8 days"
+def _indicator_rows(spark, sf_dir):
+    """Runs of three days, pairwise in the wrong order, each split in two: as far out of order as ``HOLD``."""
+    b = stage(bars(spark, sf_dir))
+    run = F.least(F.floor(_days(b) / 3), F.lit(9)).cast("int")
+    swapped = run + 1 - 2 * (run % 2)
+    return _landed_stream(spark, b, 2 * swapped + F.col("tick_vol") % 2, 20, HOLD, 3)[0]
 
 
 def _stream_indicators(spark, sf_dir):
@@ -157,6 +171,16 @@ def _late(spark, sf_dir):
     return B.late_ticks(events, stored).select("symbol", "event_id")
 
 
+def _late_bars(spark, sf_dir):
+    """The bars of every fifth hour land two triggers after their time, the others in order: those behind what was applied by then are late."""
+    b = stage(bars(spark, sf_dir))
+    turn = F.least(F.floor(_days(b) / 3), F.lit(9)) + F.when(F.hour("date_time") % 5 == 0, 2).otherwise(0)
+    on_time, late = _landed_stream(spark, b, turn, 12, "1 day", 1)
+    both = on_time.select("symbol", "date_time", "close", F.lit(False).alias("late")).unionByName(
+        spark.read.parquet(late).select("symbol", "date_time", "close", F.lit(True).alias("late")))
+    return both
+
+
 def _metrics(spark, sf_dir):
     """Rows written per run, measured by the write itself."""
     out = _paths(spark, "metrics")[0]
@@ -183,6 +207,7 @@ QUERIES = {
     "score_new": _score_new,
     "high_water_mark": _mark,
     "late_data": _late,
+    "late_bars": _late_bars,
     "run_metrics": _metrics,
     "monitor_range": _report,
 }
@@ -204,9 +229,6 @@ _MODEL = f"""{FINANCIAL}, t AS (SELECT *, row_number() OVER (ORDER BY date_time,
   f AS (SELECT regr_slope(close, hist_close) AS b, regr_intercept(close, hist_close) AS a FROM t)"""
 _SCORES = f"SELECT symbol, date_time, 100985 + k AS pred_key, {r('a + b * hist_close')} AS predictions FROM t, f"
 
-# bars whose symbol has one that is HOLD newer
-_SETTLED = f"""o.date_time + INTERVAL '{HOLD}' <= (SELECT max(time_bucket(INTERVAL '1 hour', ts)) FROM events e WHERE e.event_type = o.symbol)"""
-
 _RUN = f"""CASE WHEN date_time < TIMESTAMP '{_BOUNDS[0]}' THEN 1 WHEN date_time < TIMESTAMP '{_BOUNDS[1]}' THEN 2 ELSE 3 END"""
 _LOADED = f"""WITH k AS ({_KAMA}), o AS ({_pick(_ADDED, {
     'close': 'n.close', 'hist_close': 'coalesce(n.c1, 0)', 'trend_ema_fast': 'f.y', 'trend_ema_slow': 's.y', 'trend_sma_fast': 'sm.y',
@@ -230,14 +252,27 @@ ORACLES = {
     "stream_indicators": f"""WITH a AS ({_ATR}), o AS ({_pick(_ADDED, {
         'hist_close': 'coalesce(n.c1, 0)', 'trend_ema_fast': 'f.y', 'trend_ema_slow': 's.y', 'volume_obv': 'sm.obv',
         'others_cr': _CR}, _join('f', 's', 'sm'))})
-        SELECT o.*, a.ln_atr FROM o JOIN a ON a.symbol = o.symbol AND a.date_time = o.date_time WHERE {_SETTLED}""",
+        SELECT o.*, a.ln_atr FROM o JOIN a ON a.symbol = o.symbol AND a.date_time = o.date_time""",
     "stream_technical": f"""SELECT symbol, date_time, {', '.join(TECHNICAL_COLUMNS)} FROM ({RECURSIVE['indicators_all']}) o
-        WHERE {_SETTLED}""",
+       """,
     "stream_score": f"WITH {_MODEL} {_SCORES}",
     "score_new": f"WITH {_MODEL} {_SCORES} WHERE date_time >= TIMESTAMP '2024-01-29'",
     "high_water_mark": f"""WITH {BARS} SELECT symbol, date_time, close FROM bars
         WHERE date_time > (SELECT max(date_time) FROM bars WHERE date_time < TIMESTAMP '2024-01-20')""",
     "late_data": "SELECT event_type AS symbol, event_id FROM events WHERE ts < TIMESTAMP '2024-01-05'",
+    # one trigger a turn: by the end of a turn a symbol's bars are applied up to a day before its newest, or before the newest of
+    # the turns before; a bar is late if a newer one of its symbol was applied before its turn
+    "late_bars": f"""WITH {BARS}, t AS (
+        SELECT symbol, date_time, close, least(date_diff('second', (SELECT min(date_time) FROM bars), date_time) // 259200, 9)
+          + CASE WHEN hour(date_time) % 5 = 0 THEN 2 ELSE 0 END AS turn FROM bars),
+      turns AS (SELECT unnest(range(0, 12)) AS turn), symbols AS (SELECT DISTINCT symbol FROM t),
+      reached AS (SELECT symbols.symbol, turns.turn, greatest(
+          (SELECT max(t.date_time) FROM t WHERE t.symbol = symbols.symbol AND t.turn <= turns.turn),
+          (SELECT max(t.date_time) FROM t WHERE t.turn < turns.turn)) - INTERVAL 1 DAY AS until FROM symbols, turns),
+      applied AS (SELECT r.symbol, r.turn, max(t.date_time) AS last FROM reached r
+          JOIN t ON t.symbol = r.symbol AND t.turn <= r.turn AND t.date_time <= r.until GROUP BY ALL)
+      SELECT t.symbol, t.date_time, t.close, coalesce(t.date_time <= a.last, false) AS late
+      FROM t LEFT JOIN applied a ON a.symbol = t.symbol AND a.turn = t.turn - 1""",
     "monitor_range": _psi_sql(
         _POOL.replace("f.date_time = p.date_time)", f"f.date_time = p.date_time WHERE {_RANGE})"), _DOANE,
         f", CASE WHEN psi > 0.25 THEN 'red' ELSE 'green' END AS status, "

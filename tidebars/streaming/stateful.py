@@ -1,8 +1,13 @@
 """The stored indicators on a stream: one bounded state per symbol.
 
-Files may bring bars out of order.  A bar waits in the state until a bar of its symbol has been seen that is ``hold`` newer;
-then it is applied, always in order of time.  A bar that comes after a newer one was applied can't be put back in
-its place: it leaves with ``late`` set and no indicators, for a side table.
+Files may bring bars out of order.  A bar waits in the state until a bar of its symbol has been seen that is ``hold`` newer, or
+until the watermark, which is ``hold`` behind the newest bar of any symbol, has passed it; then it is applied, always in order
+of time.  So a symbol that falls silent gives its last bars too.  A row without a symbol is no bar and only moves the watermark: such
+a row, ``hold`` ahead, ends the input and empties the state (:func:`closing_row`).
+
+A bar that comes after a newer one was applied can't be put back in its place: it leaves with ``late`` set and no
+indicators, for a side table.  The engine drops rows behind the watermark before a stateful operator; bars go in without a
+time of their own for that reason, and rows that have nothing but the time move the watermark in their stead.
 
 The state has the recurrences' last values and the last ``RING`` bars for the windows.
 """
@@ -34,6 +39,9 @@ _STATE = (
 )
 
 
+_NO_BARS = pd.DataFrame({"date_time": np.zeros(0, "datetime64[us]"), "tick_vol": np.zeros(0, np.int64), **{c: np.zeros(0) for c in ("high", "low", "close")}})
+
+
 def _rolling(x: np.ndarray, n: int, how: Callable) -> np.ndarray:
     """``how`` over the last ``n`` values, NaN until there are ``n``."""
     out = np.full(len(x), np.nan)
@@ -125,8 +133,10 @@ def _step(hold: int):
         else:
             carry = {"n": 0, "stop": None, **dict.fromkeys(_CARRY), "obv": 0.0, "vpt": 0.0, "atr": 0.0}
             ring = held = [[]] * len(_BAR)
-        new = pd.concat(list(batches), ignore_index=True)
+        given = [b for b in batches if len(b)]  # none if the watermark alone called
+        new = pd.concat(given, ignore_index=True) if given else _NO_BARS.copy()
         new["at"] = new["date_time"].astype("datetime64[us]").astype("int64")
+        passed = state.getCurrentWatermarkMs() * 1000
         waiting = {c: np.concatenate([np.asarray(h, new[c].dtype if c == "at" else float), new[c].to_numpy()]) for c, h in zip(_BAR, held)}
         order = np.argsort(waiting["at"], kind="stable")
         order = order[np.concatenate([[True], np.diff(waiting["at"][order]) != 0])] if len(order) else order  # of equal times the first
@@ -134,7 +144,7 @@ def _step(hold: int):
         last = ring[0][-1] if len(ring[0]) else None
         late = waiting["at"] <= last if last is not None else np.zeros(len(order), bool)
         known = np.isin(waiting["at"], ring[0])  # a repeated bar is not late
-        free = ~late & (waiting["at"] <= (waiting["at"].max() if len(order) else 0) - hold)
+        free = ~late & (waiting["at"] <= max(passed, waiting["at"].max() - hold if len(order) else passed))
         parts = []
         if (late & ~known).any():
             own = late & ~known
@@ -148,6 +158,8 @@ def _step(hold: int):
         state.update((
             carry["n"], *(carry[c] for c in _CARRY), list(carry["stop"]) if carry["stop"] is not None else None,
             *(list(r) for r in ring), *(waiting[c][stays].tolist() for c in _BAR)))
+        if stays.any():
+            state.setTimeoutTimestamp(max(int(waiting["at"][stays][0]) // 1000, passed // 1000 + 1))
         for part in parts:
             out = pd.DataFrame({"symbol": key[0], "date_time": pd.to_datetime(part.pop("at"), unit="us"), **part})
             out[COLUMNS] = out[COLUMNS].astype("Float64").where(lambda x: x.notna(), None)
@@ -163,11 +175,24 @@ def indicator_stream(bars: DataFrame, hold: str = "2 hours") -> DataFrame:
     bars of the last ``hold`` only.
     """
     micros = int(pd.Timedelta(hold).value // 1000)
-    return bars.filter(F.col("symbol").isNotNull() & F.col("date_time").isNotNull()).groupBy("symbol").applyInPandasWithState(
-        _step(micros), _OUT, _STATE, "append", GroupStateTimeout.NoTimeout
+    at = F.col("date_time").cast("timestamp")
+    is_bar = F.col("symbol").isNotNull() & at.isNotNull()
+    # only bars have a second row, without a time; a filter on the columns of a bar would be moved below the watermark
+    clock = F.when(is_bar, F.array(at, F.lit(None).cast("timestamp"))).when(at.isNotNull(), F.array(at))
+    rows = bars.withColumn("_clock", F.explode(clock)).withWatermark("_clock", hold)
+    return rows.filter(F.col("_clock").isNull()).groupBy("symbol").applyInPandasWithState(
+        _step(micros), _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
+def closing_row(bars: DataFrame, at, hold: str = "2 hours") -> DataFrame:
+    """One row of the columns of ``bars`` that moves the watermark past ``at``, the time of the newest bar: the state gives all its bars."""
+    end = pd.Timestamp(at) + pd.Timedelta(hold) + pd.Timedelta("1 second")
+    empty = {c: F.lit(None).cast(kind) for c, kind in bars.dtypes if c != "date_time"}
+    row = bars.sparkSession.range(1).select(F.lit(str(end)).cast("timestamp_ntz").alias("date_time"), *[v.alias(c) for c, v in empty.items()])
+    return row.select(*bars.columns)
+
+
 def indicator_sink(path: str, late_path: str) -> Callable[[DataFrame, int], None]:
     """Indicator rows to ``path``, late bars to ``late_path``; a repeated batch adds nothing to either."""
 
