@@ -168,6 +168,7 @@ def test_collocations_with_full_bitmaps_and_split_stripes(spark, monkeypatch):
     monkeypatch.setattr(phrases, "SHARE", 10)
     monkeypatch.setattr(phrases, "PARTS", 3)
     monkeypatch.setattr(phrases, "SALT", 2)
+    monkeypatch.setattr(phrases, "PENDING", 2)
     rows = text_rows(3)
     got = collocations(as_texts(spark, rows).repartition(5), least=6).collect()
     assert sorted(map(tuple, got)) == collocations_brute(rows, 5, 6, 2000)

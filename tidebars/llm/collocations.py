@@ -11,7 +11,8 @@ phrases whose pairs are frequent. Tasks ask a bitmap of fixed size whether a wor
 an infrequent one pass, whose count is then dropped: with more words than bits the work grows, the result stays.
 
 Prefixes whose first word makes up a thousandth of all words, at most a thousand, and the empty one have their
-stripes dealt over ``PARTS`` segments by next word.
+stripes dealt over ``PARTS`` segments by next word. Between tasks the stripes of a batch travel packed: those of a bucket of prefixes
+are one compressed row, a line for each stripe.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidebars.llm.common import bounded_batches, by_batch, name
+from tidebars.llm.common import bounded_batches, mixed, name
 from tidebars.llm.grouped import column, whole_groups
 from tidebars.llm.runs import LOWER, cut_words, numbered, text_bytes
 from tidebars.session import stage
@@ -36,7 +38,9 @@ WORD, BLANK, END = 0, 1, 2
 KIND = np.zeros(256, np.uint8)
 KIND[list(b" \t")] = BLANK
 KIND[list(b".,;:!?\n\x0b\x0c\r")] = END
-STRIPE = "lang string, prefix string, size int, part int, next array<string>, f array<bigint>"
+PACKED = "lang string, bucket int, stripes binary"
+BLANKS, TABS, LINES = (pa.scalar(x, pa.large_binary()) for x in (b" ", b"\t", b"\n"))
+PENDING = 64  # packed rows of a bucket that wait before they are merged
 
 
 def _digest(text: bytes) -> int:
@@ -88,37 +92,64 @@ class _Words:
     def text(self, starts: np.ndarray, size: int) -> pa.Array:
         """The phrases of ``size`` words that begin at ``starts``."""
         if not size:
-            return pa.array([""] * len(starts))
+            return pa.array([b""] * len(starts), pa.large_binary())
         words = [self.known.take(pa.array(self.codes[starts + i])) for i in range(size)]
-        joined = words[0] if size == 1 else pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary()))
-        return joined.cast(pa.large_string()).cast(pa.string())
+        return words[0] if size == 1 else pc.binary_join_element_wise(*words, BLANKS)
 
 
-def _stripes(words: _Words, lang: str, size: int, at: np.ndarray, prefix: np.ndarray, known: dict | None) -> pa.RecordBatch:
-    """Stripes of prefixes of ``size`` words: ``prefix`` numbers those that begin at ``at``."""
+def _stripes(words: _Words, lang: str, size: int, at: np.ndarray, prefix: np.ndarray, known: dict | None, buckets: int) -> pa.RecordBatch:
+    """Packed stripes of prefixes of ``size`` words: ``prefix`` numbers those that begin at ``at``."""
     n = max(1, len(words.known))
     entry, first, count = np.unique(prefix * n + words.codes[at + size], return_index=True, return_counts=True)
     prefix, next_word, start = entry // n, entry % n, at[first]
-    part = np.zeros(len(entry), np.int64)
-    spread = (words.hashes % np.uint64(PARTS)).astype(np.int64)
-    if not size:
-        part = spread[next_word]
-    elif known["hot"]:
+    part = np.zeros(len(entry), np.uint64)
+    if not size or known["hot"]:
+        part = words.hashes[next_word] % np.uint64(PARTS)
+    if size:
         hot = np.fromiter(((lang, w.decode()) in known["hot"] for w in words.known.to_pylist()), bool, len(words.known))
-        part = np.where(hot[words.codes[start]], spread[next_word], 0)
-    if part.any():
-        order = np.lexsort((part, prefix))
-        prefix, next_word, start, part, count = (x[order] for x in (prefix, next_word, start, part, count))
+        part = np.where(hot[words.codes[start]], part, np.uint64(0))
+    home = part
+    for i in range(size):
+        home = mixed(home ^ words.hashes[words.codes[start + i]])
+    bucket = (mixed(home) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((next_word, part, prefix, bucket))
+    bucket, prefix, part, next_word, start, count = (x[order] for x in (bucket, prefix, part, next_word, start, count))
     new = np.flatnonzero(np.r_[True, (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])])
-    offsets = pa.array(np.r_[new, len(entry)].astype(np.int32))
-    text = words.known.take(pa.array(next_word)).cast(pa.large_string()).cast(pa.string())
+    following = pa.LargeListArray.from_arrays(pa.array(np.r_[new, len(entry)]), words.known.take(pa.array(next_word)))
+    lines = pc.binary_join_element_wise(words.text(start[new], size), pc.binary_join(following, BLANKS), TABS)
+    return _packed(lang, bucket[new], lines, np.r_[new, len(entry)], count)
+
+
+def _packed(lang: str, bucket: np.ndarray, lines: pa.Array, offsets: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+    """A row for each bucket of lines that stand together: their counts and the lines, compressed."""
+    begin = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    texts = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(np.r_[begin, len(bucket)]), lines), LINES)
+    bounds = offsets[np.r_[begin, len(bucket)]].tolist()
+    pack = zstandard.ZstdCompressor(level=3).compress
+    rows = [pack(np.int64(e - s).tobytes() + count[s:e].astype(np.int64).tobytes() + text.as_py())
+            for s, e, text in zip(bounds, bounds[1:], texts)]
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(new), pa.string()), words.text(start[new], size), pa.array(np.full(len(new), size, np.int32)),
-         pa.array(part[new].astype(np.int32)), pa.ListArray.from_arrays(offsets, text), pa.ListArray.from_arrays(offsets, pa.array(count))],
-        names=["lang", "prefix", "size", "part", "next", "f"])
-
-
-def _count(sizes: range, known_in):
+        [pa.array([lang] * len(begin), pa.string()), pa.array(bucket[begin].astype(np.int32)), pa.array(rows, pa.binary())],
+        names=["lang", "bucket", "stripes"])
+
+
+def _unpacked(rows: list[bytes]) -> tuple[pa.Array, np.ndarray, pa.Array, np.ndarray]:
+    """The stripes of packed rows: prefixes, numbers of entries, and of all entries the words and the counts."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    counts, texts = [], []
+    for row in rows:
+        plain = unpack(row)
+        end = 8 + 8 * int(np.frombuffer(plain, np.int64, 1)[0])
+        counts.append(np.frombuffer(plain[8:end], np.int64))
+        texts.append(plain[end:])
+    lines = pc.split_pattern(pa.array([b"\n".join(texts)], pa.large_binary()).cast(pa.large_string()), "\n").flatten()
+    parts = pc.split_pattern(lines, "\t", max_splits=1).flatten()
+    even = np.arange(0, len(parts), 2)
+    following = pc.split_pattern(parts.take(pa.array(even + 1)), " ")
+    return parts.take(pa.array(even)), pc.list_value_length(following).to_numpy().astype(np.int64), following.flatten(), np.concatenate(counts)
+
+
+def _count(sizes: range, known_in, buckets: int):
     """Rows ``lang, text`` to the stripes of prefixes of the given sizes."""
 
     def work(batches):
@@ -128,22 +159,22 @@ def _count(sizes: range, known_in):
             for lang in pc.unique(langs).to_pylist():
                 words = _Words(texts.filter(pc.equal(langs, lang)))
                 if len(words.codes):
-                    yield from _of_sizes(words, lang, sizes, known)
+                    yield from _of_sizes(words, lang, sizes, known, buckets)
 
     return work
 
 
-def _of_sizes(words: _Words, lang: str, sizes: range, known: dict | None):
+def _of_sizes(words: _Words, lang: str, sizes: range, known: dict | None, buckets: int):
     everywhere = np.arange(len(words.codes))
     if sizes[0] == 0:
-        yield _stripes(words, lang, 0, everywhere, np.zeros(len(everywhere), np.int64), known)
+        yield _stripes(words, lang, 0, everywhere, np.zeros(len(everywhere), np.int64), known, buckets)
         return
     own = np.uint64(_digest(lang.encode()))
     frequent = _has(known["words"], _places(own, words.hashes))[words.codes]
     pair = np.flatnonzero(frequent[:-1] & frequent[1:] & (words.piece[:-1] == words.piece[1:]))
     if sizes[0] == 1:
         if len(pair):
-            yield _stripes(words, lang, 1, pair, words.codes[pair], known)
+            yield _stripes(words, lang, 1, pair, words.codes[pair], known, buckets)
         return
     a, b = words.hashes[words.codes[pair]], words.hashes[words.codes[pair + 1]]
     pair = pair[_has(known["pairs"], _places(own, a, b))]
@@ -155,46 +186,52 @@ def _of_sizes(words: _Words, lang: str, sizes: range, known: dict | None):
         at, number = at[more], number[more]
         if not len(at):
             return
-        yield _stripes(words, lang, size, at, number, known)
+        yield _stripes(words, lang, size, at, number, known, buckets)
         number = np.unique(number * len(words.known) + words.codes[at + size], return_inverse=True)[1]
 
 
-def _entries(table: pa.Table, starts: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Merged entries of groups of stripes: number of the group, word, count."""
-    lists, counts = column(table, "next"), column(table, "f")
-    lengths = np.diff(np.asarray(lists.offsets))
-    group = np.repeat(np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, table.num_rows])), lengths)
-    known, code = numbered(lists.flatten())
+def _merged(rows: list[bytes]) -> tuple[pa.Array, np.ndarray, pa.Array, np.ndarray]:
+    """Stripes merged element by element: the prefixes, and of all entries, by prefix, the prefix's number, the word and the count."""
+    prefixes, lengths, words, counts = _unpacked(rows)
+    prefixes, number = numbered(prefixes)
+    known, code = numbered(words)
     n = max(1, len(known))
-    entry, at = np.unique(group * n + code, return_inverse=True)
+    entry, at = np.unique(np.repeat(number, lengths) * n + code, return_inverse=True)
     total = np.zeros(len(entry), np.int64)
-    np.add.at(total, at, np.asarray(counts.flatten()))
-    return entry // n, known.take(pa.array(entry % n)), total
+    np.add.at(total, at, counts)
+    return prefixes, entry // n, known.take(pa.array(entry % n)), total
 
 
 def _shrink(table: pa.Table) -> pa.Table:
-    """Stripes of one prefix as one."""
-    _, words, f = _entries(table, np.zeros(1, np.int64))
-    offsets = pa.array(np.array([0, len(words)], np.int32))
-    merged = {"next": pa.ListArray.from_arrays(offsets, words), "f": pa.ListArray.from_arrays(offsets, pa.array(f))}
-    return pa.table({c: merged.get(c, table.column(c).slice(0, 1)) for c in table.column_names}).cast(table.schema)
+    """Packed rows of one bucket as one."""
+    if table.num_rows < PENDING:
+        return table
+    prefixes, number, words, f = _merged(column(table, "stripes").to_pylist())
+    offsets = np.searchsorted(number, np.arange(len(prefixes) + 1))
+    following = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets), words.cast(pa.large_binary())), BLANKS)
+    lines = pc.binary_join_element_wise(prefixes.cast(pa.large_binary()), following, TABS)
+    lang, bucket = table.column("lang")[0].as_py(), table.column("bucket")[0].as_py()
+    return pa.Table.from_batches([_packed(lang, np.full(len(lines), bucket), lines, offsets, f)]).cast(table.schema)
 
 
 def _merge(least: int):
-    """Stripes to merged ones with the entries of at least ``least``; ``total`` is the sum of all entries."""
+    """Packed stripes to merged ones with the entries of at least ``least``; ``total`` is the sum of all entries."""
 
     def work(table: pa.Table, starts: np.ndarray):
-        group, words, f = _entries(table, starts)
-        total = np.bincount(group, weights=None if not len(f) else f, minlength=len(starts)).astype(np.int64)
-        keep = np.flatnonzero(f >= least)
-        group, words, f = group[keep], words.take(pa.array(keep)), f[keep]
-        offsets = np.searchsorted(group, np.arange(len(starts) + 1)).astype(np.int32)
-        size = column(table, "size").take(pa.array(starts))
-        out = pa.RecordBatch.from_arrays(
-            [column(table, "lang").take(pa.array(starts)), column(table, "prefix").take(pa.array(starts)), size,
-             pa.ListArray.from_arrays(pa.array(offsets), words), pa.ListArray.from_arrays(pa.array(offsets), pa.array(f)), pa.array(total)],
-            names=["lang", "prefix", "size", "next", "f", "total"])
-        yield out.filter(pa.array((np.diff(offsets) > 0) | (np.asarray(size) == 0)))
+        packed, langs = column(table, "stripes"), column(table, "lang")
+        for s, e in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows]):
+            prefixes, number, words, f = _merged(packed.slice(s, e - s).to_pylist())
+            total = np.bincount(number, weights=f, minlength=len(prefixes)).astype(np.int64)
+            keep = np.flatnonzero(f >= least)
+            offsets = np.searchsorted(number[keep], np.arange(len(prefixes) + 1)).astype(np.int32)
+            size = np.where(pc.equal(prefixes, "").to_numpy(zero_copy_only=False), 0, pc.count_substring(prefixes, " ").to_numpy() + 1)
+            some = np.flatnonzero((np.diff(offsets) > 0) | (size == 0))
+            if not len(some):
+                continue
+            lists = (pa.ListArray.from_arrays(pa.array(offsets), x) for x in (words.take(pa.array(keep)).cast(pa.string()), pa.array(f[keep])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([langs[s].as_py()] * len(some), pa.string()), prefixes.take(pa.array(some)).cast(pa.string()), pa.array(size[some].astype(np.int32)),
+                 *[x.take(pa.array(some)) for x in lists], pa.array(total[some])], names=["lang", "prefix", "size", "next", "f", "total"])
 
     return work
 
@@ -206,9 +243,10 @@ def stripes(texts: DataFrame, sizes: range, least: int, known: dict | None) -> D
     """
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(known) if known is not None else None  # bitmaps of fixed size and at most SHARE words
-    local = texts.mapInArrow(_count(sizes, shared), STRIPE)
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # some for each task that merges
+    local = texts.mapInArrow(_count(sizes, shared, buckets), PACKED)
     return stage(whole_groups(
-        local, ["lang", "prefix", "part"], _merge(least),
+        local, ["lang", "bucket"], _merge(least),
         "lang string, prefix string, size int, next array<string>, f array<bigint>, total bigint", _shrink))
 
 
