@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidebars.operators import features as X
 from tidebars.operators import moments as M
 from tidebars.operators.layout import lay_out
+from tidebars.plans import autoregression as A
 from tidebars.plans import models as P
 
 
@@ -148,7 +149,7 @@ def test_orders_are_found(make_bars):
         y.append(0.6 * y[-1] - 0.5 * y[-2] + rng.normal())
     walk = np.cumsum(y)
     rows = [("a", h, v, v, v, v, 1) for h, v in enumerate(y)] + [("b", h, v, v, v, v, 1) for h, v in enumerate(walk)]
-    got = {r["symbol"]: (r["p"], r["d"], r["q"]) for r in P.ar_grid(lay_out(make_bars(rows)), p_values=range(4), q_values=range(2)).collect()}
+    got = {r["symbol"]: (r["p"], r["d"], r["q"]) for r in A.ar_grid(lay_out(make_bars(rows)), p_values=range(4), q_values=range(2)).collect()}
     # one unit root, found as a difference or as a third lag
     assert got["a"] == (2, 0, 0) and got["b"][0] + got["b"][1] == 3
 
@@ -190,3 +191,61 @@ def test_least_squares_of_collinear_inputs(data):
     for name in [*NAMES, "const"]:
         assert [got[name][c] for c in ("coef", "std_err", "t", "p")] == pytest.approx([want[name][c] for c in ("coef", "std_err", "t", "p")])
     assert P.pvalue_select(wide, [*NAMES, "same", "one"], "y") == P.pvalue_select(df, NAMES, "y")
+
+
+def _arma(n, ar, ma, d, seed):
+    rng = np.random.default_rng(seed)
+    e, w = rng.normal(0, 1, n + 50), np.zeros(n + 50)
+    for t in range(len(w)):
+        w[t] = 0.3 + sum(a * w[t - 1 - i] for i, a in enumerate(ar) if t > i) + sum(m * e[t - 1 - j] for j, m in enumerate(ma) if t > j) + e[t]
+    y = w[50:]
+    for _ in range(d):
+        y = np.cumsum(y)
+    return 100.0 + y
+
+
+@pytest.mark.parametrize("order", [(1, 0, 0), (2, 1, 0), (0, 0, 1), (1, 1, 1), (0, 2, 0), (3, 2, 2), (0, 0, 0), (0, 1, 2)])
+def test_forecast_equals_a_walk_from_the_end_of_training(make_bars, small_chunks, order):
+    p, d, q = order
+    values = {"a": _arma(900, [0.5, -0.2, 0.1][:p], [0.6, 0.2][:q], d, 1), "b": _arma(300, [0.5, -0.2, 0.1][:p], [0.6, 0.2][:q], d, 2)}
+    bars = make_bars([(s, h, v, v, v, v, 1) for s, y in values.items() for h, v in enumerate(y)])
+    args = dict(p_values=(p,), d_values=(d,), q_values=(q,), train=0.7)
+    fitted = {r["symbol"]: r for r in A.ar_grid(lay_out(bars), **args).collect()}
+    got = A.ar_forecast(lay_out(bars), **args).orderBy("symbol", "date_time").collect()
+    for s, y in values.items():
+        cut, end = int(len(y) * 0.7), int(len(y) * 0.85)
+        one, shift = fitted[s], y[:cut].mean()
+        w = np.diff(y[:cut] - shift, d) if d else y[:cut] - shift
+        ar, ma = np.array(one["ar"]), np.array(one["ma"])
+        assert len(ar) == p and len(ma) == q
+        e = np.zeros(len(w))
+        for t in range(max(p, q), len(w)):
+            e[t] = w[t] - one["start"] - ar @ w[t - p:t][::-1] - ma @ e[t - q:t][::-1]
+        w, e = list(w), list(e)
+        for _ in range(end - cut):
+            w.append(one["start"] + sum(a * w[-1 - i] for i, a in enumerate(ar)) + sum(m * e[-1 - j] for j, m in enumerate(ma)))
+            e.append(0.0)
+        ahead = np.array(w[-(end - cut):])
+        for k in range(d - 1, -1, -1):
+            last = np.diff(y[:cut] - shift, k)[-1]
+            ahead = last + np.cumsum(ahead)
+        mine = np.array([r["forecast"] for r in got if r["symbol"] == s])
+        assert np.allclose(mine, ahead + shift, rtol=1e-6, atol=1e-6), (s, order)
+    assert {r["symbol"]: r["n"] for r in A.forecast_error(A.ar_forecast(lay_out(bars), **args)).collect()} == {"a": 135, "b": 45}
+
+
+def test_weights_are_those_of_least_squares(make_bars, small_chunks):
+    y = _arma(800, [0.5, -0.3], [], 1, 7)
+    bars = make_bars([("a", h, v, v, v, v, 1) for h, v in enumerate(y)])
+    one = A.ar_grid(lay_out(bars), p_values=(2,), d_values=(1,), q_values=(0,)).first()
+    w = np.diff(y)
+    x = np.column_stack([np.ones(len(w) - 2), w[1:-1], w[:-2]])
+    beta, rest = np.linalg.lstsq(x, w[2:], rcond=None)[:2]
+    assert [one["start"], *one["ar"]] == pytest.approx(beta) and one["n"] == len(w) - 2
+    assert one["bic"] == pytest.approx(len(x) * np.log(rest[0] / len(x)) + 3 * np.log(len(x)))
+
+
+def test_short_and_flat_series_have_no_crash(make_bars):
+    bars = make_bars([("short", h, 1, 1, 1, h, 1) for h in range(3)] + [("flat", h, 5, 5, 5, 5, 1) for h in range(80)])
+    done = A.ar_forecast(lay_out(bars), p_values=range(3), d_values=range(2), q_values=range(2)).collect()
+    assert {r["symbol"] for r in done} == {"flat"} and all(r["forecast"] == pytest.approx(5.0) for r in done)

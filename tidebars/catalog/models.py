@@ -6,11 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidebars.catalog.common import FINANCIAL, bars, r, rounded, series, table
+from tidebars.catalog.common import FINANCIAL, NUM, across_chunks, across_chunks_sql, bars, r, rounded, series, table
 from tidebars.functions.schemas import MODEL_INPUT
 from tidebars.operators import features as X
 from tidebars.operators import moments as Z
 from tidebars.operators.monitor import rmse
+from tidebars.plans import autoregression as A
 from tidebars.plans import models as P
 from tidebars.plans.history import feature_table
 from tidebars.session import shared_dir, stage
@@ -143,7 +144,28 @@ def _rfe(spark, sf_dir):
 
 
 def _ar(spark, sf_dir):
-    return P.ar_grid(series(spark, sf_dir))
+    return A.ar_grid(series(spark, sf_dir)).select("symbol", "p", "d", "q", "n", "bic")
+
+
+def _ar_orders(spark, sf_dir):
+    """The search over orders that SQL can express."""
+    return rounded(A.ar_grid(series(spark, sf_dir), p_values=(0, 1), q_values=(0,)).select("symbol", "p", "d", "n", "bic"), 4)
+
+
+def _ar_forecast(spark, sf_dir):
+    """The chosen order of all 108, forecast over the validation part."""
+    return A.forecast_error(A.ar_forecast(series(spark, sf_dir)))
+
+
+def _ar1_forecast(spark, sf_dir):
+    """One autoregressive term: every forecast in closed form."""
+    done = A.ar_forecast(series(spark, sf_dir), p_values=(1,), d_values=(0,), q_values=(0,))
+    return rounded(done.select("symbol", "date_time", "value", "forecast"))
+
+
+def _ar1_error(spark, sf_dir):
+    done = A.ar_forecast(series(spark, sf_dir), p_values=(1,), d_values=(0,), q_values=(0,))
+    return rounded(A.forecast_error(done).select("symbol", "n", "rmse"))
 
 
 QUERIES = {
@@ -165,6 +187,12 @@ QUERIES = {
     "forest": _tree(P.forest_pipeline, {"numTrees": [10, 20], "maxDepth": [4]}),
     "gbt": _tree(P.boost_pipeline, {"maxIter": [5], "maxDepth": [2, 3]}),
     "ar_grid": _ar,
+    "ar_orders": _ar_orders,
+    "ar_orders_long": across_chunks(_ar_orders),
+    "ar_forecast": _ar_forecast,
+    "ar1_forecast": _ar1_forecast,
+    "ar1_forecast_long": across_chunks(_ar1_forecast),
+    "ar1_error": _ar1_error,
 }
 
 _LINE = "SELECT 'const' AS feature, {c} AS coef FROM {t} UNION ALL SELECT 'l_quantity', {b} FROM {t}"
@@ -197,3 +225,27 @@ ORACLES = {
         SELECT symbol, {r('sqrt(avg(power(close - a - b * c1, 2)))')} AS rmse FROM t, f GROUP BY symbol""",
 }
 ORACLES["ols_moments"] = ORACLES["ols_2"]
+
+_AR_ORDERS = f"""WITH {NUM}, w AS (
+      SELECT symbol, pos, 0 AS d, close AS y FROM num UNION ALL SELECT symbol, pos, 1, close - c1 FROM num
+      UNION ALL SELECT symbol, pos, 2, close - 2 * c1 + lag(close, 2) OVER (PARTITION BY symbol ORDER BY pos) FROM num),
+    l AS (SELECT symbol, d, y, lag(y) OVER (PARTITION BY symbol, d ORDER BY pos) AS x FROM w),
+    m AS (SELECT symbol, d, count(*) AS n, var_pop(y) AS vy, var_pop(x) AS vx, covar_pop(x, y) AS c
+      FROM l WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY ALL),
+    s AS (SELECT symbol, p, d, n, n * ln(CASE WHEN p = 0 THEN vy ELSE vy - c * c / vx END) + (p + 1) * ln(n) AS bic
+      FROM m, (VALUES (0), (1)) AS t(p) WHERE n > p + 1)
+    SELECT symbol, p, d, n, {r('bic', 4)} AS bic FROM s QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY bic, p, d) = 1"""
+_AR1 = f"""WITH {NUM}, sized AS (SELECT *, count(*) OVER (PARTITION BY symbol) AS rows FROM num),
+    parts AS (SELECT *, floor(rows * 0.7::DOUBLE) AS cut, floor(rows * 0.85::DOUBLE) AS until FROM sized),
+    fit AS (SELECT symbol, regr_slope(close, c1) AS b, regr_intercept(close, c1) AS a, arg_max(close, pos) AS y
+      FROM parts WHERE pos < cut GROUP BY symbol),
+    f AS (SELECT p.symbol, date_time, close AS value, a * (1 - power(b, pos - cut + 1)) / (1 - b) + power(b, pos - cut + 1) * y AS forecast
+      FROM parts p JOIN fit ON fit.symbol = p.symbol WHERE pos >= cut AND pos < until)"""
+_AR1_ROWS = f"{_AR1} SELECT symbol, date_time, {r('value')} AS value, {r('forecast')} AS forecast FROM f"
+ORACLES |= {
+    "ar_orders": _AR_ORDERS,
+    "ar_orders_long": across_chunks_sql(_AR_ORDERS),
+    "ar1_forecast": _AR1_ROWS,
+    "ar1_forecast_long": across_chunks_sql(_AR1_ROWS),
+    "ar1_error": f"{_AR1} SELECT symbol, count(*) AS n, {r('sqrt(avg((value - forecast) * (value - forecast)))')} AS rmse FROM f GROUP BY symbol",
+}

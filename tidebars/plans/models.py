@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import replace
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -17,9 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebars.operators import moments as M
-from tidebars.operators.expr import F as X
 from tidebars.operators.features import ROW, fold_starts, with_fold
-from tidebars.operators.layout import Series
 from tidebars.operators.monitor import bic, rmse, squared_error
 from tidebars.session import only_row
 
@@ -304,64 +301,6 @@ def mean_forecast(df: DataFrame, n_rows: DataFrame, value: str = "close", share:
     )
 
 
-def _difference(series: Series, value: str, d: int) -> Series:
-    series = series.add(_y=F.col(value).cast("double"))
-    for _ in range(d):
-        series = series.add(_y=X.col("_y") - series.lag("_y"))
-    return series
-
-
-def ar_grid(
-    series: Series, value: str = "close", p_values=range(6), d_values=range(3), q_values=range(6), long_order: int = 12
-) -> DataFrame:
-    """Order (p, d, q) of a differenced autoregression with moving average, per
-    symbol, by BIC.
-
-    Two-stage regression: residuals of a long autoregression stand in for the
-    unseen shocks, then the series is regressed on its own and their lags.  For
-    each ``d`` two passes give the cross products with all lags, and every (p, q)
-    is a sub-system of them.
-    """
-    p_max, q_max = max(p_values), max(q_values)
-    rows = []
-    for d in d_values:
-        base = _difference(series, value, d)
-        lags = {f"_y{k}": base.lag("_y", k) for k in range(1, max(long_order, p_max) + 1)}
-        lagged = base.add(**lags)
-        long_names = [f"_y{k}" for k in range(1, long_order + 1)]
-        first = M.moments(lagged.body(), [*long_names, "_y"], series.symbol)
-        coefficients = {
-            symbol: _in_data_units(M.solve_linear(g, list(range(1, long_order + 1))), first, long_names)
-            for symbol, g in first.blocks.items()
-        }
-        fitted = _by_symbol(series.df.sparkSession, series.symbol, coefficients, long_names)
-        # one row per symbol
-        shocks = lagged.df.join(fitted, series.symbol).withColumn(
-            "_e", F.col("_y") - F.col("_start") - sum((F.col(f"_w{n}") * F.col(n) for n in long_names), F.lit(0.0))
-        )
-        shocked = replace(series, df=shocks)
-        shocked = shocked.add(**{f"_e{k}": shocked.lag("_e", k) for k in range(1, q_max + 1)})
-        names = [*[f"_y{k}" for k in range(1, p_max + 1)], *[f"_e{k}" for k in range(1, q_max + 1)]]
-        second = M.moments(shocked.body(), [*names, "_y"], series.symbol)
-        for symbol, gram in second.blocks.items():
-            n = gram[0, 0]
-            for p in p_values:
-                for q in q_values:
-                    used = [*range(1, p + 1), *range(p_max + 1, p_max + q + 1)]
-                    fit = M.solve_linear(gram, used) if used else M.Fit(np.append(gram[0, -1] / n, np.zeros(len(names))), 0)
-                    rss = max(M.residual_squares(gram, fit), 1e-300) * second.scale[-1] ** 2
-                    score = float(n * math.log(rss / n) + (p + q + 1) * math.log(n))
-                    rows.append((symbol, p, d, q, int(n), score))
-    scores = series.df.sparkSession.createDataFrame(rows, "symbol string, p int, d int, q int, n bigint, bic double")
-    return scores.groupBy("symbol").agg(F.min_by(F.struct("p", "d", "q", "n", "bic"), "bic").alias("_b")).select("symbol", "_b.*")
-
-
-def _by_symbol(spark, symbol: str, models: dict, names: list[str]) -> DataFrame:
-    rows = [(s, m["intercept"], *[m["coefficients"][n] for n in names]) for s, m in models.items()]
-    fields = ", ".join(f"_w{n} double" for n in names)
-    return spark.createDataFrame(rows, f"{symbol} string, _start double, {fields}")
-
-
 def model_ranking(scores: DataFrame) -> DataFrame:
     """Models by error, best first, with the inverse score used for the bars."""
     return scores.select(
