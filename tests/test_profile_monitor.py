@@ -144,3 +144,30 @@ def test_signals(spark):
     buy, sell = bracket_levels(df).orderBy("k").collect()
     assert (buy["price"], buy["take_profit"], buy["stop_loss"], buy["volume"]) == pytest.approx((1.0, 1.001, 0.999, 0.01))
     assert (sell["price"], sell["take_profit"], sell["stop_loss"]) == pytest.approx((0.99, 0.999, 1.001))
+
+
+@pytest.mark.parametrize("wide", [12, 1])
+def test_correlations_of_frames_with_gaps(spark, monkeypatch, wide):
+    """Built-in aggregates and matrix products agree with each pair computed alone."""
+    monkeypatch.setattr(profile, "WIDE", wide)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 6)) * [1, 1e-6, 1e7, 1, 1, 1] + [0, 5, 1e9, 0, 0, 3]
+    x[:, 3] = x[:, 0] * 2 + 1
+    x[:, 5] = 3.0
+    gaps = rng.random((400, 6)) < [0, 0.3, 0.1, 0, 0.5, 0]
+    x[:, 4] = np.where(gaps[:, 1], x[:, 4], 2.0)  # moves, but not where the second column has values
+    rows = [tuple(None if g else float(v) for v, g in zip(r, m)) for r, m in zip(x, gaps)]
+    names = ["a", "b", "c", "d", "e", "f"]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(5)
+    got = {(r["feature_x"], r["feature_y"]): r["r"] for r in profile.corr_matrix(df, names).collect()}
+    assert len(got) == 36
+    for i, p in enumerate(names):
+        for j, q in enumerate(names):
+            both = ~gaps[:, i] & ~gaps[:, j]
+            u, v = x[both, i], x[both, j]
+            want = None if u.min() == u.max() or v.min() == v.max() else np.corrcoef(u, v)[0, 1]
+            assert got[p, q] == (None if want is None else pytest.approx(want, abs=1e-9)), (p, q)
+    assert profile.corr_matrix(df.limit(0), names).filter("r IS NOT NULL").count() == 0
+    assert {r["feature"] for r in profile.corr_select(df, names, "a", 0.9).collect()} == {"a", "d"}
+    v = {r["feature"]: r["vif"] for r in profile.vif(df.select("a", "c", "d", "f"), ["a", "c", "d", "f"]).collect()}
+    assert v["a"] == v["d"] == math.inf and v["c"] == pytest.approx(1, abs=0.1) and v["f"] is None

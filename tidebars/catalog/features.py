@@ -6,9 +6,14 @@ import math
 
 from pyspark.sql import functions as F
 
-from tidebars.catalog.common import FINANCIAL, bars, financial, r, rounded, table
+from tidebars.catalog.common import BARS, FINANCIAL, bars, financial, r, rounded, table
+from tidebars.catalog.indicators_recursive import ORACLES as RECURSIVE
+from tidebars.catalog.indicators_recursive import QUERIES as RECURSIVE_QUERIES
 from tidebars.functions import scalar as S
 from tidebars.operators import features as X
+from tidebars.operators import profile as R
+from tidebars.operators.indicators import ALL_COLUMNS
+from tidebars.plans.history import selected_features
 from tidebars.plans.models import mean_forecast
 from tidebars.session import stage
 
@@ -90,7 +95,27 @@ def _mean_forecast(spark, sf_dir):
     return rounded(mean_forecast(fin, sizes))
 
 
+def _corr_select_all(spark, sf_dir):
+    """The indicators that move with the close, all 86 compared with it in one pass."""
+    wide = RECURSIVE_QUERIES["indicators_all"](spark, sf_dir)
+    closes = bars(spark, sf_dir).select("symbol", "date_time", "close")
+    return rounded(R.corr_select(wide.join(closes, ["symbol", "date_time"]), ALL_COLUMNS, "close", 0.5), 4)
+
+
+def _corr_matrix_all(spark, sf_dir):
+    """All pairs of 86 columns with nulls of their own: 7,396 in one pass."""
+    return rounded(R.corr_matrix(RECURSIVE_QUERIES["indicators_all"](spark, sf_dir), ALL_COLUMNS), 4)
+
+
+def _selected_features(spark, sf_dir):
+    """The screen of all indicators a bar before: the chosen ones and how they move with the close. The limit is low, as ticks here follow none."""
+    return rounded(selected_features(bars(spark, sf_dir), at_least=0.02)[1], 3)
+
+
 QUERIES = {
+    "corr_select_all": _corr_select_all,
+    "corr_matrix_all": _corr_matrix_all,
+    "selected_features": _selected_features,
     "date_parts": _date_parts,
     "cyclical": _cyclical(False),
     "cyclical_parity": _cyclical(True),
@@ -152,3 +177,21 @@ ORACLES = {
         SELECT z.symbol, {r('forecast')} AS forecast, count(*) AS n_test, {r('avg(power(close - forecast, 2))')} AS mse,
                {r('sqrt(avg(power(close - forecast, 2)))')} AS rmse FROM z JOIN f ON f.symbol = z.symbol WHERE test GROUP BY z.symbol, forecast""",
 }
+
+_ALL = ", ".join(ALL_COLUMNS)
+# the columns that the other query shows as logarithms, in their own unit
+_PLAIN = {c: f"sign({c}) * (exp(abs({c})) - 1)" for c in ("volume_em", "volume_sma_em", "volume_vpt")} | {"volume_nvi": "exp(volume_nvi)"}
+_WIDE = f"WITH {BARS}, o AS MATERIALIZED ({RECURSIVE['indicators_all']}), wide AS (SELECT o.*, b.close FROM o JOIN bars b USING (symbol, date_time))"
+ORACLES |= {
+    "corr_select_all": f"""{_WIDE} SELECT feature, {r('r', 4)} AS r FROM (
+        SELECT unnest({ALL_COLUMNS!r}) AS feature, unnest([{', '.join(f'corr({c}, close)' for c in ALL_COLUMNS)}]) AS r FROM wide)
+        WHERE abs(r) >= 0.5 AND isfinite(r)""",
+    "corr_matrix_all": f"""{_WIDE}, pairs AS (SELECT unnest({ALL_COLUMNS!r}) AS feature_x, unnest(
+        [{', '.join('[' + ', '.join(f'corr({a}, {b})' for b in ALL_COLUMNS) + ']' for a in ALL_COLUMNS)}]) AS rs FROM wide)
+        SELECT feature_x, unnest({ALL_COLUMNS!r}) AS feature_y, unnest(list_transform(rs, lambda x: CASE WHEN isfinite(x) THEN {r('x', 4)} END)) AS r FROM pairs""",
+    "selected_features": f"""{_WIDE}, lagged AS (SELECT close, {', '.join(
+          f"lag({_PLAIN.get(c, c)}) OVER (PARTITION BY symbol ORDER BY date_time) AS {c}" for c in ALL_COLUMNS)} FROM wide)
+        SELECT feature, {r('r', 3)} AS r FROM (
+          SELECT unnest({ALL_COLUMNS!r}) AS feature, unnest([{', '.join(f'corr({c}, close)' for c in ALL_COLUMNS)}]) AS r FROM lagged)
+        WHERE abs(r) >= 0.02 AND isfinite(r)""",
+}

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidebars.session import only_row
 
 _BINS = 2048
+WIDE = 12  # columns up to which pairs are built-in aggregates
 EXACT = 1e-9  # unexplained share of a column's variance under which it counts as given by the others
 
 
@@ -172,36 +175,99 @@ def correlation(x: str, y: str) -> Column:
     return F.try_divide(F.covar_pop(a, b), spread)
 
 
+def correlations(df: DataFrame, left: list[str], right: list[str]) -> DataFrame:
+    """``feature_x, feature_y, r`` for each column of ``left`` with each of ``right``, over the rows with both values.
+
+    NULL where either is constant.  Pairs of up to ``WIDE`` columns are built-in aggregates of one job, columns without nulls sharing
+    theirs.  Of more columns the tasks multiply whole batches, values and masks of presence, and the products are added.
+    """
+    names = list(dict.fromkeys([*left, *right]))
+    if len(names) > WIDE:
+        return _products(df, left, right)
+    pairs = {tuple(sorted((a, b))) for a in left for b in right}
+    own = [F.struct(F.count(c).alias("n"), (F.min(c) < F.max(c)).alias("moves"), F.stddev_pop(c).alias("sd")).alias(f"c{i}") for i, c in enumerate(names)]
+    ab = {pair: f"p{i}" for i, pair in enumerate(sorted(pairs))}
+    row = only_row(df.agg(F.count(F.lit(1)).alias("n"), *own, *[F.covar_pop(a, b).alias(ab[a, b]) for a, b in ab if a != b]))
+    stats = {c: row[f"c{i}"] for i, c in enumerate(names)}
+    whole = {c for c in names if stats[c]["n"] == row["n"]}
+    found: dict[tuple[str, str], float | None] = {}
+    partial = [pair for pair in ab if not whole.issuperset(pair) and pair[0] != pair[1]]
+    if partial:
+        masked = only_row(df.agg(*[correlation(*pair).alias(ab[pair]) for pair in partial]))
+        found = {pair: masked[ab[pair]] for pair in partial}
+    for a, b in ab:
+        if (a, b) not in found:
+            moves = stats[a]["moves"] and stats[b]["moves"]
+            found[a, b] = None if not moves else 1.0 if a == b else row[ab[a, b]] / (stats[a]["sd"] * stats[b]["sd"])
+    rows = [(a, b, found[tuple(sorted((a, b)))]) for a in left for b in right]
+    return df.sparkSession.createDataFrame(rows, "feature_x string, feature_y string, r double")
+
+
+def _products(df: DataFrame, left: list[str], right: list[str]) -> DataFrame:
+    """:func:`correlations` by matrix products in the tasks, in units of each column's mean and deviation."""
+    names = list(dict.fromkeys([*left, *right]))
+    values = df.select(*[F.col(c).cast("double") for c in names])
+    row = only_row(values.agg(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s"), (F.min(c) < F.max(c)).alias("moves")).alias(f"c{i}")
+                                for i, c in enumerate(names)]))
+    shift = np.array([row[f"c{i}"]["m"] or 0.0 for i in range(len(names))])
+    scale = np.array([row[f"c{i}"]["s"] or 1.0 for i in range(len(names))])
+    moves = {c: bool(row[f"c{i}"]["moves"]) for i, c in enumerate(names)}
+    x_at, y_at = ([names.index(c) for c in side] for side in (left, right))
+    parts = ("n", "x", "y", "xx", "yy", "xy")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(parts), len(left), len(right)))
+        for batch in batches:
+            z = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            missing = np.column_stack([c.is_null().to_numpy(zero_copy_only=False) for c in batch.columns])
+            with np.errstate(invalid="ignore"):
+                z = np.where(missing, 0.0, (z - shift) / scale)
+            here = (~missing).astype(float)
+            x, y, p, q = z[:, x_at], z[:, y_at], here[:, x_at], here[:, y_at]
+            with np.errstate(invalid="ignore"):
+                sums += np.stack([p.T @ q, x.T @ q, p.T @ y, (x * x).T @ q, p.T @ (y * y), x.T @ y])
+        flat = sums.reshape(len(parts), -1)
+        cells = [pa.array(np.arange(flat.shape[1], dtype=np.int32)), *map(pa.array, flat)]
+        yield pa.RecordBatch.from_arrays(cells, names=["cell", *parts])
+
+    cells = values.mapInArrow(work, "cell int, " + ", ".join(f"{c} double" for c in parts))
+    total = cells.groupBy("cell").agg(*[F.sum(c).alias(c) for c in parts])
+    cov = F.col("xy") - F.try_divide(F.col("x") * F.col("y"), F.col("n"))
+    # a column that moves, but not in the rows of a pair, has only the rounding of its sums left
+    spread = [F.col(c * 2) - F.try_divide(F.col(c) * F.col(c), F.col("n")) for c in "xy"]
+    solid = (spread[0] > EXACT * 1e-3) & (spread[1] > EXACT * 1e-3)
+    r = F.when(F.isnan(spread[0]) | F.isnan(spread[1]), F.lit(math.nan)).when(solid, cov / F.sqrt(F.abs(spread[0] * spread[1])))
+    x_of = F.element_at(F.array(*map(F.lit, left)), F.expr(f"cell div {len(right)} + 1").cast("int"))
+    y_of = F.element_at(F.array(*map(F.lit, right)), F.expr(f"cell % {len(right)} + 1").cast("int"))
+    still = [c for c, moving in moves.items() if not moving]
+    rows = total.select(x_of.alias("feature_x"), y_of.alias("feature_y"), r.alias("r"))
+    flat = F.col("feature_x").isin(still) | F.col("feature_y").isin(still) if still else F.lit(False)
+    same = F.col("feature_x") == F.col("feature_y")
+    return rows.withColumn("r", F.when(~flat, F.when(same & F.col("r").isNotNull() & ~F.isnan("r"), F.lit(1.0)).otherwise(F.col("r"))))
+
+
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of all pairs, in long form, over pairwise complete rows."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = df.agg(*[correlation(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in {(a, b), (b, a)}:
-            entries.append(F.struct(F.lit(x).alias("feature_x"), F.lit(y).alias("feature_y"), F.col(f"_{i}").alias("r")))
-    return row.select(F.inline(F.array(*entries)))
+    return correlations(df, columns, columns)
 
 
 def corr_select(df: DataFrame, features: list[str], target: str, at_least: float = 0.5) -> DataFrame:
     """Features whose correlation with the target is at least ``at_least`` in size."""
-    row = _per_column(df, features, "r", lambda c: correlation(c, target))
-    return row.filter(F.abs("r") >= at_least)
+    found = correlations(df, features, [target])
+    return found.filter((F.abs("r") >= at_least) & ~F.isnan("r")).select(F.col("feature_x").alias("feature"), "r")
 
 
 def vif(df: DataFrame, columns: list[str]) -> DataFrame:
     """Variance inflation factors, with a constant: 1 / (1 - R^2) of each column on the others.
 
-    Infinite for a column that the others give exactly, NULL for a constant one.  The correlations come from one
-    distributed pass.
+    Infinite for a column that the others give exactly, NULL for a constant one.  The correlations, a number for each
+    pair of columns, come from one distributed pass over the complete rows.
     """
     complete = df.select(*[F.col(c).cast("double") for c in columns]).na.drop()
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    row = only_row(complete.agg(*[correlation(columns[i], columns[j]).alias(f"r{i}_{j}") for i, j in pairs]))
-    matrix = np.full((len(columns),) * 2, np.nan)
-    for i, j in pairs:
-        if row[f"r{i}_{j}"] is not None:
-            matrix[i, j] = matrix[j, i] = row[f"r{i}_{j}"]
+    matrix, at = np.full((len(columns),) * 2, np.nan), {c: i for i, c in enumerate(columns)}
+    for x, y, r in correlations(complete, columns, columns).collect():
+        if r is not None:
+            matrix[at[x], at[y]] = r
     live = [i for i in range(len(columns)) if not np.isnan(matrix[i, i])]
     out: list[tuple[str, float | None]] = []
     for i, c in enumerate(columns):

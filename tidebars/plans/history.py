@@ -14,7 +14,7 @@ from tidebars.operators.layout import Series, lay_out
 from tidebars.operators.profile import corr_select
 from tidebars.operators.relational import union_names
 from tidebars.operators.windows import lag_all_but, lag_fill
-from tidebars.session import cut
+from tidebars.session import cut, stage
 from tidebars.sources.files import dense_columns
 
 
@@ -37,10 +37,6 @@ def technical_table(bars: DataFrame, lag: bool = False, **layout) -> DataFrame:
     return technical_series(lay_out(bars, **layout), lag).result(*TECHNICAL_COLUMNS)
 
 
-def transformed_dates(bars: DataFrame, parity: bool = False) -> DataFrame:
-    return bars.select("symbol", "date_time", *[x.alias(n) for n, x in cyclical("date_time", parity).items()])
-
-
 def feature_table(bars: DataFrame, lag: bool = True, parity: bool = False, **layout) -> DataFrame:
     """Target, prices, lagged indicators and date features in one layout.
 
@@ -62,14 +58,12 @@ def selected_features(
     """
     series = add_all_indicators(lay_out(bars, **layout))
     lagged = cut(lag_all_but(_again(series), target).result())
-    picks = [corr_select(lagged, columns, target, at_least) for columns in FAMILIES.values()]
+    picked = stage(corr_select(lagged, [c for columns in FAMILIES.values() for c in columns], target, at_least))  # one pass for all families
+    picks = [picked.filter(F.col("feature").isin(columns)) for columns in FAMILIES.values()]
     names = [r[0] for r in union_names(picks, target).collect()]
     dense = dense_columns(lagged, names, more_than) if names else []
     table = lagged.select("symbol", "date_time", *dense).na.fill(0.0)
-    chosen = picks[0]
-    for pick in picks[1:]:
-        chosen = chosen.unionByName(pick)
-    return table, chosen.filter(F.col("feature").isin(dense))
+    return table, picked.filter(F.col("feature").isin(dense))
 
 
 def _again(series: Series) -> Series:
