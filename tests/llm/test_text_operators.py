@@ -360,3 +360,26 @@ def test_neighbours_against_brute_force(spark, monkeypatch):
     assert [v for v, _, _ in got[150]] == [100, 101, 102, 103, 104]  # ties among copies
     assert hits / (5 * len(got)) >= 0.98
     assert nearest_neighbours(frame.limit(0), frame.limit(0)).collect() == []
+
+
+def test_neighbours_with_clashing_names(spark):
+    rows = [(i, [float(i), 1.0], i, "x", 0.5, 7) for i in range(60)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, id int, v string, block double, verified int")
+    got = nearest_neighbours(frame, frame.where("vec_id % 50 = 0")).orderBy("query_id", "rank").collect()
+    assert [r["vec_id"] for r in got if r["query_id"] == 0] == [1, 2, 3, 4, 5] and len(got) == 10
+
+
+@pytest.mark.parametrize("folder", ["sf0.1"])
+def test_few_vectors_are_verified_and_nearly_all_neighbours_found(spark, folder):
+    frame = spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet")
+    table = frame.toPandas()
+    data, ids = np.stack(table["embedding"].to_numpy()).astype(float), table["vec_id"].to_numpy()
+    unit = data / np.sqrt((data ** 2).sum(axis=1))[:, None]
+    got, hits, verified = nearest_neighbours(frame, frame.where("vec_id % 50 = 0")).toPandas(), 0, []
+    for q, found in got.groupby("query_id"):
+        score = unit @ unit[np.flatnonzero(ids == q)[0]]
+        score[ids == q] = -9
+        hits += len(set(ids[np.argsort(-score)[:5]]) & set(found["vec_id"]))
+        verified.append(found["n_verified"].iloc[0])
+    assert hits / len(got) > 0.95
+    assert np.mean(verified) < 0.2 * len(ids)
