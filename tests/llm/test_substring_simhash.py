@@ -194,3 +194,17 @@ def test_row_numbers_hold_for_any_split(spark, tmp_path):
             for k in keys:
                 spark.conf.unset(k)
         assert found[0] == found[1] and len(found[0]) == frame.count()
+
+
+def test_overlapping_file_numbers_are_seen(spark, tmp_path, monkeypatch):
+    from tidebars.llm import common
+
+    spark.range(4000).selectExpr("id as doc_id", "string(id) as text").repartition(4).write.parquet(f"{tmp_path}/x")
+    table = spark.read.parquet(f"{tmp_path}/x")
+    assert not common._numbers_clash(table) and common._plain_scan(table)
+    monkeypatch.setattr(common, "HOME_BITS", 11)  # as if hashes lay close together
+    monkeypatch.setattr(common, "HOME_BUCKET", 8)
+    assert common._numbers_clash(table)
+    rids = [r["rid"] for r in packed(table, "doc_id").collect()]
+    assert len(set(rids)) == 4000
+    assert not common._plain_scan(table.join(spark.range(5), F.col("doc_id") > F.col("id")))

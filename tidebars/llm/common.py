@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import re
 from collections.abc import Callable, Iterator
-from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -28,45 +26,54 @@ def name(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
-def _files(df: DataFrame) -> list[tuple[str, int]] | None:
-    """Path, in all ways to write it, and number of each file, if ``df`` is a plain scan of Parquet files; else none."""
+def _plain_scan(df: DataFrame) -> bool:
+    """Whether ``df`` has rows of Parquet files, each once at most, and tells their places."""
     node = df._jdf.queryExecution().analyzed() if hasattr(df, "_jdf") else None
     while node is not None and node.nodeName() in ("Project", "Filter", "SubqueryAlias") and node.deterministic():
         node = node.child()
     if node is None or node.nodeName() != "LogicalRelation" or "_metadata" in df.columns:
-        return None
+        return False
     try:
         df.select("_metadata.row_index").schema  # Parquet files have it
     except AnalysisException:
-        return None
-    files = {(path, n) for n, own in enumerate(sorted(set(df.inputFiles())))
-             for long in (own, unquote(own)) for path in (long, re.sub(r"^([^/:]+):///", r"\1:/", long))}
-    return sorted(files) if len(files) == len({path for path, _ in files}) else None
+        return False
+    return True
+
+
+HOME_BITS, HOME_BUCKET = 62, 42  # of the number of a file's first row; of it, those below the bucket in which it is compared
+
+
+def _numbers_clash(df: DataFrame) -> bool:
+    """Whether the row numbers of two files of a plain scan overlap.
+
+    A file's numbers are an interval from a hash of its path on; intervals are compared within buckets of the hash, of which
+    each holds few files however many there are. Only the files' row counts are read.
+    """
+    first = F.xxhash64("path").bitwiseAND(F.lit((1 << HOME_BITS) - 1))
+    files = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("place")).groupBy("path").agg(
+        F.max("place").alias("last")).select(F.struct(first.alias("a"), (first + F.col("last")).alias("b")).alias("own"))
+    bucket = F.explode(F.array_distinct(F.array(F.shiftright("own.a", HOME_BUCKET), F.shiftright("own.b", HOME_BUCKET))))
+    listed = files.withColumn("bucket", bucket).groupBy("bucket").agg(F.sort_array(F.collect_list("own")).alias("own")).where(F.size("own") > 1)
+    pairs = F.zip_with(F.slice("own", F.lit(1), F.size("own") - 1), F.slice("own", F.lit(2), F.size("own") - 1), lambda x, y: x["b"] >= y["a"])
+    return not listed.where(F.exists(pairs, lambda x: x)).isEmpty()
 
 
 def packed(df: DataFrame, *apart: str, numbered: bool = True) -> DataFrame:
     """Rows as ``row`` (struct of all columns but ``apart``) and ``rid``, a number of the row; ``apart`` as ``c0``, ``c1`` ...
 
     No column of the input can then clash with a working column. A row keeps its number in every job, however its table is
-    split: in a plain scan of Parquet files the number is made of its file's and its place in the file, anything else
-    is numbered once and staged. Not ``numbered``: without ``rid``.
+    split: in a plain scan of Parquet files the number is a hash of its file's path plus its place in the file, anything else
+    (and files whose numbers would overlap) is numbered once and staged. Not ``numbered``: without ``rid``.
     """
     rest = [name(c).alias(c) for c in df.columns if c not in apart]
     columns = [F.struct(*(rest or [F.lit(0).alias("_")])).alias("row"), *[name(c).alias(f"c{i}") for i, c in enumerate(apart)]]
     if not numbered:
         return df.select(*columns)
-    files = _files(df)
-    if not files:
+    if not _plain_scan(df) or _numbers_clash(df):
         return stage(df.select(F.monotonically_increasing_id().alias("rid"), *columns))
-    place = F.col("_metadata.row_index")
+    home = F.xxhash64("_metadata.file_path").bitwiseAND(F.lit((1 << HOME_BITS) - 1))
     never = F.lit(-1).cast("bigint")  # numbers can't be null: joins then filter no side, and the engine shares exchanges
-    if not any(n for _, n in files):
-        return df.select(F.coalesce(place, never).alias("rid"), *columns)
-    numbers = df.sparkSession.createDataFrame(files, "path string, file bigint")
-    rows = df.select(F.col("_metadata.file_path").alias("path"), place.alias("place"), *columns).join(F.broadcast(numbers), "path", "left")
-    rid = F.shiftleft("file", 40).bitwiseOR(F.col("place"))
-    missing = F.raise_error(F.concat(F.lit("a file without a number: "), "path")).cast("bigint")
-    return rows.select(F.coalesce(rid, missing, never).alias("rid"), "row", *[f"c{i}" for i in range(len(apart))])
+    return df.select(F.coalesce(home + F.col("_metadata.row_index"), never).alias("rid"), *columns)
 
 
 def unpacked(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:

@@ -182,7 +182,7 @@ def _classes(rows: DataFrame, shingle: int, bits: int) -> tuple[DataFrame, DataF
     least = prints.groupBy("fp").agg(F.min("id").alias("low"))
     roots = stage(components(index_edges(prints.select("fp").distinct(), bits)))
     roots = roots.select(F.col("node").alias("fp"), "root")
-    return prints, least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return prints, stage(least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -203,10 +203,9 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     then ``component_id`` is null. Repeated rows each get a row. An empty table gives no rows.
     """
     prints, classes = _classes(_rows(docs, id_col, text_col), shingle, bits)
-    classes = stage(classes)
     least = classes.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_print = dealt_join(classes, least, ["root"]).select("fp", "component_id")
-    return prints.join(by_print, "fp").select(
+    by_print = stage(dealt_join(classes, least, ["root"]).select("fp", "component_id"))
+    return dealt_join(prints, by_print, ["fp"]).select(
         "id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -215,7 +214,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = _rows(docs, id_col, text_col)
     prints, classes = _classes(rows, shingle, bits)
     first = F.min(F.struct(F.col("id").isNull(), "id", "rid"))
-    keep = prints.join(classes.select("fp", "root"), "fp").groupBy("root").agg(first.alias("first"))
+    keep = dealt_join(prints, classes.select("fp", "root"), ["fp"]).groupBy("root").agg(first.alias("first"))
     keep = stage(keep.select(F.col("first.rid").alias("rid")))
     kept = rows.join(keep, "rid", "left_semi")
     return unpacked(kept, docs.columns, **{id_col: F.col("id"), text_col: F.col("text")})

@@ -173,7 +173,10 @@ def file_system(uri: str):
 
 
 class WholeFile:
-    """A file that appears under its name only when complete; a repeated task replaces it by the same bytes."""
+    """A file that appears under its name only when complete.
+
+    A repeated task replaces it: its bytes must be the same, or the name the attempt's own.
+    """
 
     def __init__(self, folder: str, file: str):
         self.fs, root = file_system(folder)

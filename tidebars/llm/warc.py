@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import uuid
 import zlib
 from urllib.parse import quote, unquote
 
@@ -23,7 +24,7 @@ from tidebars.llm.tokens import WholeFile, file_system, new_folder
 from tidebars.session import stage
 
 FILE_BYTES = 1 << 30  # a file is closed once it is larger
-SPAN = 64 << 20  # bytes of a file that a task reads
+SPAN = 16 << 20  # bytes of a file that a task reads
 READ_BYTES, GAP = 8 << 20, 64 << 10  # the largest joined read, and the hole it may hold
 DATE = "1970-01-01T00:00:00Z"  # pages carry no date
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -99,7 +100,8 @@ def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     @tidy
     def work(batches):
-        part, n, out = TaskContext.get().partitionId(), 0, None
+        # an attempt has files of its own: another one's index rows never point into them
+        part, n, out = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}", 0, None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -109,7 +111,7 @@ def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 if out is None or out.size >= FILE_BYTES:
                     if out:
                         out.close()
-                    out, n = WholeFile(folder, f"part-{part:06d}-{n:04d}.warc.gz"), n + 1
+                    out, n = WholeFile(folder, f"part-{part}-{n:04d}.warc.gz"), n + 1
                 data, digest = record(key, url, html, top, again)
                 packed = _gzip(data)
                 lines.append((out.uri, out.write(packed), len(packed), url, digest, "revisit" if again else "response"))
@@ -127,7 +129,9 @@ def read_warc(index: DataFrame, kind: str = "bigint", payloads: bool = True) ->
     A damaged record raises an error. No index rows give no records.
     """
     rows = index.select("uri", "offset", "length").withColumn("span", F.floor(F.col("offset") / SPAN))
-    rows = rows.repartition("uri", "span").sortWithinPartitions("uri", "offset").select("uri", "offset", "length")
+    total = rows.agg(F.sum("length")).first()[0] or 0
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-total // SPAN))  # by bytes, not by rows of the index
+    rows = rows.repartition(tasks, "uri", "span").sortWithinPartitions("uri", "offset").select("uri", "offset", "length")
 
     def ranges(batches):
         """Runs of neighbouring records: file, and (offset, length) of each."""
