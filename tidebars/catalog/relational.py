@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidebars.catalog.common import BARS, FINANCIAL, NUM, bars, financial, predictions, r, roll, rounded, series, table, ticks
 from tidebars.operators import relational as R
+from tidebars.operators.asof import as_of_join
 from tidebars.operators.indicators import add_indicators
 from tidebars.operators.profile import corr_select
 from tidebars.operators.signals import bracket_levels, trade_signal
@@ -113,7 +114,27 @@ def _brackets(spark, sf_dir):
     return rounded(placed.select("symbol", "ts", "side", "price", "take_profit", "stop_loss", "volume"))
 
 
+def _closed(spark, sf_dir):
+    """Bars by the time they closed."""
+    closed = (F.col("date_time") + F.expr("INTERVAL 1 HOUR")).alias("closed")
+    return bars(spark, sf_dir).select("symbol", closed, "close", "tick_vol")
+
+
+def _asof_quotes(spark, sf_dir):
+    """Every tick with the last bar of its symbol that had closed by then."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp_ntz").alias("ts"))
+    return as_of_join(events, _closed(spark, sf_dir), ["symbol"], "ts", "closed")
+
+
+def _asof_recent(spark, sf_dir):
+    """The same for bars that closed before the tick and half an hour before it at most."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp_ntz").alias("ts"))
+    return as_of_join(events, _closed(spark, sf_dir), ["symbol"], "ts", "closed", exclusive=True, within="30 minutes")
+
+
 QUERIES = {
+    "asof_quotes": _asof_quotes,
+    "asof_recent": _asof_recent,
     "join_fin_tech": _fin_tech,
     "join_fin_tech_since": _fin_tech_since,
     "pred_vs_actual": _pred_actual,
@@ -147,7 +168,13 @@ s AS (SELECT q.*, m.prediction, CASE WHEN ask <> 0 AND bid <> 0 THEN
       ON q.symbol = m.symbol AND q.date_time = m.date_time)"""
 _SIDE = "CASE WHEN side = 'BUY' THEN 0.001::DOUBLE ELSE -0.001::DOUBLE END"
 
+_CLOSED = f"WITH {BARS}, c AS (SELECT symbol, date_time + INTERVAL 1 HOUR AS closed, close, tick_vol FROM bars)"
 ORACLES = {
+    "asof_quotes": f"""{_CLOSED} SELECT e.event_id, e.event_type AS symbol, e.ts, c.closed, c.close, c.tick_vol
+        FROM events e ASOF LEFT JOIN c ON c.symbol = e.event_type AND c.closed <= e.ts""",
+    "asof_recent": f"""{_CLOSED} SELECT e.event_id, e.event_type AS symbol, e.ts, x.closed, x.close, x.tick_vol
+        FROM events e LEFT JOIN (SELECT e.event_id, c.* FROM events e ASOF JOIN c ON c.symbol = e.event_type AND c.closed < e.ts) x
+        ON x.event_id = e.event_id AND x.closed >= e.ts - INTERVAL 30 MINUTE""",
     "join_fin_tech": f"""WITH {_TECH} SELECT f.symbol, f.date_time, {r('open')} AS open, {r('high')} AS high, {r('low')} AS low,
         {r('close')} AS close, tick_vol, {r('trend_sma_fast')} AS trend_sma_fast, {r('trend_ichimoku_base')} AS trend_ichimoku_base
         FROM financial f JOIN technical t ON f.symbol = t.symbol AND f.date_time = t.date_time""",
