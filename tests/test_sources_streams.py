@@ -11,7 +11,7 @@ from tidebars.plans import load
 from tidebars.plans import models as P
 from tidebars.plans import scoring
 from tidebars.plans.history import technical_table
-from tidebars.sources import files, news
+from tidebars.sources import runs, files, news
 from tidebars.sources import tables as T
 from tidebars.sources.ticks import bars_from_ticks
 from tidebars.streaming import bars as B
@@ -242,3 +242,41 @@ def test_a_silent_symbol_and_the_end_of_input_leave_nothing_held(spark, walk, tm
     newest = bars.agg(F.max("date_time")).first()[0]
     assert run(closing_row(bars, newest, "3 hours")) == {"a": 50, "b": 5}
     assert spark.read.parquet(out).select("symbol", "date_time").distinct().count() == 55
+
+
+def test_of_two_loads_at_once_one_commits(spark, walk, tmp_path, monkeypatch):
+    folder, bars = str(tmp_path / "load"), walk(60, ("a", "b"))
+    cut = F.lit("2024-01-02").cast("timestamp_ntz")
+    assert load.loaded(spark, folder, "financial").count() == 0 and load.loaded(spark, folder, "late").columns == load._BARS
+    load.hourly_load(spark, folder, bars.filter(F.col("date_time") < cut), ["sma"])
+    carry = load._carry
+
+    def other_first(series):  # another load commits while this one works
+        monkeypatch.setattr(load, "_carry", carry)
+        assert load.hourly_load(spark, folder, bars, ["sma"])["run"] == 2
+        return carry(series)
+
+    monkeypatch.setattr(load, "_carry", other_first)
+    with pytest.raises(runs.Conflict):
+        load.hourly_load(spark, folder, bars, ["sma"])
+    assert load.loaded(spark, folder, "financial").count() == 120 and load.run_log(spark, folder).count() == 2
+    names = {n for _, n in runs.newest(spark, folder).folders["financial"]}
+    assert {n for n in os.listdir(f"{folder}/financial") if n[0] != "."} == names  # the loser's folders are gone
+    assert not [n for n in os.listdir(f"{folder}/runs") if n.startswith("_")]
+
+
+def test_folders_merge_and_late_bars_are_kept_once(spark, walk, tmp_path):
+    folder, bars = str(tmp_path / "load"), walk(60, ("a", "b"))
+    hour = F.hour("date_time") + 24 * (F.day("date_time") - 1)
+    for at in range(0, 60, 10):
+        part = bars.filter((hour >= at) & (hour < at + 10) & ~((hour == 13) & (F.col("symbol") == "a")))
+        load.hourly_load(spark, folder, part.unionByName(bars.filter(hour < at)) if at == 40 else part, ["sma"], fan=2)
+        known = runs.newest(spark, folder)
+        run = at // 10 + 1
+        assert len(known.folders["financial"]) == bin(run).count("1") and len(known.folders["carry"]) == 1
+        assert load.loaded(spark, folder, "financial").count() == sum(min(10, 60 - k) * 2 for k in range(0, at + 1, 10)) - (at >= 10)
+    late = [(r["symbol"], str(r["date_time"])) for r in load.loaded(spark, folder, "late").collect()]
+    assert late == [("a", "2024-01-01 13:00:00")]
+    assert load.hourly_load(spark, folder, bars, ["sma"], fan=2) is None  # known as late by now
+    keys = sorted(r["fin_key"] for r in load.loaded(spark, folder, "financial").collect())
+    assert keys == list(range(1, 120))

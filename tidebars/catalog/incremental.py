@@ -30,18 +30,12 @@ _COLUMNS = [
 
 
 def _load(spark, sf_dir):
-    """Three runs, each past the mark of the one before."""
-    path = os.path.join(shared_dir(spark), f"load-{uuid.uuid4().hex}")
+    """Three runs, each past the marks that the run before has carried on."""
+    folder = _paths(spark, "load")[0]
     source = stage(bars(spark, sf_dir))
-    carry = None
-    for until in ("2024-01-16 00:00:00", "2024-01-22 07:00:00", None):
-        stored = None if carry is None else spark.read.parquet(path)
-        landed = source if until is None else filter_before(source, until)
-        new = hourly.new_bars(landed, stored)
-        rows, done = hourly.load_step(new, stored, carry, _RECIPES, chunk_rows=256)
-        carry = stage(hourly.next_carry(done))
-        T.append_rows(rows, path)
-    return rounded(spark.read.parquet(path).select("symbol", "date_time", *_COLUMNS))
+    for until in (*_BOUNDS, None):
+        load.hourly_load(spark, folder, source if until is None else filter_before(source, until), _RECIPES, _COLUMNS, chunk_rows=256)
+    return rounded(load.loaded(spark, folder, "technical").select("symbol", "date_time", *_COLUMNS))
 
 
 _BOUNDS = ("2024-01-16 00:00:00", "2024-01-22 07:00:00")
@@ -54,8 +48,9 @@ def _hourly(spark, sf_dir):
     for until in (*_BOUNDS, None):
         landed = source if until is None else filter_before(source, until)
         if until == _BOUNDS[1]:
-            for name in ("financial", "technical"):  # what a run leaves that broke off
-                spark.read.parquet(f"{folder}/{name}/run=1").limit(50).write.partitionBy("symbol", "ym").parquet(f"{folder}/{name}/run=2")
+            broken = load.runs.Run(spark, folder, load.runs.newest(spark, folder))  # what a run leaves that broke off
+            for name in ("financial", "technical"):
+                broken.write(name, load.loaded(spark, folder, name).limit(50).withColumn("ym", F.lit("2024-01")), ("symbol", "ym"))
         load.hourly_load(spark, folder, landed.unionByName(landed.limit(20)), chunk_rows=256)
     assert load.hourly_load(spark, folder, source) is None
     tables = [load.loaded(spark, folder, name) for name in load.TABLES]
@@ -71,8 +66,22 @@ def _hourly_runs(spark, sf_dir):
     source = stage(bars(spark, sf_dir))
     for until in (*_BOUNDS, None):
         load.hourly_load(spark, folder, source if until is None else filter_before(source, until), ["sma"])
-    runs = spark.read.parquet(f"{folder}/runs")
-    return runs.filter("read_s > 0 AND indicators_s > 0 AND write_s > 0").select("run", "rows", "first", "last", "last_key")
+    return load.run_log(spark, folder).filter("read_s > 0 AND indicators_s > 0 AND write_s > 0").select("run", "rows", "first", "last", "last_key")
+
+
+def _many_runs(spark, sf_dir):
+    """A run for each three days, with two folders of a level merged at once; every seventh hour lands a run late."""
+    folder = _paths(spark, "many")[0]
+    source = stage(bars(spark, sf_dir))
+    turn = F.least(F.floor(_days(source) / 3), F.lit(9)) + F.when(F.hour("date_time") % 7 == 0, 1).otherwise(0)
+    source = stage(source.withColumn("_turn", turn))
+    for number in range(11):
+        load.hourly_load(spark, folder, source.filter(F.col("_turn") == number), ["sma"], fan=2)
+    known = load.runs.newest(spark, folder)
+    assert all(len(parts) <= 4 for parts in known.folders.values()), known.folders
+    rows = load.loaded(spark, folder, "financial").select("symbol", "date_time", "close", F.lit(False).alias("late"), "fin_key")
+    return rows.unionByName(load.loaded(spark, folder, load.LATE).select(
+        "symbol", "date_time", "close", F.lit(True).alias("late"), F.lit(None).cast("bigint").alias("fin_key")))
 
 
 def _events_stream(spark, sf_dir):
@@ -200,6 +209,7 @@ QUERIES = {
     "incremental_load": _load,
     "hourly_load": _hourly,
     "hourly_runs": _hourly_runs,
+    "many_runs": _many_runs,
     "stream_bars": _stream_bars,
     "stream_indicators": _stream_indicators,
     "stream_technical": _stream_technical,
@@ -242,6 +252,15 @@ ORACLES = {
     "hourly_runs": f"""WITH {BARS}, x AS (SELECT {_RUN} AS run, * FROM bars), g AS (
         SELECT CAST(run AS INTEGER) AS run, count(*) AS rows, min(date_time) AS first, max(date_time) AS last FROM x GROUP BY 1)
         SELECT *, CAST(sum(rows) OVER (ORDER BY run) AS BIGINT) AS last_key FROM g""",
+    # a bar is late if its symbol has a stored bar that is as new: all bars of a run are held against the newest of the runs before
+    "many_runs": f"""WITH {BARS}, b AS (
+        SELECT symbol, date_time, close, least(date_diff('second', (SELECT min(date_time) FROM bars), date_time) // 259200, 9)
+          + CASE WHEN hour(date_time) % 7 = 0 THEN 1 ELSE 0 END AS run FROM bars),
+      top AS (SELECT symbol, run, max(date_time) AS newest FROM b GROUP BY ALL),
+      m AS (SELECT b.*, (SELECT max(newest) FROM top WHERE top.symbol = b.symbol AND top.run < b.run) AS mark FROM b),
+      k AS (SELECT *, coalesce(date_time <= mark, false) AS late FROM m),
+      n AS (SELECT *, row_number() OVER (ORDER BY run, date_time, symbol) AS key FROM k WHERE NOT late)
+      SELECT symbol, date_time, close, late, key AS fin_key FROM n UNION ALL SELECT symbol, date_time, close, late, NULL FROM k WHERE late""",
     "incremental_load": f"""WITH k AS ({_KAMA}), o AS ({_pick(_ADDED, {
         'trend_sma_fast': 'sm.y', 'trend_ema_fast': 'f.y', 'trend_ema_slow': 's.y', 'trend_macd_signal': 'g.y',
         'volume_obv': 'sm.obv', 'others_cr': _CR}, _join('f', 's', 'g', 'sm'))})
