@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 
 from tidebars.llm.common import bounded_batches, name
 
-PROJECTIONS, THRESHOLD = 256, 0.8
-HALF = 1.36  # of a window at radius 1; a vector at the radius lies in it with a chance of 0.83
+PROJECTIONS, THRESHOLD = 144, 0.8
+HALF = 1.38  # of a window at radius 1; a vector at the radius lies in it with a chance of 0.83
 STEP = 1.05  # between the radii of rounds
-START = 0.5  # first radius, as a share of the median distance to SAMPLE vectors
+START = 0.72  # first radius, as a share of the median distance to SAMPLE vectors
 SAMPLE = 64
 FARTHEST = 2.0  # distance of vectors of length one
 AT_ONCE = 128  # queries whose windows are looked up together
-ROWS, QUERIES = 8192, 32768  # vectors of a block of the table and of the query set
+ROWS, QUERIES = 16384, 32768  # vectors of a block of the table and of the query set
 SEED = 20_240_607
 
 
@@ -53,7 +53,7 @@ class Index:
         self.directions = np.random.default_rng(SEED).standard_normal((vectors.shape[1], PROJECTIONS))
         self.unit = self.vectors / self.norms[:, None]
         projected = self.unit @ self.directions
-        self.order = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32, order="C")
+        self.order = np.argsort(projected, axis=0, kind="stable").T.copy()
         self.sorted = np.take_along_axis(projected.T, self.order, axis=1)
 
     def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int | None, float | None, int]]:
