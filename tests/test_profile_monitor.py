@@ -1,3 +1,4 @@
+import datetime as dt
 import math
 
 import numpy as np
@@ -171,3 +172,39 @@ def test_correlations_of_frames_with_gaps(spark, monkeypatch, wide):
     assert {r["feature"] for r in profile.corr_select(df, names, "a", 0.9).collect()} == {"a", "d"}
     v = {r["feature"]: r["vif"] for r in profile.vif(df.select("a", "c", "d", "f"), ["a", "c", "d", "f"]).collect()}
     assert v["a"] == v["d"] == math.inf and v["c"] == pytest.approx(1, abs=0.1) and v["f"] is None
+
+
+@pytest.mark.parametrize("width, slide", [("5 hours", "2 hours"), ("6 hours", "2 hours"), ("90 minutes", "1 hour"), ("1 day", None)])
+def test_windows_of_slices_equal_windows_of_copied_rows(spark, width, slide):
+    rng = np.random.default_rng(6)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(start + dt.timedelta(minutes=int(m)), *[None if rng.random() < 0.1 else float(v) for v in rng.normal(size=2)]) for m in rng.integers(0, 3000, 400)]
+    df = spark.createDataFrame([*rows, (None, 1.0, 1.0)], "date_time timestamp_ntz, a double, b double").repartition(4)
+    got = {r["window_start"]: r for r in monitor.monitor_window(df, "a", "b", width, slide, bins=5).collect()}
+    copied = df.select(F.window("date_time", width, slide).alias("w"), "a", "b").groupBy(F.col("w.start").alias("w")).agg(
+        F.collect_list(F.struct("a", "b")).alias("rows")).collect()
+    assert {r["w"] for r in copied} == set(got)
+    for r in copied:
+        a, b = ([x[c] for x in r["rows"] if x[c] is not None] for c in "ab")
+        both = [(x["a"] - x["b"]) ** 2 for x in r["rows"] if x["a"] is not None and x["b"] is not None]
+        one = got[r["w"]]
+        assert one["n"] == len(b) and one["rmse"] == (pytest.approx(np.sqrt(np.mean(both))) if both else None)
+        low, high = min(a + b), max(a + b)
+        if not a or not b or low == high:
+            continue
+        share = [np.maximum(np.bincount(np.minimum(((np.array(x) - low) / ((high - low) / 5)).astype(int), 4), minlength=5) / len(x), 0) for x in (a, b)]
+        share = [np.where(s == 0, 1e-6, s) for s in share]
+        assert one["psi"] == pytest.approx(float(np.sum((share[1] - share[0]) * np.log(share[1] / share[0]))))
+
+
+def test_density_by_nodes_is_that_of_the_values(spark):
+    rng = np.random.default_rng(8)
+    a, b = np.concatenate([rng.normal(size=700), [9.0]]), rng.exponential(0.01, 701) + 3
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double").repartition(4)
+    got = monitor.kde_grid(df, "a", "b", points=200).orderBy("point").collect()
+    for name, values in (("density_a", a), ("density_b", b)):
+        h = len(values) ** -0.2 * values.std(ddof=1)
+        x = np.array([r["x"] for r in got])
+        want = np.exp(-0.5 * ((x[:, None] - values) / h) ** 2).mean(axis=1) / (h * np.sqrt(2 * np.pi))
+        top = 1 / (h * np.sqrt(2 * np.pi))
+        assert np.abs(np.array([r[name] for r in got]) - want).max() < 6e-9 * top
