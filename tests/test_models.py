@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidebars.operators import features as X
 from tidebars.operators import moments as M
+from tidebars.operators import profile
 from tidebars.operators.layout import lay_out
 from tidebars.plans import autoregression as A
 from tidebars.plans import models as P
@@ -249,3 +250,49 @@ def test_short_and_flat_series_have_no_crash(make_bars):
     bars = make_bars([("short", h, 1, 1, 1, h, 1) for h in range(3)] + [("flat", h, 5, 5, 5, 5, 1) for h in range(80)])
     done = A.ar_forecast(lay_out(bars), p_values=range(3), d_values=range(2), q_values=range(2)).collect()
     assert {r["symbol"] for r in done} == {"flat"} and all(r["forecast"] == pytest.approx(5.0) for r in done)
+
+
+def test_near_collinear_features_keep_their_digits(spark):
+    """Condition 1e8: cross products have no digits left, the triangular factor has eight."""
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=(2, 500))
+    near = a + 1e-8 * b
+    y = 1.0 + 2.0 * a + 3.0 * near
+    rows = [tuple(map(float, r)) for r in zip(a, near, b, a + b, np.ones(500) * 4, y)]
+    df = spark.createDataFrame(rows, "a double, near double, b double, both double, flat double, y double").repartition(6)
+    got = {r["feature"]: r for r in P.ols_summary(df, ["a", "near"], "y").collect()}
+    assert got["a"]["coef"] + got["near"]["coef"] == pytest.approx(5.0, rel=1e-10)
+    assert got["near"]["coef"] == pytest.approx(3.0, rel=1e-6) and got["const"]["coef"] == pytest.approx(1.0, rel=1e-8)
+    got = {r["feature"]: r["coef"] for r in P.ols_summary(df, ["a", "b", "both", "flat"], "y").collect()}
+    assert got["both"] is None and got["flat"] is None and got["a"] == pytest.approx(5.0, rel=1e-6)
+    v = {r["feature"]: r["vif"] for r in profile.vif(df, ["a", "near"]).collect()}
+    assert 1e15 < v["a"] < 1e17
+    v = {r["feature"]: r["vif"] for r in profile.vif(df, ["a", "b", "both"]).collect()}
+    assert set(v.values()) == {math.inf}
+
+
+def test_lassos_together_are_those_alone(data):
+    x, y, df = data
+    stats = M.moments(df.withColumn("block", F.lit(0)), [*NAMES, "y"], "block")
+    gram, index = stats.blocks[0], list(range(1, len(NAMES) + 1))
+    for alpha, fit in zip([0.001, 0.1, 0.5], M.solve_lassos(gram, index, [0.001, 0.1, 0.5])):
+        assert fit.weights == pytest.approx(M.solve_lasso(gram, index, alpha).weights, abs=1e-6)
+
+
+def test_first_trees_of_a_forest_are_scored(data, spark):
+    x, y, df = data
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+
+    rows = VectorAssembler(inputCols=NAMES, outputCol="features").transform(df).select("row", "y", "features")
+    forest = RandomForestRegressor(labelCol="y", numTrees=8, maxDepth=4, seed=1).fit(rows)
+    alone = [np.array([r["prediction"] for r in t.transform(rows).orderBy("row").collect()]) for t in forest.trees]
+    truth = np.array([r["y"] for r in rows.orderBy("row").collect()])
+    want = [float(((np.mean(alone[:k], axis=0) - truth) ** 2).mean()) for k in (1, 3, 8)]
+    assert P._prefix_errors(forest, rows, "y", [1, 3, 8]) == pytest.approx(want)
+    boost = GBTRegressor(labelCol="y", maxIter=5, maxDepth=2, seed=1).fit(rows)
+    whole = GBTRegressor(labelCol="y", maxIter=3, maxDepth=2, seed=1).fit(rows).transform(rows).orderBy("row").collect()
+    want = float(((np.array([r["prediction"] for r in whole]) - truth) ** 2).mean())
+    assert P._prefix_errors(boost, rows, "y", [3, 5])[0] == pytest.approx(want)
+    best = P.prefix_grid_search(df, NAMES, "y", "boost", {"maxIter": [1, 4], "maxDepth": [2], "stepSize": [0.3]}, 240, 2)
+    assert best["params"] == {"maxDepth": 2, "stepSize": 0.3, "maxIter": 4}

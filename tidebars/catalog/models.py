@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidebars.catalog.common import FINANCIAL, NUM, across_chunks, across_chunks_sql, bars, r, rounded, series, table
-from tidebars.functions.schemas import MODEL_INPUT
+from tidebars.functions.schemas import CYCLICAL_COLUMNS
+from tidebars.operators.indicators import TECHNICAL_COLUMNS
 from tidebars.operators import features as X
 from tidebars.operators import moments as Z
 from tidebars.operators.monitor import rmse
@@ -17,10 +18,13 @@ from tidebars.plans.history import feature_table
 from tidebars.session import shared_dir, stage
 
 
+FEATURES = ["open", "hist_close", "tick_vol", *TECHNICAL_COLUMNS, *CYCLICAL_COLUMNS]
+
+
 def _features(spark, sf_dir):
     """Model inputs, complete rows in time order with ``row``."""
     wide = feature_table(bars(spark, sf_dir))
-    complete = stage(wide.select("symbol", "date_time", "close", *MODEL_INPUT).na.drop())
+    complete = stage(wide.select("symbol", "date_time", "close", *FEATURES).na.drop())
     n = complete.count()
     return X.time_split(X.with_row(complete), n), X.split_sizes(n)[0]
 
@@ -75,7 +79,7 @@ def _grid(kinds):
     def run(spark, sf_dir):
         df, n = _features(spark, sf_dir)
         train = df.filter(F.col("slice") == "train")
-        best = P.linear_grid_search(train, MODEL_INPUT, "close", kinds, n)
+        best = P.linear_grid_search(train, FEATURES, "close", kinds, n)
         rows = [(k, str(m["params"]), m["score"]) for k, m in best.items()]
         held = df.filter(F.col("slice") == "val")
         scores = held.agg(*[
@@ -86,13 +90,12 @@ def _grid(kinds):
     return run
 
 
-def _tree(make, grid):
+def _tree(kind, make, grid, splits):
     def run(spark, sf_dir):
         df, n = _features(spark, sf_dir)
         train = df.filter(F.col("slice") == "train")
-        subset = X.train_subset(train, n)
-        best = P.tree_grid_search(subset, make(MODEL_INPUT, "close"), grid, "close", len(MODEL_INPUT), X.cut_at(n, 0.1))
-        model = make(MODEL_INPUT, "close", **best["params"]).fit(train)
+        best = P.prefix_grid_search(X.train_subset(train, n), FEATURES, "close", kind, grid, X.cut_at(n, 0.1), splits)
+        model = make(FEATURES, "close", **best["params"]).fit(train)
         return P.evaluate_slices(model, df, "close").withColumn("params", F.lit(str(best["params"])))
 
     return run
@@ -100,13 +103,13 @@ def _tree(make, grid):
 
 def _pca(spark, sf_dir):
     df, _ = _features(spark, sf_dir)
-    model = P.pca_pipeline(MODEL_INPUT, "close", 3).fit(df.filter(F.col("slice") == "train"))
+    model = P.pca_pipeline(FEATURES, "close", 30).fit(df.filter(F.col("slice") == "train"))
     return P.evaluate_slices(model, df, "close")
 
 
 def _drop_feature(spark, sf_dir):
     df, _ = _features(spark, sf_dir)
-    features = [f for f in MODEL_INPUT if f != "hist_close"]
+    features = [f for f in FEATURES if f != "hist_close"]
     model = P.linear_pipeline(features, "close").fit(df.filter(F.col("slice") == "train"))
     return P.evaluate_slices(model, df, "close")
 
@@ -124,7 +127,7 @@ def _pvalue_select(spark, sf_dir):
     """Keep the significant inputs, refit, save, load, score the held-out slices."""
     df, _ = _features(spark, sf_dir)
     train = df.filter(F.col("slice") == "train")
-    kept = P.pvalue_select(train, MODEL_INPUT, "close") or MODEL_INPUT
+    kept = P.pvalue_select(train, FEATURES, "close") or FEATURES
     path = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
     P.save_model(P.linear_pipeline(kept, "close").fit(train), path)
     return P.evaluate_slices(P.load_model(path), df, "close").withColumn("kept", F.lit(",".join(kept)))
@@ -140,7 +143,7 @@ def _predict(spark, sf_dir):
 
 def _rfe(spark, sf_dir):
     df, _ = _features(spark, sf_dir)
-    return P.rfe(df.filter(F.col("slice") == "train"), MODEL_INPUT, "close", 4)
+    return P.rfe(df.filter(F.col("slice") == "train"), FEATURES, "close", 16)
 
 
 def _ar(spark, sf_dir):
@@ -184,8 +187,9 @@ QUERIES = {
     "linreg_drop_feature": _drop_feature,
     "pvalue_select": _pvalue_select,
     "rfe": _rfe,
-    "forest": _tree(P.forest_pipeline, {"numTrees": [10, 20], "maxDepth": [4]}),
-    "gbt": _tree(P.boost_pipeline, {"maxIter": [5], "maxDepth": [2, 3]}),
+    # small parts of the full grids: README has the measured seconds of the rest
+    "forest": _tree("forest", P.forest_pipeline, {"numTrees": [50, 100], "maxDepth": [10], "minInstancesPerNode": [1]}, 3),
+    "gbt": _tree("boost", P.boost_pipeline, {"maxIter": [5, 10, 20], "maxDepth": [3], "stepSize": [0.1, 0.3]}, 5),
     "ar_grid": _ar,
     "ar_orders": _ar_orders,
     "ar_orders_long": across_chunks(_ar_orders),

@@ -13,10 +13,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidebars.operators.features import scale_moments
+from tidebars.session import stage
 
 
 def _cross_products(columns: list[str], by: str, shift: np.ndarray, scale: np.ndarray):
@@ -113,29 +116,56 @@ def solve_ridge(gram: np.ndarray, features: list[int], alpha: float) -> Fit:
 
 def solve_lasso(gram: np.ndarray, features: list[int], alpha: float, sweeps: int = 1000, tol: float = 1e-7) -> Fit:
     """Minimises |y - Xw|^2 / 2n + alpha |w|_1 by coordinate descent."""
+    return solve_lassos(gram, features, [alpha], sweeps, tol)[0]
+
+
+def solve_lassos(gram: np.ndarray, features: list[int], alphas: list[float], sweeps: int = 1000, tol: float = 1e-7) -> list[Fit]:
+    """:func:`solve_lasso` for many penalties, all stepped together."""
     a, b, sd, mean, _ = _standardised(gram, features)
-    beta, left = np.zeros(len(features)), b.copy()
+    alpha = np.asarray(alphas, float)
+    beta, left = np.zeros((len(features), len(alpha))), np.repeat(b[:, None], len(alpha), axis=1)
     for _ in range(sweeps):
         largest = 0.0
         for j in range(len(features)):
-            old = beta[j]
-            pull = left[j] + a[j, j] * old
-            new = np.sign(pull) * max(abs(pull) - alpha, 0.0) / a[j, j] if a[j, j] > 0 else 0.0
-            if new != old:
-                left -= a[:, j] * (new - old)
-                beta[j] = new
-                largest = max(largest, abs(new - old))
+            if a[j, j] <= 0:
+                continue
+            pull = left[j] + a[j, j] * beta[j]
+            move = np.sign(pull) * np.maximum(np.abs(pull) - alpha, 0.0) / a[j, j] - beta[j]
+            if move.any():
+                left -= a[:, j, None] * move
+                beta[j] += move
+                largest = max(largest, float(np.abs(move).max()))
         if largest < tol:
             break
-    return _fit_from(beta, gram, features, sd, mean, None)
+    return [_fit_from(column, gram, features, sd, mean, None) for column in beta.T]
 
 
-def solve_pca(gram: np.ndarray, features: list[int], components: int, solver: str = "linear", alpha: float = 0.0, level: float | None = None) -> Fit:
-    """Regression on the leading principal components of the scaled features."""
+class OncePerBlock:
+    """``work`` of a cross-product matrix and features, done once for each matrix: grids ask for the same one again and again."""
+
+    def __init__(self, work):
+        self.work, self.known = work, {}
+
+    def __call__(self, gram: np.ndarray, features: list[int]):
+        key = (gram.tobytes(), tuple(features))
+        if key not in self.known:
+            self.known[key] = self.work(gram, features)
+        return self.known[key]
+
+
+def _principal(gram: np.ndarray, features: list[int]):
+    """The scaled system of :func:`_standardised` with its principal components, largest first."""
     a, b, sd, mean, n = _standardised(gram, features)
     values, vectors = np.linalg.eigh(a)
-    order = np.argsort(values)[::-1][:components]
-    values, vectors = np.maximum(values[order], 1e-15), vectors[:, order]
+    order = np.argsort(values)[::-1]
+    return values[order], vectors[:, order], b, sd, mean, n
+
+
+def solve_pca(gram: np.ndarray, features: list[int], components: int, solver: str = "linear", alpha: float = 0.0, level: float | None = None,
+              principal=_principal) -> Fit:
+    """Regression on the leading principal components of the scaled features."""
+    values, vectors, b, sd, mean, n = principal(gram, features)
+    values, vectors = np.maximum(values[:components], 1e-15), vectors[:, :components]
     pull = vectors.T @ b  # components are orthogonal: one equation each
     if solver == "ridge":
         gamma = pull / (values + alpha / n)
@@ -147,17 +177,59 @@ def solve_pca(gram: np.ndarray, features: list[int], components: int, solver: st
     return Fit(fit.weights, components)
 
 
-def independent(a: np.ndarray, spread: np.ndarray, exact: float = 1e-9) -> list[int]:
-    """Places of columns, in order, that are neither constant nor given by the kept ones before them."""
-    kept: list[int] = []
-    for j in range(len(a)):
-        if spread[j] <= 0:
+GROUP = 64  # triangles combined in one task
+
+
+def triangle(df: DataFrame, columns: list[str], shift: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """The triangular factor of ``[1, columns]`` over complete rows, in units of ``shift`` and ``scale``.
+
+    Every task reduces its rows to one small triangle; triangles are stacked and reduced in groups of GROUP, level by level, until one is
+    left.  Unlike cross products this doesn't square the condition of the columns.
+    """
+    k = len(columns) + 1
+
+    def reduced(z: np.ndarray) -> np.ndarray:
+        out = np.zeros((k, k))
+        r = np.linalg.qr(z, mode="r")
+        out[:len(r)] = r
+        return out
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r = np.zeros((0, k))
+        for batch in batches:
+            z = np.column_stack([np.ones(batch.num_rows), *[c.to_numpy(zero_copy_only=False) for c in batch.columns]])
+            z[:, 1:] = (z[:, 1:] - shift) / scale
+            r = reduced(np.concatenate([r, z]))
+        if len(r):
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([r.ravel().tolist()])], names=["part", "r"])
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        r = reduced(np.concatenate([np.asarray(x, float).reshape(-1, k) for x in pdf["r"]]))
+        return pd.DataFrame({"part": [int(pdf["part"].iloc[0]) // GROUP], "r": [r.ravel().tolist()]})
+
+    complete = df.select(*[F.col(c).cast("double") for c in columns]).na.drop()
+    parts = stage(complete.mapInArrow(rows, "part bigint, r array<double>"))
+    while (left := parts.count()) > 1:
+        high = parts.agg(F.max("part")).first()[0]
+        parts = parts.groupBy(F.expr(f"part div {GROUP}").alias("_to")).applyInPandas(merge, "part bigint, r array<double>")
+        parts = stage(parts) if high >= GROUP or left > GROUP else parts
+        if high < GROUP:
+            break
+    row = parts.first()
+    return np.zeros((k, k)) if row is None else np.asarray(row["r"], float).reshape(k, k)
+
+
+def independent(r: np.ndarray, features: list[int], exact: float = 1e-12) -> list[int]:
+    """Of columns ``features`` of a triangle, in order, those that are neither constant nor given by the constant and the kept ones before."""
+    kept: list[int] = [0]
+    for j in features:
+        own = np.linalg.norm(r[1:, j])  # without what the constant explains
+        if own <= exact * max(1.0, np.linalg.norm(r[:, j])):
             continue
-        pull = a[kept, j]
-        share = float(pull @ np.linalg.lstsq(a[np.ix_(kept, kept)], pull, rcond=1e-12)[0]) if kept else 0.0
-        if a[j, j] - share > exact:
+        rest = np.linalg.qr(r[:, [*kept, j]], mode="r")[len(kept), len(kept)]
+        if abs(rest) > exact * np.linalg.norm(r[:, j]):
             kept.append(j)
-    return kept
+    return kept[1:]
 
 
 def eliminate(gram: np.ndarray, features: list[int], keep: int) -> tuple[list[int], dict[int, int]]:

@@ -10,9 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidebars.operators.features import scale_moments
+from tidebars.operators.moments import triangle
 from tidebars.session import only_row
 
 _BINS = 2048
+EXACT_QR = 1e-12  # of a column's length, left by the others: rounding
 WIDE = 12  # columns up to which pairs are built-in aggregates
 EXACT = 1e-9  # unexplained share of a column's variance under which it counts as given by the others
 
@@ -260,24 +263,30 @@ def corr_select(df: DataFrame, features: list[str], target: str, at_least: float
 def vif(df: DataFrame, columns: list[str]) -> DataFrame:
     """Variance inflation factors, with a constant: 1 / (1 - R^2) of each column on the others.
 
-    Infinite for a column that the others give exactly, NULL for a constant one.  The correlations, a number for each
-    pair of columns, come from one distributed pass over the complete rows.
+    Infinite for a column that the others give exactly, NULL for a constant one.  From a triangular factor that the tasks make together over
+    the complete rows: near-collinear columns are told from collinear ones.
     """
     complete = df.select(*[F.col(c).cast("double") for c in columns]).na.drop()
-    matrix, at = np.full((len(columns),) * 2, np.nan), {c: i for i, c in enumerate(columns)}
-    for x, y, r in correlations(complete, columns, columns).collect():
-        if r is not None:
-            matrix[at[x], at[y]] = r
-    live = [i for i in range(len(columns)) if not np.isnan(matrix[i, i])]
+    known = scale_moments(complete, columns)
+    shift, scale = (np.array([known[c][i] or float(i) for c in columns]) for i in (0, 1))
+    r = triangle(complete, columns, shift, scale)[1:, 1:]  # centred: the constant's row and column left out
     out: list[tuple[str, float | None]] = []
+    size = np.linalg.norm(r, axis=0)
+    live = [i for i in range(len(columns)) if known[columns[i]][1] and size[i] > 0]
     for i, c in enumerate(columns):
-        others = [j for j in live if j != i]
         if i not in live:
             out.append((c, None))
             continue
-        pull = matrix[others, i]
-        share = float(pull @ np.linalg.lstsq(matrix[np.ix_(others, others)], pull, rcond=1e-10)[0]) if others else 0.0
-        out.append((c, float("inf") if share > 1 - EXACT else 1.0 / (1.0 - share)))
+        others = [j for j in live if j != i]
+        unit = r[:, others] / size[others]
+        own = r[:, i] / size[i]
+        if others:
+            left, values, _ = np.linalg.svd(unit, full_matrices=False)
+            basis = left[:, values > EXACT_QR * values[0]]
+            own = own - basis @ (basis.T @ own)
+            own = own - basis @ (basis.T @ own)
+        rest = float(own @ own)
+        out.append((c, float("inf") if rest < EXACT_QR ** 2 else 1.0 / rest))
     return df.sparkSession.createDataFrame(out, "feature string, vif double")
 
 

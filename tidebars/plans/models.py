@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidebars.operators import moments as M
-from tidebars.operators.features import ROW, fold_starts, with_fold
+from tidebars.operators.features import ROW, fold_starts, scale_moments, with_fold
 from tidebars.operators.monitor import bic, rmse, squared_error
-from tidebars.session import only_row
+from tidebars.session import only_row, shared_dir
 
 # Parameter grids.
 ALPHAS = np.logspace(-4, 4, 50).tolist()
@@ -38,24 +42,27 @@ def _grid(kind: str, n_features: int, zero: float, unit: float = 1.0) -> list[tu
     if kind == "linear":
         return [({"intercept": i}, lambda g, f, v=v: M.solve_linear(g, f, v)) for i, v in levels]
     if kind == "lasso":
-        return [({"alpha": a}, lambda g, f, a=a: M.solve_lasso(g, f, a / unit)) for a in ALPHAS]
+        path = M.OncePerBlock(lambda g, f: M.solve_lassos(g, f, [a / unit for a in ALPHAS]))
+        return [({"alpha": a}, lambda g, f, i=i: path(g, f)[i]) for i, a in enumerate(ALPHAS)]
     if kind == "ridge":
         return [({"alpha": a}, lambda g, f, a=a: M.solve_ridge(g, f, a)) for a in ALPHAS]
+    axes = M.OncePerBlock(M._principal)
     if kind == "pca_linear":
         return [
-            ({"components": k, "intercept": i}, lambda g, f, k=k, v=v: M.solve_pca(g, f, k, "linear", 0.0, v))
+            ({"components": k, "intercept": i}, lambda g, f, k=k, v=v: M.solve_pca(g, f, k, "linear", 0.0, v, axes))
             for k in range(1, min(34, n_features) + 1) for i, v in levels
         ]
     if kind in ("pca_lasso", "pca_ridge"):
         solver = kind.removeprefix("pca_")
         return [
-            ({"components": k, "alpha": a}, lambda g, f, k=k, a=a: M.solve_pca(g, f, k, solver, a / (unit if solver == "lasso" else 1.0)))
+            ({"components": k, "alpha": a}, lambda g, f, k=k, a=a: M.solve_pca(g, f, k, solver, a / (unit if solver == "lasso" else 1.0), None, axes))
             for k in range(1, min(30, n_features) + 1) for a in ALPHAS
         ]
     if kind == "rfe":
         sizes = [k for k in range(16, 21) if k <= n_features] or [max(1, n_features // 2)]
+        left = {k: M.OncePerBlock(lambda g, f, k=k: M.eliminate(g, f, k)[0]) for k in sizes}
         return [
-            ({"keep": k, "intercept": i}, lambda g, f, k=k, v=v: M.solve_linear(g, M.eliminate(g, f, k)[0], v))
+            ({"keep": k, "intercept": i}, lambda g, f, k=k, v=v: M.solve_linear(g, left[k](g, f), v))
             for k in sizes for i, v in levels
         ]
     raise ValueError(f"unknown model kind {kind!r}")
@@ -218,6 +225,81 @@ def _score_next(models, test: DataFrame, evaluator: BicEvaluator) -> tuple[int,
     return index, evaluator.evaluate(model.transform(test))
 
 
+PREFIX = {"forest": "numTrees", "boost": "maxIter"}  # grown tree by tree: the first k trees of a larger model are a model of k trees
+
+
+def prefix_grid_search(
+    df: DataFrame, features: list[str], label: str, kind: str, grid: dict[str, list], n: int, splits: int = 5, threads: int = 4,
+) -> dict:
+    """Best parameters of a forest or a boosted model over expanding folds (``df`` has ``row``), by mean BIC.
+
+    Only the largest number of trees is fitted; smaller numbers are scored from its first trees.  A grid of three numbers of trees
+    takes a third of the fits.  The fits of a fold share its assembled and persisted rows and are started from a few driver threads.
+    """
+    sizes = sorted(grid[PREFIX[kind]])
+    names = [k for k in grid if k != PREFIX[kind]]
+    points = [dict(zip(names, values)) for values in itertools.product(*[grid[k] for k in names])]
+    estimator = RandomForestRegressor if kind == "forest" else GBTRegressor
+    rows = VectorAssembler(inputCols=features, outputCol="features").transform(df).select(ROW, label, "features")
+    totals = {(i, k): 0.0 for i in range(len(points)) for k in sizes}
+    part = n // (splits + 1)
+    for start in fold_starts(n, splits):
+        train = rows.filter(F.col(ROW) < start).persist()
+        test = rows.filter(F.col(ROW).between(start, start + part - 1)).persist()
+        try:
+            n_test = test.count()
+
+            def fitted(params: dict) -> list[float]:
+                model = estimator(labelCol=label, featuresCol="features", seed=42, **{PREFIX[kind]: sizes[-1]}, **params).fit(train)
+                return _prefix_errors(model, test, label, sizes)
+
+            with ThreadPoolExecutor(threads) as pool:
+                for i, errors in enumerate(pool.map(fitted, points)):
+                    for k, mse in zip(sizes, errors):
+                        bic_value = n_test * math.log(max(mse, 1e-300)) + (len(features) + 1) * math.log(n_test)
+                        totals[i, k] -= bic_value / splits
+        finally:
+            train.unpersist()
+            test.unpersist()
+    i, k = max(totals, key=totals.__getitem__)
+    return {"params": {**points[i], PREFIX[kind]: k}, "score": totals[i, k]}
+
+
+def _prefix_errors(model, test: DataFrame, label: str, sizes: list[int]) -> list[float]:
+    """Mean squared error of the first ``sizes`` trees of a model."""
+    if isinstance(model, GBTRegressionModel):
+        errors = model.evaluateEachIteration(test, "squared")
+        return [errors[min(k, len(errors)) - 1] for k in sizes]
+    values = leaf_values(test.sparkSession, model)
+    leaves = model.setLeafCol("_leaf").transform(test).select(F.col(label).cast("double").alias("y"), vector_to_array("_leaf").alias("leaf"))
+
+    def errors_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums, n = np.zeros(len(sizes)), 0
+        for batch in batches:
+            leaf = np.stack(batch["leaf"].to_numpy()).astype(int)
+            running = np.cumsum([values[t][leaf[:, t]] for t in range(leaf.shape[1])], axis=0)
+            sums += [float((((running[k - 1] / k) - batch["y"].to_numpy()) ** 2).sum()) for k in sizes]
+            n += len(batch)
+        yield pd.DataFrame({"k": range(len(sizes)), "part": sums, "n": n})
+
+    parts = leaves.mapInPandas(errors_of, "k int, part double, n long")
+    return [r[0] for r in parts.groupBy("k").agg((F.sum("part") / F.sum("n")).alias("mse")).orderBy("k").select("mse").collect()]
+
+
+def leaf_values(spark: SparkSession, model) -> list[np.ndarray]:
+    """The prediction of every leaf of a forest, tree by tree, in the order of the leaf indices.
+
+    They come from the model's own saved table of nodes; like the model itself they are kept on the driver.
+    """
+    path = f"{shared_dir(spark)}/forest-{uuid.uuid4().hex}"
+    save_model(model, path)
+    nodes = spark.read.parquet(f"{path}/data")
+    leaves = nodes.filter("nodeData.leftChild < 0").groupBy("treeID").agg(
+        F.sort_array(F.collect_list(F.struct("nodeData.id", "nodeData.prediction"))).alias("leaves"))
+    found = {r["treeID"]: np.array([leaf["prediction"] for leaf in r["leaves"]]) for r in leaves.collect()}
+    return [found[t] for t in range(len(found))]
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
@@ -243,29 +325,34 @@ def evaluate_slices(model: PipelineModel, df: DataFrame, label: str) -> DataFram
 def ols_summary(df: DataFrame, features: list[str], label: str) -> DataFrame:
     """Coefficient, standard error, t and p of every feature and the constant.
 
-    Solved from one pass of cross products.  A feature that is constant or given exactly by those before it is
-    left out of the fit and has NULL in all columns.
+    Solved from a triangular factor that the tasks make together, so near-collinear features keep their digits.  A feature that is constant or
+    given exactly by those before it is left out of the fit and has NULL in all columns.
     """
-    stats = M.moments(df.withColumn("block", F.lit(0)), [*features, label], "block")
     spark = df.sparkSession
     schema = "feature string, coef double, std_err double, t double, p double"
-    if not stats.blocks:
-        return spark.createDataFrame([(n, None, None, None, None) for n in [*features, "const"]], schema)
-    gram = stats.blocks[0]
-    a, _, _, mean, n = M._standardised(gram, list(range(1, len(features) + 1)))
-    kept = [1 + j for j in M.independent(a, np.diag(a))]
-    fit = M.solve_linear(gram, kept)
-    free = n - len(kept) - 1
-    spread = M.residual_squares(gram, fit) / free if free > 0 else math.nan
-    inverse = np.linalg.inv(gram[np.ix_([0, *kept], [0, *kept])])
-    weights = fit.weights[[0, *kept]]
+    complete = df.select(*[F.col(c).cast("double") for c in dict.fromkeys([*features, label])]).na.drop()
+    known = scale_moments(complete, [*features, label])
+    n = complete.count()
+    if not n:
+        return spark.createDataFrame([(m, None, None, None, None) for m in [*features, "const"]], schema)
+    shift = np.array([known[c][0] or 0.0 for c in (*features, label)])
+    scale = np.array([known[c][1] or 1.0 for c in (*features, label)])
+    r = M.triangle(complete, [*features, label], shift, scale)
+    kept = M.independent(r, list(range(1, len(features) + 1)))
+    used = [0, *kept]
+    small = np.linalg.qr(r[:, [*used, len(features) + 1]], mode="r")
+    top, right = small[:len(used), :len(used)], small[:len(used), -1]
+    weights = np.linalg.solve(top, right)
+    rest = float(small[len(used), -1] ** 2) if len(small) > len(used) else 0.0
+    free = n - len(used)
+    spread = rest / free if free > 0 else math.nan
     # to data units: slopes by the scales, the constant by all shifts
-    unit = stats.scale[-1]
-    turn = np.diag([unit, *(unit / stats.scale[k - 1] for k in kept)])
-    turn[0, 1:] = [-unit * stats.shift[k - 1] / stats.scale[k - 1] for k in kept]
+    unit = scale[-1]
+    turn = np.diag([unit, *(unit / scale[k - 1] for k in kept)])
+    turn[0, 1:] = [-unit * shift[k - 1] / scale[k - 1] for k in kept]
     coef = turn @ weights
-    coef[0] += stats.shift[-1]
-    errors = np.sqrt(np.diag(turn @ inverse @ turn.T) * spread)
+    coef[0] += shift[-1]
+    errors = np.linalg.norm(turn @ np.linalg.inv(top), axis=1) * math.sqrt(spread) if spread == spread else np.full(len(used), math.nan)
     student = spark._jvm.org.apache.commons.math3.distribution.TDistribution(float(free)) if free > 0 else None
     found = {}
     for name, c, e in zip(["const", *(features[k - 1] for k in kept)], coef.tolist(), errors.tolist()):
