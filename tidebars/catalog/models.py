@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidebars.catalog.common import FINANCIAL, NUM, across_chunks, across_chunks_sql, bars, r, rounded, series, table
+from tidebars.catalog.common import FINANCIAL, NUM, across_chunks, across_chunks_sql, bars, financial, r, rounded, series, table
 from tidebars.functions.schemas import CYCLICAL_COLUMNS
 from tidebars.operators.indicators import TECHNICAL_COLUMNS
 from tidebars.operators import features as X
@@ -141,6 +141,35 @@ def _predict(spark, sf_dir):
     return rounded(rmse(P.predict(model, rows), "close", "prediction", "symbol"))
 
 
+def _split_rows(spark, sf_dir):
+    """Bars with the close before, in time order, by slice."""
+    rows = stage(financial(spark, sf_dir).filter(F.col("pos") > 0).select("symbol", "date_time", "close", "hist_close", "open", "tick_vol"))
+    return X.time_split(X.with_row(rows), rows.count())
+
+
+def _saved_slices(spark, sf_dir):
+    """A model fitted on the training slice, saved, loaded, and scored on the held-out slices."""
+    df = _split_rows(spark, sf_dir)
+    path = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
+    P.save_model(P.linear_pipeline(["hist_close"], "close").fit(df.filter(F.col("slice") == "train")), path)
+    return rounded(P.evaluate_slices(P.load_model(path), df, "close"))
+
+
+def _dropped_slices(spark, sf_dir):
+    """The same of a model of three features, one of them dropped."""
+    df = _split_rows(spark, sf_dir)
+    features = [f for f in ["hist_close", "open", "tick_vol"] if f != "open"]
+    return rounded(P.evaluate_slices(P.linear_pipeline(features, "close").fit(df.filter(F.col("slice") == "train")), df, "close"))
+
+
+def _significant(spark, sf_dir):
+    """The features whose p-value is under 0.05: the price's ten thousands are, the order key has no part in it."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_extendedprice", F.floor(F.col("l_extendedprice") / 10_000).alias("thousands"), (F.col("l_orderkey") % 7).alias("chance"))
+    kept = P.pvalue_select(lines, ["thousands", "chance"], "l_extendedprice")
+    return spark.createDataFrame([(f,) for f in kept], "feature string")
+
+
 def _rfe(spark, sf_dir):
     df, _ = _features(spark, sf_dir)
     return P.rfe(df.filter(F.col("slice") == "train"), FEATURES, "close", 16)
@@ -187,6 +216,9 @@ QUERIES = {
     "linreg_drop_feature": _drop_feature,
     "pvalue_select": _pvalue_select,
     "rfe": _rfe,
+    "saved_slices": _saved_slices,
+    "dropped_slices": _dropped_slices,
+    "significant": _significant,
     # small parts of the full grids: README has the measured seconds of the rest
     "forest": _tree("forest", P.forest_pipeline, {"numTrees": [50, 100], "maxDepth": [10], "minInstancesPerNode": [1]}, 3),
     "gbt": _tree("boost", P.boost_pipeline, {"maxIter": [5, 10, 20], "maxDepth": [3], "stepSize": [0.1, 0.3]}, 5),
@@ -253,3 +285,23 @@ ORACLES |= {
     "ar1_forecast_long": across_chunks_sql(_AR1_ROWS),
     "ar1_error": f"{_AR1} SELECT symbol, count(*) AS n, {r('sqrt(avg((value - forecast) * (value - forecast)))')} AS rmse FROM f GROUP BY symbol",
 }
+
+_SPLIT = f"""WITH {FINANCIAL}, z AS (SELECT *, row_number() OVER (ORDER BY date_time, symbol) - 1 AS position, count(*) OVER () AS n FROM financial WHERE pos > 0),
+    split AS (SELECT *, CASE WHEN position < n - ceil(n * 0.05::DOUBLE) - ceil((n - ceil(n * 0.05::DOUBLE)) * 0.055::DOUBLE) THEN 'train'
+      WHEN position < n - ceil(n * 0.05::DOUBLE) THEN 'val' ELSE 'test' END AS slice FROM z)"""
+_TWO = """covar_pop(x, y) AS a, covar_pop(z, y) AS b, var_pop(x) AS p, var_pop(z) AS q, covar_pop(x, z) AS c, avg(x) AS mx, avg(z) AS mz, avg(y) AS my"""
+_HELD = "SELECT slice, {x} AS rmse FROM split, f WHERE slice <> 'train' GROUP BY slice"
+ORACLES |= {
+    "saved_slices": f"""{_SPLIT}, f AS (SELECT regr_slope(close, hist_close) AS b, regr_intercept(close, hist_close) AS a FROM split WHERE slice = 'train')
+        {_HELD.format(x=r('sqrt(avg(power(close - a - b * hist_close, 2)))'))}""",
+    "dropped_slices": f"""{_SPLIT}, m AS (SELECT {_TWO} FROM (SELECT hist_close AS x, tick_vol AS z, close AS y FROM split WHERE slice = 'train')),
+        f AS (SELECT (a * q - b * c) / (p * q - c * c) AS w1, (b * p - a * c) / (p * q - c * c) AS w2, mx, mz, my FROM m)
+        {_HELD.format(x=r('sqrt(avg(power(close - my - w1 * (hist_close - mx) - w2 * (tick_vol - mz), 2)))'))}""",
+    # t beyond 1.96 is p under 0.05 on so many rows
+    "significant": f"""WITH d AS (SELECT floor(l_extendedprice / 10000)::DOUBLE AS x, (l_orderkey % 7)::DOUBLE AS z, l_extendedprice::DOUBLE AS y FROM lineitem),
+        m AS (SELECT {_TWO}, var_pop(y) AS vy, count(*) AS n FROM d),
+        w AS (SELECT *, (a * q - b * c) / (p * q - c * c) AS w1, (b * p - a * c) / (p * q - c * c) AS w2 FROM m),
+        s AS (SELECT *, (vy - w1 * a - w2 * b) * n / (n - 3) AS s2 FROM w)
+        SELECT 'thousands' AS feature FROM s WHERE abs(w1) / sqrt(s2 * q / (n * (p * q - c * c))) > 1.96
+        UNION ALL SELECT 'chance' FROM s WHERE abs(w2) / sqrt(s2 * p / (n * (p * q - c * c))) > 1.96""",
+}

@@ -82,7 +82,7 @@ QUERIES = {
     "zscore_outliers": _outliers,
     "vif_2": lambda spark, sf_dir: rounded(P.vif(_lines(spark, sf_dir), ["l_quantity", "l_extendedprice"])),
     "vif": lambda spark, sf_dir: P.vif(bars(spark, sf_dir), ["open", "high", "low", "tick_vol"]),
-    "collinearity": lambda spark, sf_dir: P.collinearity_profile(_lines(spark, sf_dir), _COLUMNS),
+    "collinearity": lambda spark, sf_dir: rounded(P.collinearity_profile(_lines(spark, sf_dir), _COLUMNS)),
     "psi_fixed": _psi(10),
     "psi_doane": _psi(None),
     "psi_status": _psi_sides,
@@ -211,3 +211,24 @@ ORACLES = {
     "sliding_monitor": _monitor_sql(
         "SELECT DISTINCT time_bucket(INTERVAL '1 day', date_time) + d * INTERVAL 1 DAY AS window_start FROM scored, (VALUES (0), (-1)) o(d)", 2),
 }
+
+
+def _determinant(rows: list[int], columns: list[int], cell) -> str:
+    """The determinant of a small matrix, written out by its first row."""
+    if not rows:
+        return "1.0"
+    first, rest = rows[0], rows[1:]
+    terms = [f"{'-' if k % 2 else '+'} {cell(first, c)} * ({_determinant(rest, columns[:k] + columns[k + 1:], cell)})" for k, c in enumerate(columns)]
+    return " ".join(terms)
+
+
+def _cell(i: int, j: int) -> str:
+    return "1.0" if i == j else f"r{min(i, j)}{max(i, j)}"
+
+
+_ALL = list(range(len(_COLUMNS)))
+_PAIRS = [(i, j) for i in _ALL for j in _ALL if i < j]
+ORACLES["collinearity"] = "WITH c AS (SELECT " + ", ".join(f"corr({_COLUMNS[i]}, {_COLUMNS[j]}) AS r{i}{j}" for i, j in _PAIRS) + " FROM lineitem) " + " UNION ALL ".join(
+    f"SELECT '{_COLUMNS[i]}' AS feature, {r('greatest(' + ', '.join(f'abs({_cell(i, j)})' for j in _ALL if j != i) + ')')} AS max_abs_r, "
+    + r(f"({_determinant([j for j in _ALL if j != i], [j for j in _ALL if j != i], _cell)}) / ({_determinant(_ALL, _ALL, _cell)})") + " AS vif FROM c"
+    for i in _ALL)
