@@ -280,3 +280,20 @@ def test_folders_merge_and_late_bars_are_kept_once(spark, walk, tmp_path):
     assert load.hourly_load(spark, folder, bars, ["sma"], fan=2) is None  # known as late by now
     keys = sorted(r["fin_key"] for r in load.loaded(spark, folder, "financial").collect())
     assert keys == list(range(1, 120))
+
+
+def test_marks_of_articles_may_have_attributes(spark):
+    html = '<ARTICLE id="x"><H1 class="t">A</H1 ><p lang="en">one<p>two</article>'
+    pages = spark.createDataFrame([(1, "u", html)], "page_id bigint, url string, html string")
+    assert [(r["title"], r["summary"]) for r in news.page_articles(pages).collect()] == [("A", "one")]
+
+
+def test_batches_are_scored_once_and_keys_go_on(spark, walk, tmp_path):
+    path, bars = str(tmp_path / "scored"), walk(80, ("a", "b")).withColumn("hist_close", F.col("open"))
+    model = P.linear_pipeline(["hist_close"], "close").fit(bars)
+    early = F.col("date_time") < F.lit("2024-01-02").cast("timestamp_ntz")
+    for part in (bars.filter(early), bars.filter(early), bars):
+        scoring.score_batch(model, part, path)
+    rows = spark.read.parquet(path).collect()
+    first = schemas.FIRST_PREDICTION_KEY
+    assert sorted(r["pred_key"] for r in rows) == list(range(first, first + 160)) and len({(r["symbol"], r["date_time"]) for r in rows}) == 160

@@ -100,15 +100,15 @@ def extract_articles(pages: DataFrame, column: str = "html") -> DataFrame:
 
 
 def page_articles(pages: DataFrame) -> DataFrame:
-    """All articles of pages that mark them with ``article`` (with or without attributes), ``h1`` and ``p``.
+    """All articles of pages that mark them with ``article``, ``h1`` and ``p``, in any case and with or without attributes.
 
     Built-in expressions throughout: heading, first paragraph, page address.  An article that a page cut
     off does not close ends with the page.
     """
     inner = F.col("_article")
-    heading = F.regexp_extract(inner, r"(?s)<h1>(.*?)</h1>", 1)
-    paragraph = F.regexp_extract(inner, r"(?s)<p>(.*?)</?p>", 1)
-    each = F.regexp_extract_all("html", F.lit(r"(?s)<article(?:\s[^>]*)?>(.*?)(?:</article>|\z)"), 1)
+    heading = F.regexp_extract(inner, r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>", 1)
+    paragraph = F.regexp_extract(inner, r"(?is)<p(?:\s[^>]*)?>(.*?)(?:</p\s*>|<p[\s>])", 1)
+    each = F.regexp_extract_all("html", F.lit(r"(?is)<article(?:\s[^>]*)?>(.*?)(?:</article\s*>|\z)"), 1)
     return pages.withColumn("_article", F.explode(each)).select(
         "page_id",
         F.nullif(heading, F.lit("")).alias("title"),

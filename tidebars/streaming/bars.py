@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidebars.functions import schemas
-from tidebars.plans.scoring import score_new
-from tidebars.sources.tables import append_new, append_rows, stored_rows
+from tidebars.plans.scoring import score_batch
+from tidebars.sources.tables import append_new
 
 
 def tick_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -73,8 +72,7 @@ def scoring_sink(model: PipelineModel, path: str) -> Callable[[DataFrame, int],
     """Predict the rows of a batch that have no prediction and append them."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        stored = stored_rows(batch.sparkSession, path, schemas.PREDICTIONS)
-        append_rows(score_new(model, batch, stored), path)
+        score_batch(model, batch, path)
 
     return each
 
