@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -383,3 +384,11 @@ def test_few_vectors_are_verified_and_nearly_all_neighbours_found(spark, folder)
         verified.append(found["n_verified"].iloc[0])
     assert hits / len(got) > 0.95
     assert np.mean(verified) < 0.2 * len(ids)
+
+
+def test_windows_find_the_text_without_marks(spark):
+    """Where the article isn't marked the windows give the same text, but for a page that begins with many short lines."""
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("html").collect()]
+    plain = [re.sub(r"(</?)(article|main)\b", r"\1div", p or "") for p in pages]
+    other = sum(main_text(p) != main_text(q) for p, q in zip(pages, plain))
+    assert sum(p != q for p, q in zip(pages, plain)) > 0.9 * len(pages) and other <= len(pages) / 1000

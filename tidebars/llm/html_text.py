@@ -196,13 +196,16 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 
 
 def surges(weights: np.ndarray, links: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """Runs of lines from each surge of the window sums to the dive after it; a sum under ``SURGE`` must outweigh its links."""
+    """Runs of lines from each surge of the window sums to the dive after it; a sum under ``SURGE`` must outweigh its links.
+
+    Up to ``WINDOW`` lines of unlinked text right before a surge, headings and the like, belong to it.
+    """
     n = len(weights)
     ends = np.minimum(np.arange(n) + WINDOW, n)
     total, linked = (np.concatenate([[0], np.cumsum(x)]) for x in (weights, links))
     sums, beside = total[ends] - total[:-1], linked[ends] - linked[:-1]  # of the windows that begin at each line
     begins = (weights > 0) & (sums >= least) & ((sums >= SURGE) | (sums >= beside))
-    out, i = [], 0
+    out, i, done = [], 0, 0
     while i < n:
         if not begins[i]:
             i += 1
@@ -210,22 +213,31 @@ def surges(weights: np.ndarray, links: np.ndarray, least: float) -> list[tuple[i
         j = i
         while j < n and sums[j] > 0:
             j += 1
-        out.append((i, j))
-        i = j
+        first = i
+        while first > max(done, i - WINDOW) and weights[first - 1] > 0 and not links[first - 1]:
+            first -= 1
+        out.append((first, j))
+        i = done = j
     return out
 
 
 def main_text(page: str | None) -> str:
-    """The text of a page's article, blocks joined by one space; empty if there is none."""
+    """The text of a page's article, blocks joined by one space; empty if there is none.
+
+    The windows decide on every page. In a marked article that holds most of the text every line weighs a surge more, also one that is a link,
+    and lines outside of it weigh nothing.
+    """
     lines = [line for line in lines_of(page or "") if line[0]]
     weights = np.array([weight for _, weight, _ in lines], np.int64)
     inside = np.array([inside for _, _, inside in lines], bool)
-    if inside.any() and 2 * weights[inside].sum() >= weights.sum():  # in a marked article every line counts, also one that is a link
-        return " ".join(text for text, _, inside in lines if inside)
+    links = np.array([len(text) for text, _, _ in lines], np.int64) - weights
+    marked = inside.any() and 2 * weights[inside].sum() >= weights.sum()
+    if marked:
+        weights, links = np.where(inside, weights + SURGE, 0), np.where(inside, 0, links)
     if not weights.any():
         return ""
-    links = np.array([len(text) for text, _, _ in lines], np.int64) - weights
-    return " ".join(lines[i][0] for a, b in surges(weights, links, min(SURGE, weights[weights > 0].mean())) for i in range(a, b))
+    runs = surges(weights, links, min(SURGE, weights[weights > 0].mean()))
+    return " ".join(lines[i][0] for a, b in runs for i in range(a, b) if inside[i] or not marked)
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
