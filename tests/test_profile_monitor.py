@@ -208,3 +208,25 @@ def test_density_by_nodes_is_that_of_the_values(spark):
         want = np.exp(-0.5 * ((x[:, None] - values) / h) ** 2).mean(axis=1) / (h * np.sqrt(2 * np.pi))
         top = 1 / (h * np.sqrt(2 * np.pi))
         assert np.abs(np.array([r[name] for r in got]) - want).max() < 6e-9 * top
+
+
+@pytest.mark.parametrize("margin", [0.003, 0.0, -0.2, 0.5])
+def test_quantiles_are_exact_whatever_the_sketch_says(spark, monkeypatch, margin):
+    """Narrow, missing and wide brackets; ties, infinite values, NaN and nulls."""
+    monkeypatch.setattr(profile, "MARGIN", margin)
+    monkeypatch.setattr(profile, "SKETCH", 8)
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=3000), np.round(rng.exponential(3, 3000))
+    a[:3], b[:40] = [np.inf, -np.inf, np.nan], 7.0
+    rows = [(float(x), None if i % 5 == 0 else float(y), 2.0) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(6)
+    got = profile.quantiles(df, ["a", "b", "c"], (0.0, 0.01, 0.25, 0.5, 0.9, 1.0))
+    whole = np.sort(a)  # NaN last
+    kept = b[np.arange(3000) % 5 != 0]
+    for values, found in ((whole, got["a"]), (kept, got["b"]), (np.full(9, 2.0), got["c"])):
+        at = np.array([0.0, 0.01, 0.25, 0.5, 0.9, 1.0]) * (len(values) - 1)
+        values = np.sort(values)
+        low, high = values[np.floor(at).astype(int)], values[np.ceil(at).astype(int)]
+        with np.errstate(invalid="ignore"):
+            want = np.where(low == high, low, low + (high - low) * (at - np.floor(at)))
+        assert np.allclose(found, want, rtol=1e-12, equal_nan=True)

@@ -7,6 +7,9 @@ with is compared with the state the chunk before it ended with.  Chunks where
 they differ are run again from the state handed over, until all agree.  The
 result is exactly that of one pass over the whole symbol, and no task ever holds
 more than one chunk.
+
+A round reads a row of states per chunk and writes only the chunks it has run: the others are never rewritten.  There are as many rounds as
+chunks in a row through which runs from two states stay apart, which needs a market that doesn't move for chunks on end.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidebars.operators.layout import CHUNK, HALO_FLAG, POS, Series
-from tidebars.session import cut
+from tidebars.session import stage
 
 COLUMNS = ["trend_psar_up", "trend_psar_down", "trend_psar_up_indicator", "trend_psar_down_indicator"]
 
@@ -76,9 +79,11 @@ def _run_chunk(pdf: pd.DataFrame, step: float, cap: float, given: tuple | None)
     out = pdf.copy()
     for name, values in zip(COLUMNS, zip(*rows) if rows else ([], [], [], [])):
         out[name] = pd.array(values, dtype="Float64")
-    out["_start"] = [list(start) if start is not None else None] * len(out)
-    out["_end"] = [list(state) if state is not None else None] * len(out)
-    return out[~out[HALO_FLAG]]
+    out = out[~out[HALO_FLAG]]
+    last = np.arange(len(out)) == len(out) - 1  # the states stand beside the last row alone
+    out["_start"] = pd.Series([list(start) if end and start is not None else None for end in last], index=out.index, dtype=object)
+    out["_end"] = pd.Series([list(state) if end else None for end in last], index=out.index, dtype=object)
+    return out
 
 
 def psar(series: Series, step: float = 0.02, cap: float = 0.2) -> Series:
@@ -95,28 +100,34 @@ def psar(series: Series, step: float = 0.02, cap: float = 0.2) -> Series:
     def guess(pdf):
         return _run_chunk(pdf, step, cap, None)
 
-    done = cut_if(slim.groupBy(symbol, CHUNK).applyInPandas(guess, schema), series)
-
-    while series.longest > series.chunk_rows:
-        wrong = cut(_handed_over(done, symbol))
-        if wrong.isEmpty():
-            break
-        again = (
-            slim.join(wrong, [symbol, CHUNK])
-            .groupBy(symbol, CHUNK)
-            .applyInPandas(_rerun(step, cap), schema)
-        )
-        right = done.join(wrong, [symbol, CHUNK], "left_anti")
-        done = cut(right.unionByName(again))
-
-    columns = done.select(symbol, series.ts, *COLUMNS)
+    base = slim.groupBy(symbol, CHUNK).applyInPandas(guess, schema)
+    if series.longest > series.chunk_rows:
+        base = _agreed(stage(base), slim, symbol, step, cap, schema)
+    columns = base.select(symbol, series.ts, *COLUMNS)
     joined = series.body().select(*kept, POS, CHUNK, HALO_FLAG).join(columns, [symbol, series.ts])
     return replace(series, df=joined)
 
 
-def cut_if(df: DataFrame, series: Series) -> DataFrame:
-    """A single chunk per symbol needs no comparison and so no checkpoint."""
-    return cut(df) if series.longest > series.chunk_rows else df
+def _states(done: DataFrame, symbol: str, number: int) -> DataFrame:
+    """A row per chunk: the states its run started and ended with, and the round it was run in."""
+    return done.filter(F.col("_end").isNotNull()).select(symbol, CHUNK, "_start", "_end", F.lit(number).alias("_round"))
+
+
+def _agreed(base: DataFrame, slim: DataFrame, symbol: str, step: float, cap: float, schema: T.StructType) -> DataFrame:
+    """Rows of runs that each start where the one before has ended."""
+    keys = [symbol, CHUNK]
+    rounds, states = [base], stage(_states(base, symbol, 0))
+    while True:
+        wrong = stage(_handed_over(states, symbol))
+        if wrong.isEmpty():
+            break
+        again = stage(slim.join(wrong, keys).groupBy(*keys).applyInPandas(_rerun(step, cap), schema))
+        states = stage(states.join(wrong, keys, "left_anti").unionByName(_states(again, symbol, len(rounds))))
+        rounds.append(again)
+    out = rounds[0].join(states.filter("_round = 0"), keys, "left_semi") if len(rounds) > 1 else rounds[0]
+    for number, rows in enumerate(rounds[1:], 1):
+        out = out.unionByName(rows.join(states.filter(F.col("_round") == number), keys, "left_semi"))
+    return out
 
 
 def _rerun(step: float, cap: float):
@@ -127,9 +138,8 @@ def _rerun(step: float, cap: float):
     return run
 
 
-def _handed_over(done: DataFrame, symbol: str) -> DataFrame:
+def _handed_over(states: DataFrame, symbol: str) -> DataFrame:
     """Chunks whose starting state is not the end state of the chunk before."""
-    states = done.groupBy(symbol, CHUNK).agg(F.first("_start").alias("_start"), F.first("_end").alias("_end"))
     ends = states.select(symbol, (F.col(CHUNK) + 1).alias(CHUNK), F.col("_end").alias("_given"))
     both = states.join(ends, [symbol, CHUNK])
     return both.filter(~F.col("_start").eqNullSafe(F.col("_given"))).select(symbol, CHUNK, "_given")

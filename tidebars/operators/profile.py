@@ -7,12 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from tidebars.operators.features import scale_moments
 from tidebars.operators.moments import triangle
-from tidebars.session import only_row
+from tidebars.session import only_row, stage
 
 _BINS = 2048
 EXACT_QR = 1e-12  # of a column's length, left by the others: rounding
@@ -60,38 +60,92 @@ def count_rows(df: DataFrame, key: str) -> DataFrame:
 # --- quantiles ---------------------------------------------------------------
 
 
+SKETCH = 4000  # size of a quantile sketch: its ranks are off by a thousandth at most, but for a chance of one in a hundred
+MARGIN = 0.003  # of all values, on either side of a wanted rank
+
+
 def quantiles(df: DataFrame, columns: list[str], probs: tuple[float, ...]) -> dict[str, list[float | None]]:
-    """Exact, linearly interpolated quantiles; NaN is the greatest value, nulls don't count.
+    """Exact, linearly interpolated quantiles; NaN is the greatest value, nulls don't count."""
+    return _quantiles(df, columns, probs, [])[0]
+
+
+def _quantiles(df: DataFrame, columns: list[str], probs: tuple[float, ...], more: list[Column]) -> tuple[dict[str, list[float | None]], Row]:
+    """:func:`quantiles`, and the values of other aggregates ``more``, in two scans.
 
-    The wanted ranks are narrowed down: count the values of all columns in equal bins, keep the bins that hold a
-    wanted rank, and repeat inside them, one job a round.  Nothing grows with the rows but the scan.
+    The first makes a mergeable sketch of each column, which brackets every wanted rank. The second counts what lies below the
+    brackets and sets the few values inside apart, a table on which the exact ranks are narrowed down (:func:`_order_statistics`). If a sketch has
+    missed, all values are set apart: what is exact never rests on the sketch.
     """
-    long = long_form(df, columns).where("value IS NOT NULL")
-    finite = (~F.isnan("value")) & (F.abs("value") < float("inf"))
-    sizes = long.groupBy("feature").agg(
-        F.count(F.when(F.col("value") == float("-inf"), 1)).alias("n_low"), F.count(F.when(finite, 1)).alias("n"),
-        F.count(F.when(F.col("value") == float("inf"), 1)).alias("n_high"), F.count("value").alias("n_all"),
-        F.min(F.when(finite, F.col("value"))).alias("low"), F.max(F.when(finite, F.col("value"))).alias("high"),
-    ).collect()
-    places, wanted, ends = {}, {}, {}
-    for r in sizes:
-        c = r["feature"]
-        places[c] = [p * (r["n_all"] - 1) for p in probs]
+    kinds = {}
+    for i, c in enumerate(columns):
+        v = F.col(c).cast("double")
+        kinds[c] = (v, (~F.isnan(v)) & (F.abs(v) < float("inf")))
+    first = []
+    for i, (v, finite) in enumerate(kinds.values()):
+        inside = F.when(finite, v)
+        first.append(F.struct(
+            F.count(F.when(v == float("-inf"), 1)).alias("n_low"), F.count(inside).alias("n"), F.count(F.when(v == float("inf"), 1)).alias("n_high"),
+            F.count(v).alias("n_all"), F.min(inside).alias("low"), F.max(inside).alias("high"),
+            F.kll_sketch_agg_double(inside, F.lit(SKETCH)).alias("sketch")).alias(f"_q{i}"))
+    row = only_row(df.agg(*first, *more))
+    places, ends, brackets = {}, {}, []  # a bracket: column, its first finite rank wanted, low, high
+    for i, c in enumerate(columns):
+        own = row[f"_q{i}"]
+        places[c] = [p * (own["n_all"] - 1) for p in probs] if own["n_all"] else []
         ranks = sorted({f(h) for h in places[c] for f in (math.floor, math.ceil)})
-        ends[c] = {k: -math.inf if k < r["n_low"] else math.inf if k < r["n_low"] + r["n"] + r["n_high"] else math.nan for k in ranks}
-        inside = [k - r["n_low"] for k in ranks if r["n_low"] <= k < r["n_low"] + r["n"]]
-        if inside:
-            wanted[c] = (r["low"], r["high"], r["n_low"], inside)
-    for c, found in _order_statistics(long.where(finite), wanted).items():
-        ends[c].update({k + wanted[c][2]: v for k, v in found.items()})
+        ends[c] = {k: -math.inf if k < own["n_low"] else math.inf if k < own["n_low"] + own["n"] + own["n_high"] else math.nan for k in ranks}
+        brackets += [(c, k - own["n_low"], own) for k in ranks if own["n_low"] <= k < own["n_low"] + own["n"]]
+    for (c, k, _), value in zip(brackets, _ranked(df, kinds, brackets)):
+        ends[c][k + row[f"_q{columns.index(c)}"]["n_low"]] = value
     out = {}
     for c in columns:
         values = []
-        for h in places.get(c, []):
+        for h in places[c]:
             a, b = ends[c][math.floor(h)], ends[c][math.ceil(h)]
             values.append(a if a == b else a + (b - a) * (h - math.floor(h)))
         out[c] = values or [None] * len(probs)
-    return out
+    return out, row
+
+
+def _ranked(df: DataFrame, kinds: dict, wanted: list[tuple]) -> list[float]:
+    """The values at ranks among the finite values of columns: ``wanted`` has column, rank and what the first scan knows of the column."""
+    if not wanted:
+        return []
+    spark = df.sparkSession
+    asked = [F.array(*[F.kll_sketch_get_quantile_double(F.lit(bytes(own["sketch"])), F.lit(min(1.0, max(0.0, (k + s) / max(1, own["n"] - 1) + s * MARGIN))))
+                       for s in (-1, 1)]).alias(f"b{i}") for i, (_, k, own) in enumerate(wanted)]
+    found = only_row(spark.range(1).select(*asked))
+    ranges = {}
+    for i, (c, k, own) in enumerate(wanted):
+        low, high = found[f"b{i}"]
+        # the ends of all values are no guess
+        ranges.setdefault((c, own["low"] if k <= own["n"] * MARGIN + 1 else low, own["high"] if k >= own["n"] * (1 - MARGIN) - 2 else high), []).append(k)
+    listed = list(ranges)
+    watch = Observation()
+    below = [F.count(F.when(kinds[c][1] & (kinds[c][0] < low), 1)).alias(f"n{i}") for i, (c, low, _) in enumerate(listed)]
+    parts = F.explode(F.array(*[F.struct(F.lit(str(i)).alias("feature"), F.when(kinds[c][1] & kinds[c][0].between(low, high), kinds[c][0]).alias("value"))
+                                for i, (c, low, high) in enumerate(listed)]))
+    near = stage(df.observe(watch, *below).select(parts.alias("_p")).select("_p.*").where("value IS NOT NULL"))
+    under = watch.get
+    sizes = {r["feature"]: r for r in near.groupBy("feature").agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).collect()}
+    inside = {}
+    for i, key in enumerate(listed):
+        own, ranks = sizes.get(str(i)), [k - under[f"n{i}"] for k in ranges[key]]
+        if own is None or min(ranks) < 0 or max(ranks) >= own["n"]:
+            return _all_ranked(df, kinds, wanted)
+        inside[str(i)] = (own["low"], own["high"], 0, ranks)
+    values = _order_statistics(near, inside)
+    return [values[str(i)][k - under[f"n{i}"]] for c, k, _ in wanted for i, key in enumerate(listed) if key[0] == c and k in ranges[key]]
+
+
+def _all_ranked(df: DataFrame, kinds: dict, wanted: list[tuple]) -> list[float]:
+    """:func:`_ranked` with every value in the brackets."""
+    long = long_form(df, list(kinds)).where((~F.isnan("value")) & (F.abs("value") < float("inf")))
+    asked: dict[str, tuple] = {}
+    for c, k, own in wanted:
+        asked.setdefault(c, (own["low"], own["high"], 0, []))[3].append(k)
+    values = _order_statistics(long, asked)
+    return [values[c][k] for c, k, _ in wanted]
 
 
 def _order_statistics(long: DataFrame, wanted: dict[str, tuple]) -> dict[str, dict[int, float]]:
@@ -131,19 +185,18 @@ def _order_statistics(long: DataFrame, wanted: dict[str, tuple]) -> dict[str, di
 
 def describe_t(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, std, min, quartiles, max; one row per column."""
-    quartiles = quantiles(df, columns, (0.25, 0.5, 0.75))
-    stats = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-                F.stddev(c).alias("std"), F.min(c).cast("double").alias("min"),
-                *[F.lit(q).cast("double").alias(name) for q, name in zip(quartiles[c], ("q25", "q50", "q75"))],
-                F.max(c).cast("double").alias("max"),
-            ).alias(c)
-            for c in columns
-        ]
-    )
-    return stats.select(F.inline(F.array(*columns)))
+    stats = [
+        F.struct(F.count(c).alias("count"), F.avg(c).cast("double").alias("mean"), F.stddev(c).alias("std"), F.min(c).cast("double").alias("min"),
+                 F.max(c).cast("double").alias("max")).alias(f"_s{i}")
+        for i, c in enumerate(columns)
+    ]
+    quartiles, row = _quantiles(df, columns, (0.25, 0.5, 0.75), stats)
+    rows = []
+    for i, c in enumerate(columns):
+        own = row[f"_s{i}"]
+        rows.append((c, own["count"], own["mean"], own["std"], own["min"], *quartiles[c], own["max"]))
+    return df.sparkSession.createDataFrame(
+        rows, "feature string, count bigint, mean double, std double, min double, q25 double, q50 double, q75 double, max double")
 
 
 def boxplot_stats(df: DataFrame, columns: list[str], reach: float = 1.5) -> DataFrame:
