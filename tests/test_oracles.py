@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, at the smallest scale and chunk size."""
+"""Every registered query against its SQL, at the smallest scale; the ``_long`` ones cross many chunks."""
 
 import os
 import sys
