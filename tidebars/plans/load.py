@@ -77,7 +77,7 @@ def _context(spark: SparkSession, folder: str, before: runs.Manifest, carry: Dat
 
 def _late(spark: SparkSession, folder: str, before: runs.Manifest, old: DataFrame) -> DataFrame | None:
     """Of the landed bars that aren't newer than their symbol's newest, those that are neither stored nor known as late; None if there are none."""
-    old = stage(with_month(old))
+    old = with_month(old)
     if not is_not_empty(old):
         return None
     months = old.select("symbol", "ym").distinct()
@@ -110,7 +110,8 @@ def hourly_load(
         fresh = F.col("mark").isNull() | (F.col("date_time") > F.col("mark"))
         new = marked.filter(fresh).drop("mark")
         late = _late(spark, folder, before, marked.filter(~fresh).drop("mark"))
-    new = stage(new)
+    else:
+        new = stage(new)
     n_late = 0 if late is None else late.count()
     size = new.agg(F.count("*").alias("rows"), F.min("date_time").alias("first"), F.max("date_time").alias("last")).first()
     if not size["rows"] and not n_late:
