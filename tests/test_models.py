@@ -296,3 +296,27 @@ def test_first_trees_of_a_forest_are_scored(data, spark):
     assert P._prefix_errors(boost, rows, "y", [3, 5])[0] == pytest.approx(want)
     best = P.prefix_grid_search(df, NAMES, "y", "boost", {"maxIter": [1, 4], "maxDepth": [2], "stepSize": [0.3]}, 240, 2)
     assert best["params"] == {"maxDepth": 2, "stepSize": 0.3, "maxIter": 4}
+
+
+def test_boosting_jobs_have_as_many_tasks_as_rows_ask_for(data, monkeypatch):
+    """However many partitions the rows come in, each of the many small jobs has those its rows need; scores are those of plain fits."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    _, _, df = data
+    fit, parts = GBTRegressor.fit, []
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, train, *a: (parts.append(train.rdd.getNumPartitions()), fit(self, train, *a))[1])
+    grid = {"maxIter": [2, 3], "maxDepth": [2], "stepSize": [0.1, 0.3]}
+    best = P.prefix_grid_search(df.repartition(40, "row"), NAMES, "y", "boost", grid, 240, 2)
+    assert parts == [1] * 4
+    rows = VectorAssembler(inputCols=NAMES, outputCol="features").transform(df).coalesce(1).persist()
+    want = {}
+    for step in grid["stepSize"]:
+        for k in grid["maxIter"]:
+            for start in (80, 160):
+                model = fit(GBTRegressor(labelCol="y", maxIter=k, maxDepth=2, stepSize=step, seed=42), rows.filter(F.col("row") < start))
+                held = model.transform(rows.filter(F.col("row").between(start, start + 79)))
+                want[step, k] = want.get((step, k), 0.0) + P.BicEvaluator("y", len(NAMES))._evaluate(held) / 2
+    rows.unpersist()
+    assert (best["params"]["stepSize"], best["params"]["maxIter"]) == max(want, key=want.get)
+    assert best["score"] == pytest.approx(max(want.values()))
