@@ -87,3 +87,36 @@ def test_stages(spark, tokenizer, tmp_path):
     assert outputs[5].groupBy("sequence_id").sum("length").agg({"sum(length)": "max"}).first()[0] <= 4096
     rerun = corpus_pipeline.run(spark, str(tmp_path))
     assert np.sum([r["length"] for r in rerun.collect()]) == sum(pieces.values())
+
+
+def test_scan_for_leaks_holds_a_part_of_a_batch(monkeypatch):
+    """The arrays of a batch's tokens don't stand in memory at once, and parts give the windows of the whole batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tidebars.llm import common, decontamination
+
+    rng = np.random.default_rng(3)
+    words = np.array([f"{'abcdefgh'[k % 8]}w{'xyz'[k % 3]}{'opqrst'[k // 8 % 6]}" for k in range(100)] + ["Paris", "12", "km", "end."])
+    texts = [" ".join(words[rng.integers(0, len(words), n)]) for n in [2_500] * 200 + [0, 1, 7, 8, 9]] + [None, "  "]
+
+    def scan(rows):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int64()), pa.array(rows, pa.string())], names=["rid", "text"])
+        return decontamination._scan([8], np.zeros(1 << (decontamination.BITS - 3), np.uint8), False), iter([batch])
+
+    list(scan(texts[-3:])[0](scan(texts[-3:])[1]))
+    work, batches = scan(texts)
+    tracemalloc.start()
+    list(work(batches))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6  # a batch of 2.5 MB
+    assert len(common._POWERS[0]) == 1  # nor do powers of the longest text stay in the worker
+
+    few = texts[190:]
+    whole = [r for b in decontamination._scan([8], None, True)(scan(few)[1]) for r in b.to_pylist()]
+    monkeypatch.setattr(decontamination, "PART", 1_000, raising=False)
+    parts = [r for b in decontamination._scan([8], None, True)(scan(few)[1]) for r in b.to_pylist()]
+    order = lambda r: (r["key"], r["form"], r["start"])
+    assert sorted(parts, key=order) == sorted(whole, key=order) and len(whole) > 1_000

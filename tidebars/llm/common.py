@@ -143,6 +143,7 @@ def tidy(work: Callable) -> Callable:
         try:
             yield from work(batches)
         finally:
+            forget_powers()
             pa.default_memory_pool().release_unused()
             trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
             if trim is not None:
@@ -165,8 +166,13 @@ def _inverse(odd: int) -> int:
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def forget_powers() -> None:
+    """Give the memory of the powers back; the next text makes them again."""
+    _POWERS[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BASE and of its inverse, 0 to n; kept between calls."""
+    """Powers of BASE and of its inverse, 0 to n; kept between calls of a task."""
     if len(_POWERS[0]) <= n:
         size = max(1024, 2 * n)
         for i, b in enumerate((BASE, np.uint64(_inverse(int(BASE))))):

@@ -32,6 +32,7 @@ LITERAL = 4  # of them that must be words; windows with fewer are joined as they
 COPY = 2  # the form of these
 RUN = 2 * WINDOW  # template tokens (or the whole item) that a run with other values must cover
 BITS = 24  # the bitmap has 2 ** BITS bits
+PART = 1 << 16  # words whose templates are in memory at once, or those of one text
 #: Words taken as units after a number, and words that start sentences and are no names.
 UNITS = frozenset(
     "% $ € £ ¥ mm cm m km mg g kg t ml l s sec second seconds min minute minutes h hr hour hours day days week weeks month "
@@ -83,26 +84,21 @@ def code_table() -> CodeTable:
 
 
 class Template:
-    """The two templates of the texts of a batch, one text after the other.
+    """The two templates of some texts, one text after the other, from the numbers of their words and where sentences end.
 
     ``forms`` yields for each, and for the tokens as they are (``COPY``): its number, code of each template token, place of the
     token it begins at, whether it is a slot (of the plain template, in ``COPY``), and the text it is of. ``first``: where each text's tokens begin.
     """
 
-    def __init__(self, texts: pa.Array, table: CodeTable):
-        known, at, offsets = split_words(texts)
-        bodies = pc.ascii_rtrim(known, characters=OUTER).dictionary_encode()
-        table.trim()
-        numbers = table.codes([bodies.dictionary.to_pylist()])[0][np.asarray(bodies.indices)][at]
+    def __init__(self, numbers: np.ndarray, over: np.ndarray, offsets: np.ndarray, table: CodeTable):
         values = table.spread(numbers)
         ends = np.concatenate([[0], np.cumsum(table.length[numbers] // 2)])
         self.first = ends[offsets]
-        text = np.repeat(np.arange(len(texts)), np.diff(self.first))
+        text = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
         codes, kind = values[0::2], values[1::2].astype(np.int8)
         n = len(kind)
         stop = np.zeros(n + 1, bool)  # a sentence ends after the token; the last place takes words before the first one
-        over = np.asarray(pc.match_substring_regex(known, SENTENCE_END).to_numpy(zero_copy_only=False), bool)
-        stop[ends[1:][over[at]] - 1] = True
+        stop[ends[1:][over] - 1] = True
         stop = stop[:n]
         joined = text[1:] == text[:-1]  # the next token is of the same text
         number, unit, names = kind == NUMBER, kind == UNIT, kind == CAPITAL
@@ -125,6 +121,24 @@ class Template:
         return self._forms
 
 
+def templates(texts: pa.Array, table: CodeTable):
+    """The templates of a batch, ``PART`` words or one text at a time, each after the number of texts before it.
+
+    What holds for a word wherever it stands is found once for the whole batch; the arrays of one part at a time take memory.
+    """
+    known, at, offsets = split_words(texts)
+    bodies = pc.ascii_rtrim(known, characters=OUTER).dictionary_encode()
+    table.trim()
+    numbers = table.codes([bodies.dictionary.to_pylist()])[0][np.asarray(bodies.indices)]
+    over = np.asarray(pc.match_substring_regex(known, SENTENCE_END).to_numpy(zero_copy_only=False), bool)
+    row = 0
+    while row < len(texts):
+        stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + PART, "right")) - 1)
+        words = at[offsets[row]:offsets[stop]]
+        yield row, Template(numbers[words], over[words], offsets[row:stop + 1] - offsets[row], table)
+        row = stop
+
+
 def starts_of(slot: np.ndarray, text: np.ndarray, size: int, form: int) -> np.ndarray:
     """Starts of the windows of ``size`` tokens of one text: with enough words among them, or, of ``COPY``, the others."""
     if len(slot) < size or not size:
@@ -165,33 +179,34 @@ def _scan(sizes: list[int], bitmap: np.ndarray | None, item_sizes: bool):
             if not batch.num_rows:
                 continue
             out, words = [], {}
-            template = Template(batch.column(1), table)
-            for form, own, at, slot, text in template.forms():
-                begin = np.searchsorted(text, np.arange(batch.num_rows + 1))  # of each text's template tokens
-                lengths = np.diff(begin)
-                rolling = None
-                for size in (np.unique(np.minimum(lengths, WINDOW)).tolist() if item_sizes else sizes):
-                    starts = starts_of(slot, text, size, form)
-                    if not len(starts):
-                        continue
-                    rolling = rolling or Rolling(own)
-                    hashes = rolling.of(starts, size) if form == COPY else rolling.all(size)[starts]
-                    hashes ^= np.uint64(form * 0x5851F42D4C957F2D % (1 << 64))
-                    if bitmap is not None:
-                        low = hashes & np.uint64((1 << BITS) - 1)
-                        hit = (bitmap[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-                    else:
-                        hit = np.minimum(lengths[text[starts]], WINDOW) == size
-                    starts, hashes = starts[hit], hashes[hit]
-                    for s, h in zip(starts.tolist(), hashes.view(np.int64).tolist()):
-                        row = int(text[s])
-                        if row not in words:
-                            line = batch.column(1)[row].as_py() or ""
-                            words[row] = [t for w in re.split(r"[ \t-\r]+", line) for _, t in tokens_of(w)]
-                        a, b = int(begin[row]), int(begin[row + 1])
-                        places = np.append(at[s:s + size + 1] if s + size < b else at[s:b], template.first[row + 1:row + 2] if s + size >= b else [])
-                        shape, slots = _shape(words[row], slot[s:s + size] & (form != COPY), places - template.first[row], 0, size)
-                        out.append((batch.column(0)[row].as_py(), size, form, s - a, h, shape, slots, b - a))
+            for first, template in templates(batch.column(1), table):
+                n_texts = len(template.first) - 1
+                for form, own, at, slot, text in template.forms():
+                    begin = np.searchsorted(text, np.arange(n_texts + 1))  # of each text's template tokens
+                    lengths = np.diff(begin)
+                    rolling = None
+                    for size in (np.unique(np.minimum(lengths, WINDOW)).tolist() if item_sizes else sizes):
+                        starts = starts_of(slot, text, size, form)
+                        if not len(starts):
+                            continue
+                        rolling = rolling or Rolling(own)
+                        hashes = rolling.of(starts, size) if form == COPY else rolling.all(size)[starts]
+                        hashes ^= np.uint64(form * 0x5851F42D4C957F2D % (1 << 64))
+                        if bitmap is not None:
+                            low = hashes & np.uint64((1 << BITS) - 1)
+                            hit = (bitmap[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                        else:
+                            hit = np.minimum(lengths[text[starts]], WINDOW) == size
+                        starts, hashes = starts[hit], hashes[hit]
+                        for s, h in zip(starts.tolist(), hashes.view(np.int64).tolist()):
+                            row = int(text[s])
+                            if first + row not in words:
+                                line = batch.column(1)[first + row].as_py() or ""
+                                words[first + row] = [t for w in re.split(r"[ \t-\r]+", line) for _, t in tokens_of(w)]
+                            a, b = int(begin[row]), int(begin[row + 1])
+                            places = np.append(at[s:s + size + 1] if s + size < b else at[s:b], template.first[row + 1:row + 2] if s + size >= b else [])
+                            shape, slots = _shape(words[first + row], slot[s:s + size] & (form != COPY), places - template.first[row], 0, size)
+                            out.append((batch.column(0)[first + row].as_py(), size, form, s - a, h, shape, slots, b - a))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
@@ -280,7 +295,7 @@ def _leaks(rows: DataFrame, benchmark: DataFrame, item_col: str, text_col: str)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    bounded_batches(docs.sparkSession, 3)  # a batch's tokens take some 30 times its bytes
+    bounded_batches(docs.sparkSession, 3)  # the words of a whole batch are numbered at once
     rows = packed(docs, id_col, text_col)
     return rows.select("rid", "row", F.col("c0").alias("id"), F.col("c1").cast("string").alias("text"))
 

@@ -149,7 +149,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     Null and empty texts are the end id alone; null ids and repeated rows are packed like any others. Texts longer than
     ``size`` run over several sequences. An empty table gives no rows. Other columns are not read.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, 3)  # as arrays of words and ids a batch is much larger
     rows = docs.select(name(id_col).alias("id"), name(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
